@@ -83,8 +83,16 @@ def joined_text(c: Column) -> Column:
     return _strip(unescape(F.regexp_replace(c, rf"\s*{ANY_TAG}\s*", "")))
 
 
+def joined_texts(array: Column) -> Column:
+    """:func:`joined_text` of every entry. In steps, so that each works on a
+    value already computed, and only entries with a reference are unescaped."""
+    bare = F.transform(array, lambda x: F.regexp_replace(x, rf"\s*{ANY_TAG}\s*", ""))
+    plain = F.transform(bare, lambda x: F.when(F.contains(x, F.lit("&")), unescape(x)).otherwise(x))
+    return F.transform(plain, _strip)
+
+
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\r\f"))
 
 
 def lines(c: Column) -> Column:

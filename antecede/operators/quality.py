@@ -8,6 +8,7 @@ stays one row.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -32,9 +33,58 @@ def apart(a: Column, b: Column, tolerance: float = TOLERANCE) -> Column:
     return F.coalesce(F.abs(a - b) > tolerance, a.isNull() != b.isNull())
 
 
+# Conditions a violating row meets. A test of one of these alone is a filter;
+# many of them over one table are one pass (``RowRules``).
+
+
+def is_missing(*cols: str) -> Column:
+    """NULL in any of ``cols``."""
+    return _any([F.col(c).isNull() for c in cols])
+
+
+def is_outside(col: str, values: Sequence) -> Column:
+    """Not in the list; NULL is accepted."""
+    return ~F.col(col).isin(*values)
+
+
+def is_out_of_range(col: str, low, high) -> Column:
+    """Not in ``[low, high]``; NULL is accepted."""
+    return ~F.col(col).between(low, high)
+
+
+def is_false(expression: str | Column) -> Column:
+    """The expression is false; NULL passes."""
+    return ~(F.expr(expression) if isinstance(expression, str) else expression)
+
+
+def exceeds(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Any first column is greater than its second."""
+    return _any([F.col(x) > F.col(y) for x, y in pairs])
+
+
+def is_stranger(col: str, among: Sequence[str]) -> Column:
+    """Filled, but equal to none of the other columns."""
+    return F.col(col).isNotNull() & ~F.col(col).isin(*(F.col(c) for c in among))
+
+
+@dataclass(frozen=True)
+class RowRules:
+    """Named row conditions over one table, counted together in one pass."""
+
+    table: DataFrame
+    conditions: Mapping[str, Column]
+
+    def counts(self) -> DataFrame:
+        """(rule, violations)."""
+        names = list(self.conditions)
+        counted = self.table.agg(*(F.count_if(self.conditions[name]).alias(name) for name in names))
+        cells = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations")) for name in names]
+        return counted.select(F.inline(F.array(*cells)))
+
+
 def not_null(df: DataFrame, *cols: str) -> DataFrame:
     """Rows with NULL in any of ``cols``."""
-    return df.filter(_any([F.col(c).isNull() for c in cols]))
+    return df.filter(is_missing(*cols))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -63,17 +113,17 @@ def relationships(child: DataFrame, key: str, parent: DataFrame, parent_key: str
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Values outside the list; NULL is accepted."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter(~F.col(col).isin(*values))
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter(is_outside(col, values))
 
 
 def accepted_range(df: DataFrame, col: str, low, high) -> DataFrame:
     """Rows outside ``[low, high]``; NULL is accepted."""
-    return df.filter(~F.col(col).between(low, high))
+    return df.filter(is_out_of_range(col, low, high))
 
 
 def expression_is_true(df: DataFrame, expression: str | Column) -> DataFrame:
     """Rows for which the expression is false; NULL passes."""
-    return df.filter(~(F.expr(expression) if isinstance(expression, str) else expression))
+    return df.filter(is_false(expression))
 
 
 def children_per_parent(
@@ -96,7 +146,7 @@ def pinned_values(expected: DataFrame, keys: Sequence[str], model: DataFrame, co
 
 def at_most(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows where any first column exceeds its second."""
-    return df.filter(_any([F.col(x) > F.col(y) for x, y in pairs]))
+    return df.filter(exceeds(pairs))
 
 
 def within_parent(child: DataFrame, key: str, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
@@ -106,7 +156,7 @@ def within_parent(child: DataFrame, key: str, parent: DataFrame, child_col: str,
 
 def member_or_null(df: DataFrame, col: str, among: Sequence[str]) -> DataFrame:
     """Rows where ``col`` is filled but equals none of the other columns."""
-    return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(*(F.col(c) for c in among)))
+    return df.filter(is_stranger(col, among))
 
 
 def debut_is_empty(df: DataFrame, ordinal: str, zero: Sequence[str], null: Sequence[str], volume: Sequence[str]):
@@ -189,11 +239,18 @@ def no_leakage(
     return paired.filter(failed).select(*keys, ordinal, *names)
 
 
-def rule_counts(spark, rules: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per rule: (rule, violations). ``n`` is summed where a test
-    reports it, rows are counted otherwise."""
+def rule_counts(rules: Mapping[str, DataFrame | RowRules]) -> DataFrame:
+    """One row per rule: (rule, violations).
+
+    A :class:`RowRules` entry gives one row for each of its conditions, whatever
+    its own name. For a query of violations ``n`` is summed where it reports it,
+    and rows are counted otherwise.
+    """
     counted = []
-    for name, violations in rules.items():
-        total = F.coalesce(F.sum("n"), F.lit(0)) if "n" in violations.columns else F.count(F.lit(1))
-        counted.append(violations.agg(total.cast("bigint").alias("violations")).select(F.lit(name).alias("rule"), "*"))
+    for name, rule in rules.items():
+        if isinstance(rule, RowRules):
+            counted.append(rule.counts())
+            continue
+        total = F.coalesce(F.sum("n"), F.lit(0)) if "n" in rule.columns else F.count(F.lit(1))
+        counted.append(rule.agg(total.cast("bigint").alias("violations")).select(F.lit(name).alias("rule"), "*"))
     return reduce(DataFrame.unionByName, counted)

@@ -16,6 +16,12 @@ RESULTS = ["win", "loss", "draw", "no_contest"]
 STANCES = ["Orthodox", "Southpaw", "Switch", "Open Stance", "Sideways"]
 ROUNDS = [1, 2, 3, 4, 5]
 
+LANDED_ATTEMPTED = [
+    ("sig_strikes_landed", "sig_strikes_attempted"),
+    ("takedowns_landed", "takedowns_attempted"),
+    ("total_strikes_landed", "total_strikes_attempted"),
+]
+
 RATES = ["prior_win_rate", "prior_finish_rate"]
 VOLUME = [
     "prior_avg_fight_minutes",
@@ -25,85 +31,113 @@ VOLUME = [
 ]
 
 
-def source_rules(raw_events: DataFrame, raw_bouts: DataFrame, raw_fighters: DataFrame) -> dict[str, DataFrame]:
+Rules = dict[str, DataFrame | q.RowRules]
+
+
+def source_rules(raw_events: DataFrame, raw_bouts: DataFrame, raw_fighters: DataFrame) -> Rules:
     """What the raw layer promises."""
+    bout_keys = ["bout_url", "event_url", "fighter_a_url", "fighter_b_url"]
     return {
-        "raw_events_not_null": q.not_null(raw_events, "event_url", "event_date"),
-        "raw_bouts_not_null": q.not_null(raw_bouts, "bout_url", "event_url", "fighter_a_url", "fighter_b_url"),
-        "raw_bouts_result": q.accepted_values(raw_bouts, "result", RAW_RESULTS),
-        "raw_fighters_not_null": q.not_null(raw_fighters, "fighter_url"),
+        "raw_events": q.RowRules(raw_events, {"raw_events_not_null": q.is_missing("event_url", "event_date")}),
+        "raw_bouts": q.RowRules(
+            raw_bouts,
+            {
+                "raw_bouts_not_null": q.is_missing(*bout_keys),
+                "raw_bouts_result": q.is_outside("result", RAW_RESULTS),
+            },
+        ),
+        "raw_fighters": q.RowRules(raw_fighters, {"raw_fighters_not_null": q.is_missing("fighter_url")}),
     }
 
 
-def staging_rules(events: DataFrame, bouts: DataFrame, fighters: DataFrame) -> dict[str, DataFrame]:
+def staging_rules(events: DataFrame, bouts: DataFrame, fighters: DataFrame) -> Rules:
     """What staging promises."""
+    event_columns = ["event_url", "event_date", "event_city", "event_country", "is_modern_era"]
+    bout_columns = [
+        "bout_url",
+        "event_url",
+        "fighter_a_url",
+        "fighter_b_url",
+        "is_no_contest",
+        "is_draw",
+        "finish_round",
+        "finish_time_seconds",
+        "bout_duration_seconds",
+        "method",
+    ]
     return {
-        "stg_events_unique": q.unique(events, "event_url"),
-        "stg_events_not_null": q.not_null(
-            events, "event_url", "event_date", "event_city", "event_country", "is_modern_era"
-        ),
-        "stg_bouts_unique": q.unique(bouts, "bout_url"),
-        "stg_bouts_not_null": q.not_null(
+        "stg_events": q.RowRules(events, {"stg_events_not_null": q.is_missing(*event_columns)}),
+        "stg_bouts": q.RowRules(
             bouts,
-            "bout_url",
-            "event_url",
-            "fighter_a_url",
-            "fighter_b_url",
-            "is_no_contest",
-            "is_draw",
-            "finish_round",
-            "finish_time_seconds",
-            "bout_duration_seconds",
-            "method",
+            {
+                "stg_bouts_not_null": q.is_missing(*bout_columns),
+                "stg_bouts_round": q.is_outside("finish_round", ROUNDS),
+            },
+        ),
+        "stg_fighters": q.RowRules(
+            fighters,
+            {
+                "stg_fighters_not_null": q.is_missing("fighter_url", "fighter_name"),
+                "stg_fighters_stance": q.is_outside("stance", STANCES),
+            },
         ),
+        "stg_events_unique": q.unique(events, "event_url"),
+        "stg_bouts_unique": q.unique(bouts, "bout_url"),
+        "stg_fighters_unique": q.unique(fighters, "fighter_url"),
         "stg_bouts_event": q.relationships(bouts, "event_url", events, "event_url"),
         "stg_bouts_fighter_a": q.relationships(bouts, "fighter_a_url", fighters, "fighter_url"),
         "stg_bouts_fighter_b": q.relationships(bouts, "fighter_b_url", fighters, "fighter_url"),
-        "stg_bouts_round": q.accepted_values(bouts, "finish_round", ROUNDS),
-        "stg_fighters_unique": q.unique(fighters, "fighter_url"),
-        "stg_fighters_not_null": q.not_null(fighters, "fighter_url", "fighter_name"),
-        "stg_fighters_stance": q.accepted_values(fighters, "stance", STANCES),
     }
 
 
-def career_rules(rows: DataFrame, order: Sequence[str] = career.ORDER) -> dict[str, DataFrame]:
+def career_rules(rows: DataFrame, order: Sequence[str] = career.ORDER) -> Rules:
     """What the career features promise. ``rows`` carries the order columns."""
     filled = ["bout_url", "fighter_url", "event_date", "prior_bouts", "prior_wins", "prior_losses", "prior_draws"]
+    shares = {"win_rate": "prior_win_rate", "finish_rate": "prior_finish_rate", "control_share": "prior_control_share"}
     return {
+        "career": q.RowRules(
+            rows,
+            {
+                "career_not_null": q.is_missing(*filled, "prior_win_streak", "prior_minutes_fought"),
+                **{f"career_{name}_range": q.is_out_of_range(col, 0, 1) for name, col in shares.items()},
+            },
+        ),
         "career_grain": q.unique_combination(rows, ["bout_url", "fighter_url"]),
         "career_order": q.unique_combination(rows, ["fighter_url", order[0]]),
-        "career_not_null": q.not_null(rows, *filled, "prior_win_streak", "prior_minutes_fought"),
-        "career_win_rate_range": q.accepted_range(rows, "prior_win_rate", 0, 1),
-        "career_finish_rate_range": q.accepted_range(rows, "prior_finish_rate", 0, 1),
-        "career_control_share_range": q.accepted_range(rows, "prior_control_share", 0, 1),
     }
 
 
-def mart_rules(
-    events: DataFrame, fighters: DataFrame, bouts: DataFrame, fighter_bouts: DataFrame
-) -> dict[str, DataFrame]:
+def mart_rules(events: DataFrame, fighters: DataFrame, bouts: DataFrame, fighter_bouts: DataFrame) -> Rules:
     """What the star schema promises, beyond its contracts."""
-    rules = {
+    rules: Rules = {
+        "fct_bout": q.RowRules(
+            bouts,
+            {
+                "fct_bout_winner_filled": q.is_false("(winner_fighter_sk is null) = (is_no_contest or is_draw)"),
+                "fct_bout_duration": q.is_false("bout_duration_seconds > 0"),
+                "winner_is_a_participant": q.is_stranger("winner_fighter_sk", ["fighter_a_sk", "fighter_b_sk"]),
+            },
+        ),
+        "fct_fighter_bout": q.RowRules(
+            fighter_bouts,
+            {
+                "fct_fighter_bout_corner": q.is_outside("corner", ["a", "b"]),
+                "fct_fighter_bout_result": q.is_outside("result", RESULTS),
+                "landed_not_above_attempted": q.exceeds(LANDED_ATTEMPTED),
+            },
+        ),
         "dim_event_sk": q.unique(events, "event_sk"),
         "dim_event_url": q.unique(events, "event_url"),
         "dim_fighter_sk": q.unique(fighters, "fighter_sk"),
         "dim_fighter_url": q.unique(fighters, "fighter_url"),
         "fct_bout_sk": q.unique(bouts, "bout_sk"),
         "fct_bout_url": q.unique(bouts, "bout_url"),
-        "fct_bout_winner_filled": q.expression_is_true(
-            bouts, "(winner_fighter_sk is null) = (is_no_contest or is_draw)"
-        ),
-        "fct_bout_duration": q.expression_is_true(bouts, "bout_duration_seconds > 0"),
         "fct_bout_event": q.relationships(bouts, "event_sk", events, "event_sk"),
         "fct_fighter_bout_sk": q.unique(fighter_bouts, "fighter_bout_sk"),
         "fct_fighter_bout_grain": q.unique_combination(fighter_bouts, ["bout_sk", "corner"]),
         "fct_fighter_bout_bout": q.relationships(fighter_bouts, "bout_sk", bouts, "bout_sk"),
         "fct_fighter_bout_event": q.relationships(fighter_bouts, "event_sk", events, "event_sk"),
-        "fct_fighter_bout_corner": q.accepted_values(fighter_bouts, "corner", ["a", "b"]),
-        "fct_fighter_bout_result": q.accepted_values(fighter_bouts, "result", RESULTS),
         "two_rows_per_bout": q.children_per_parent(bouts, "bout_sk", fighter_bouts, "bout_sk", 2),
-        "winner_is_a_participant": q.member_or_null(bouts, "winner_fighter_sk", ["fighter_a_sk", "fighter_b_sk"]),
-        "landed_not_above_attempted": landed_not_above_attempted(fighter_bouts),
         "control_within_duration": control_within_duration(fighter_bouts, bouts),
     }
     for key in ("fighter_a_sk", "fighter_b_sk", "winner_fighter_sk"):
@@ -118,17 +152,6 @@ def contract_nulls(fct_fighter_bout: DataFrame) -> DataFrame:
     return q.null_counts(fct_fighter_bout, marts.FCT_FIGHTER_BOUT.not_null)
 
 
-def landed_not_above_attempted(fighter_bouts: DataFrame) -> DataFrame:
-    return q.at_most(
-        fighter_bouts,
-        [
-            ("sig_strikes_landed", "sig_strikes_attempted"),
-            ("takedowns_landed", "takedowns_attempted"),
-            ("total_strikes_landed", "total_strikes_attempted"),
-        ],
-    )
-
-
 def control_within_duration(fighter_bouts: DataFrame, bouts: DataFrame) -> DataFrame:
     return q.within_parent(fighter_bouts, "bout_sk", bouts, "control_time_seconds", "bout_duration_seconds")
 

@@ -32,6 +32,7 @@ from antecede.operators import (
     todo,
 )
 from antecede.operators import quality as q
+from antecede.operators.prior import MAX_ROWS_PER_TASK
 from antecede.plans import career, checks, features, marts, serving
 from antecede.session import scratch_path, written
 from antecede.sources import landing, load
@@ -274,10 +275,16 @@ def career_to_date(spark, sf_dir):
 
 @query
 def career_to_date_sliced(spark, sf_dir):
-    """The same features with every longer history cut into slices: the way a
-    fighter with too many bouts for one task goes."""
-    rows = b.fighter_bouts(spark, sf_dir)
-    return career.career_to_date(rows, b.ORDER, heavy=b.heavy_fighters(spark, sf_dir, 60), max_rows=2_000)
+    """The same features by the way a fighter with too many bouts for one task
+    goes. Here it is taken by every fighter with more than one in 2,000 of all
+    rows, which is at most 2,000 fighters, in slices of at most a 32nd."""
+    total = b.table(spark, sf_dir, "events").count()
+    return career.career_to_date(
+        b.fighter_bouts(spark, sf_dir),
+        b.ORDER,
+        heavy=b.heavy_fighters(spark, sf_dir, total // 2_000),
+        max_rows=min(MAX_ROWS_PER_TASK, total // 32),
+    )
 
 
 def _streak(spark, sf_dir, measure):
@@ -418,15 +425,13 @@ def dq_sources(spark, sf_dir):
     rules = checks.source_rules(
         b.raw_events(spark, sf_dir), written(b.raw_bouts(spark, sf_dir), "raw-bouts"), b.raw_fighters(spark, sf_dir)
     )
-    return q.rule_counts(spark, rules)
+    return q.rule_counts(rules)
 
 
 @query
 def dq_staging(spark, sf_dir):
     bouts = written(b.stg_bouts(spark, sf_dir), "stg-bouts")
-    return q.rule_counts(
-        spark, checks.staging_rules(b.stg_events(spark, sf_dir), bouts, b.stg_fighters(spark, sf_dir))
-    )
+    return q.rule_counts(checks.staging_rules(b.stg_events(spark, sf_dir), bouts, b.stg_fighters(spark, sf_dir)))
 
 
 def _marts(spark, sf_dir):
@@ -445,7 +450,7 @@ def _marts(spark, sf_dir):
 
 @query
 def dq_marts(spark, sf_dir):
-    return q.rule_counts(spark, checks.mart_rules(*_marts(spark, sf_dir)))
+    return q.rule_counts(checks.mart_rules(*_marts(spark, sf_dir)))
 
 
 @query
@@ -469,7 +474,7 @@ def _career_tables(spark, sf_dir):
 @query
 def dq_career(spark, sf_dir):
     _, model = _career_tables(spark, sf_dir)
-    return q.rule_counts(spark, checks.career_rules(model, b.ORDER))
+    return q.rule_counts(checks.career_rules(model, b.ORDER))
 
 
 def _checked(rows: DataFrame, rule: str, violations: DataFrame) -> DataFrame:

@@ -64,9 +64,13 @@ def write_landing(
     day, so a long run can land as it goes.
     """
     day = F.current_date() if on is None else F.lit(on) if isinstance(on, dt.date) else on
+    rows = df.withColumns({"dt": day.cast("date"), "part": F.lit(part or BASE_PART)})
+    if isinstance(on, Column):
+        # Many days at once: bring each day's rows together, so that not every
+        # task writes a file for every day. AQE splits a day that is too large.
+        rows = rows.hint("rebalance", F.col("dt"))
     (
-        df.withColumns({"dt": day.cast("date"), "part": F.lit(part or BASE_PART)})
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "part")
         .parquet(f"{root}/{entity}")

@@ -80,6 +80,17 @@ def split_status(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, parsed.filter(F.col("status") == QUARANTINE).select("url", "reason")
 
 
+def _once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
+    """``keep`` plus ``columns``, each computed once per row.
+
+    Pattern matching over whole pages is the costly part here. In a plain select
+    the optimizer may copy such an expression into a filter above it and into
+    every column that uses it; what a generator produced it leaves alone.
+    """
+    made = F.struct(*(column.alias(name) for name, column in columns.items()))
+    return df.select(*keep, F.inline(F.array(made)))
+
+
 def _status(rules: Mapping[str, Column], skip: Column | None = None) -> dict[str, Column]:
     """status and reason from named failure conditions, first one wins."""
     reason = F.lit(None).cast("string")
@@ -104,15 +115,22 @@ def parse_listing(pages: DataFrame, table_class: str = LISTING_TABLE) -> DataFra
     date (two lines of the first cell), location, link."""
     table = m.first_of(F.col("html"), rf'(?s)<table\b[^>]*\sclass="[^"]*\b{table_class}\b[^"]*"[^>]*>(.*?)</table>')
     rows = pages.select("url", F.posexplode(_rows(table)).alias("position", "row"))
-    cells = rows.withColumn("cells", m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
+    cells = _once(rows, "url", "position", cells=m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
     first = F.get("cells", F.lit(0))
-    parsed = cells.select(
+    parsed = _once(
+        cells,
         "url",
         "position",
-        F.get(m.lines(first), F.lit(0)).alias("event_name"),
-        F.get(m.lines(first), F.lit(1)).alias("event_date"),
-        m.text(F.get("cells", F.lit(1))).alias("event_location"),
-        m.attribute(first, "href").alias("event_url"),
+        name_and_date=m.lines(first),
+        event_location=m.text(F.get("cells", F.lit(1))),
+        event_url=m.attribute(first, "href"),
+    ).select(
+        "url",
+        "position",
+        F.get("name_and_date", F.lit(0)).alias("event_name"),
+        F.get("name_and_date", F.lit(1)).alias("event_date"),
+        "event_location",
+        "event_url",
     )
     rules = {"no date line": F.col("event_date").isNull(), "no link": F.col("event_url") == ""}
     return parsed.withColumns(_status(rules))
@@ -125,8 +143,7 @@ def parse_card(pages: DataFrame) -> DataFrame:
     different cells, so lists of unequal length mean that pairing them would give
     a bout another bout's winner: the page goes to quarantine.
     """
-    rows = _rows(_first_table(F.col("html")))
-    found = pages.select("url", rows.alias("rows"))
+    found = _once(pages, "url", rows=_rows(_first_table(F.col("html"))))
 
     def links(row: Column) -> Column:
         return F.split_part(m.first_of(row, r'(?s)^<tr\b[^>]*\sonclick="([^"]*)"'), F.lit("'"), F.lit(2))
@@ -147,14 +164,13 @@ def parse_card(pages: DataFrame) -> DataFrame:
         left = m.all_of(row, m.inside("td", class_=LEFT_CELL))
         return F.when(F.size(left) > 1, m.text(m.first_of(F.get(left, F.lit(1)), m.inside("p", class_=CELL_TEXT))))
 
-    lists = found.select(
+    with_winner = F.filter("rows", lambda r: (F.size(black(r)) > 0) & ~F.contains(r, F.lit("<th")))
+    lists = _once(
+        found,
         "url",
-        F.filter(F.transform("rows", links), lambda x: x != "").alias("links"),
-        F.transform(
-            F.filter("rows", lambda r: (F.size(black(r)) > 0) & ~F.contains(r, F.lit("<th"))),
-            winner,
-        ).alias("outcomes"),
-        F.filter(F.transform("rows", weight), lambda x: x.isNotNull()).alias("classes"),
+        links=F.filter(F.transform("rows", links), lambda x: x != ""),
+        outcomes=F.transform(with_winner, winner),
+        classes=F.filter(F.transform("rows", weight), lambda x: x.isNotNull()),
     )
     unequal = (F.size("links") != F.size("outcomes")) | (F.size("links") != F.size("classes"))
     checked = lists.withColumns(_status({"lists of unequal length": unequal}, skip=F.size("links") == 0))
@@ -174,20 +190,25 @@ def parse_card(pages: DataFrame) -> DataFrame:
 def parse_box_score(pages: DataFrame, columns: tuple[str, ...] = BOX_SCORE_COLUMNS) -> DataFrame:
     """Box-score page -> one row: the named cells, both fighters' links, method,
     round and time. Fewer cells than names: skipped; more: quarantine."""
-    table = _first_table(F.col("html"))
-    summary = m.first_of(F.col("html"), m.inside("p", class_=SUMMARY))
-    first = m.first_of(summary, rf"(?s){m.opening('i', class_=SUMMARY_FIRST)}(.*)")
+    parts = _once(
+        pages,
+        "url",
+        table=_first_table(F.col("html")),
+        summary=m.first_of(F.col("html"), m.inside("p", class_=SUMMARY)),
+        has_table=F.contains("html", F.lit("<table")),
+    )
+    first = m.first_of(F.col("summary"), rf"(?s){m.opening('i', class_=SUMMARY_FIRST)}(.*)")
     # An item is a label in its own tag and the value after it.
-    items = m.all_of(summary, rf"(?s){m.opening('i', class_=SUMMARY_ITEM)}\s*<i\b[^>]*>[^<]*</i>([^<]*)</i>")
-    read = pages.select(
+    item = rf"(?s){m.opening('i', class_=SUMMARY_ITEM)}\s*<i\b[^>]*>[^<]*</i>([^<]*)</i>"
+    anchors = m.all_of(F.col("table"), m.whole("a", class_=BLACK_LINK))
+    read = _once(
+        parts,
         "url",
-        F.transform(m.all_of(table, m.inside("p", class_=CELL_TEXT)), m.joined_text).alias("cells"),
-        F.transform(
-            m.all_of(table, m.whole("a", class_=BLACK_LINK)), lambda a: m.canonical_link(m.attribute(a, "href"))
-        ).alias("links"),
-        m.joined_text(m.first_of(first, m.inside("i", style=METHOD_STYLE))).alias("method"),
-        F.transform(items, m.joined_text).alias("items"),
-        (F.size(m.all_of(F.col("html"), r"(<table\b)")) > 0).alias("has_table"),
+        "has_table",
+        cells=m.joined_texts(m.all_of(F.col("table"), m.inside("p", class_=CELL_TEXT))),
+        links=F.transform(anchors, lambda a: m.canonical_link(m.attribute(a, "href"))),
+        method=m.joined_text(m.first_of(first, m.inside("i", style=METHOD_STYLE))),
+        items=m.joined_texts(m.all_of(F.col("summary"), item)),
     )
     rules = {
         "no summary": F.col("has_table") & ((F.col("method") == "") | (F.size("items") < 2)),
@@ -219,7 +240,7 @@ def parse_profile(pages: DataFrame, labels: Mapping[str, str] = PROFILE_LABELS)
 
     items = F.transform(m.all_of(F.col("html"), m.inside("li", class_=PROFILE_ITEM)), entry)
     name = m.joined_text(m.first_of(F.col("html"), m.inside("span", class_=PROFILE_NAME)))
-    read = pages.select("url", name.alias("fighter_name"), F.filter(items, lambda e: e["label"] != "").alias("items"))
+    read = _once(pages, "url", fighter_name=name, items=F.filter(items, lambda e: e["label"] != ""))
 
     def labelled(label: str) -> Column:
         return F.try_element_at(F.filter("items", lambda e: e["label"] == label), F.lit(-1))["value"]
@@ -247,16 +268,16 @@ def parse_index(pages: DataFrame) -> DataFrame:
     """Index page -> (first, last, link) per row of the first table with at
     least two cells."""
     rows = pages.select("url", F.posexplode(_rows(_first_table(F.col("html")))).alias("position", "row"))
-    cells = rows.withColumn("cells", m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
+    cells = _once(rows, "url", "position", cells=m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
     first, second = F.get("cells", F.lit(0)), F.get("cells", F.lit(1))
-    parsed = cells.select(
+    parsed = _once(
+        cells,
         "url",
         "position",
-        m.first_of(first, m.inside("a")).alias("first_name"),
-        m.first_of(second, m.inside("a")).alias("last_name"),
-        m.attribute(first, "href").alias("link"),
+        first_name=m.text(m.first_of(first, m.inside("a"))),
+        last_name=m.text(m.first_of(second, m.inside("a"))),
+        link=m.attribute(first, "href"),
     )
-    parsed = parsed.withColumns({"first_name": m.text(F.col("first_name")), "last_name": m.text(F.col("last_name"))})
     return parsed.withColumns(_status({"no link": F.col("link") == ""}))
 
 
