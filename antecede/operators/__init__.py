@@ -1,5 +1,6 @@
 """Reusable DataFrame operators."""
 
+from antecede.operators.attach import attach_columns
 from antecede.operators.contract import Contract, ContractError, enforce_contract
 from antecede.operators.keyset import high_watermark, landed_subset, since_watermark, todo
 from antecede.operators.latest import latest_per_key
@@ -19,6 +20,7 @@ from antecede.operators.sides import distinct_participants, pivot_sides, unpivot
 __all__ = [
     "Contract",
     "ContractError",
+    "attach_columns",
     "distinct_participants",
     "enforce_contract",
     "heavy_keys",

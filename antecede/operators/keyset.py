@@ -23,7 +23,7 @@ def high_watermark(target: DataFrame, col: str) -> DataFrame:
 
 def since_watermark(df: DataFrame, target: DataFrame, col: str) -> DataFrame:
     """Rows strictly newer than the newest one stored; all rows when the target
-    is empty. The watermark is one row, so its side is a one-row broadcast."""
-    mark = high_watermark(target, col)
-    newer = F.col("high_watermark").isNull() | (F.col(col) > F.col("high_watermark"))
-    return df.join(F.broadcast(mark), newer, "inner").drop("high_watermark")
+    is empty. The watermark is a scalar subquery: computed once, then a plain
+    filter on the scan."""
+    mark = high_watermark(target, col).scalar()
+    return df.filter(mark.isNull() | (F.col(col) > mark))

@@ -31,14 +31,12 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from antecede.functions.numbers import safe_ratio
+from antecede.operators.sizes import broadcast_if
 from antecede.session import written
 
 # Rows of one entity that one task may hold.
 MAX_ROWS_PER_TASK = 5_000_000
 
-# Rows of heavy keys, and of slice totals, that may be broadcast.
-MAX_BROADCAST_ROWS = 500_000
-
 SLICE = "_slice"
 
 
@@ -232,14 +230,14 @@ def _sliced(
     order: Sequence[str],
     measures: Mapping[str, Measure],
     slices: int,
-    small: bool,
+    heavy: int,
 ) -> DataFrame:
     """The measures for entities too large for one task (see the module text)."""
     cut = df.repartitionByRange(slices, *entity, *order).withColumn(SLICE, F.spark_partition_id())
     local = written(_local(cut, [*entity, SLICE], order, measures), "slices")
     carried = _carried(_slice_totals(local, entity, order, measures), entity, measures)
-    # Rows of `carried`: at most one per heavy entity and one per cut.
-    carried = F.broadcast(carried) if small else carried
+    # At most one row per heavy entity and one per cut between slices.
+    carried = broadcast_if(carried, heavy + slices)
     at = [*entity, SLICE]
     both = local.join(carried, _same_key(at), "left").drop(*(f"_at_{k}" for k in at))
     return _combine(both, measures)
@@ -253,13 +251,15 @@ def prior_measures(
     *,
     heavy: Sequence[Row] | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
+    costly: bool = False,
 ) -> DataFrame:
     """``df`` with one column per measure, over the entity's strictly earlier rows.
 
     ``order`` must be total within an entity. ``heavy`` lists the entities with
     more than ``max_rows`` rows (columns of ``entity`` plus ``n``), if the caller
     has counted them on cheaper data already; an upper bound of ``n`` will do.
-    Left out, they are counted here.
+    Left out, they are counted here. With heavy entities the input is read several
+    times; if it is ``costly`` to compute it is written to the shared folder first.
     """
     if heavy is None:
         heavy = heavy_keys(df, entity, max_rows)
@@ -267,10 +267,10 @@ def prior_measures(
         return _finish(_local(df, entity, order, measures), measures)
 
     spark = df.sparkSession
-    small = len(heavy) <= MAX_BROADCAST_ROWS
+    df = written(df, "prior-input") if costly else df
     keys = spark.createDataFrame([tuple(r[k] for k in entity) for r in heavy], df.select(*entity).schema)
     keys = keys.toDF(*(f"_at_{k}" for k in entity))
-    keys = F.broadcast(keys) if small else keys
+    keys = broadcast_if(keys, len(heavy))
     slices = math.ceil(sum(r["n"] for r in heavy) / max_rows)
 
     light = _local(df.join(keys, _same_key(entity), "left_anti"), entity, order, measures)
@@ -280,6 +280,6 @@ def prior_measures(
         order,
         measures,
         slices,
-        len(heavy) + slices <= MAX_BROADCAST_ROWS,
+        len(heavy),
     )
     return _finish(light.unionByName(large), measures)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from antecede.operators.prior import MAX_ROWS_PER_TASK, prior_last, prior_measures
+from antecede.operators.sizes import broadcast_if
 
 TOLERANCE = 1e-6
 
@@ -108,7 +109,7 @@ def relationships(child: DataFrame, key: str, parent: DataFrame, parent_key: str
     """Keys with no parent; a NULL key is ignored. Children are reduced to
     distinct keys before the join, so a hot key weighs one row in it."""
     keys = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+    return keys.join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -139,8 +140,9 @@ def children_per_parent(
 
 def pinned_values(expected: DataFrame, keys: Sequence[str], model: DataFrame, col: str, want: str) -> DataFrame:
     """Expected rows whose value in ``model`` differs, or that it lacks. Starts
-    from the expected rows, a short list written in the test."""
-    found = model.select(*keys, col).join(F.broadcast(expected.select(*keys)), list(keys), "left_semi")
+    from the expected rows, as a rule a short list written in the test."""
+    wanted = broadcast_if(expected.select(*keys), expected.count())
+    found = model.select(*keys, col).join(wanted, list(keys), "left_semi")
     return expected.join(found, list(keys), "left").filter(differs(F.col(col), F.col(want)))
 
 

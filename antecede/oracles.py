@@ -696,6 +696,13 @@ ORACLES: dict[str, str] = {
     "prior_ratio": _with(
         FIGHTER_BOUTS, _features(False), body="SELECT bout_url, fighter_url, strike_ratio, takedown_ratio FROM features"
     ),
+    "attached_features": _with(
+        FIGHTER_BOUTS,
+        CAREER,
+        body="""SELECT c.bout_url, c.fighter_url, c.prior_bouts AS num_bouts, c.prior_win_streak AS win_streak,
+          (SELECT CAST(sum(e.sig_strikes_landed) AS bigint) FROM fighter_bouts e
+           WHERE e.fighter_url = c.fighter_url AND e.bout_at < c.bout_at) AS strikes FROM career c""",
+    ),
     "prior_rates": _with(
         FIGHTER_BOUTS,
         _features(True),

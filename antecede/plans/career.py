@@ -87,7 +87,7 @@ def career_to_date(
         "prior_control_seconds": prior_sum(F.col("control_time_seconds")),
         "prior_win_streak": win_streak(),
     }
-    state = prior_measures(narrow, ENTITY, order, measures, heavy=heavy, max_rows=max_rows)
+    state = prior_measures(narrow, ENTITY, order, measures, heavy=heavy, max_rows=max_rows, costly=True)
 
     c = F.col
     minutes = c("prior_seconds").cast("double") / F.lit(60.0)

@@ -63,7 +63,7 @@ def fighter_features(
         "avg_control_share": prior_avg(c("control_share")),
     }
     with_share = rows.withColumn("control_share", bout_control_share())
-    state = prior_measures(with_share, ENTITY, order, measures, heavy=heavy, max_rows=max_rows)
+    state = prior_measures(with_share, ENTITY, order, measures, heavy=heavy, max_rows=max_rows, costly=True)
     over_bouts = F.coalesce(safe_ratio(c("finish_wins"), c("num_bouts")), F.lit(0.0))
     return state.withColumns(
         {

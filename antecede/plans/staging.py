@@ -58,15 +58,24 @@ def _side_columns(side: str) -> list[Column]:
     return [column.alias(raw(name)) for name, column in typed.items()]
 
 
+def _latest(raw: DataFrame, key: str, tie_break: Sequence[str] | None) -> DataFrame:
+    """The newest version of each record. Versions of the same instant are told
+    apart by ``tie_break``, by default by what lineage there is, so that a re-run
+    picks the same one."""
+    if tie_break is None:
+        tie_break = [c for c in ("_batch_id", "_raw_payload") if c in raw.columns]
+    return latest_per_key(raw, [key], "_ingested_at", tie_break)
+
+
 def stage_bouts(
     raw: DataFrame,
     round_seconds: int = ROUND_SECONDS,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per bout, both corners side by side. ``keep`` passes further raw
     columns through."""
-    latest = latest_per_key(raw, ["bout_url"], "_ingested_at", tie_break)
+    latest = _latest(raw, "bout_url", tie_break)
     outcome = outcome_of(F.col("result"), F.col("winner_name"))
     finish_seconds = parse_mmss_seconds("finish_time")
     return latest.select(
@@ -97,9 +106,9 @@ def stage_bouts(
     )
 
 
-def stage_events(raw: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+def stage_events(raw: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     """One row per event, upcoming ones included."""
-    latest = latest_per_key(raw, ["event_url"], "_ingested_at", tie_break)
+    latest = _latest(raw, "event_url", tie_break)
     place = split_location("event_location")
     typed = latest.select(
         "event_url",
@@ -115,9 +124,9 @@ def stage_events(raw: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     return typed.withColumn("is_modern_era", modern)
 
 
-def stage_fighters(raw: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+def stage_fighters(raw: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     """One row per fighter, as the latest scrape showed them."""
-    latest = latest_per_key(raw, ["fighter_url"], "_ingested_at", tie_break)
+    latest = _latest(raw, "fighter_url", tie_break)
     return latest.select(
         "fighter_url",
         "fighter_name",

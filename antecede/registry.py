@@ -17,6 +17,7 @@ from antecede import bindings_pages as bp
 from antecede import functions as fn
 from antecede.functions import markup
 from antecede.operators import (
+    attach_columns,
     distinct_participants,
     latest_per_key,
     page_of,
@@ -314,6 +315,24 @@ def prior_ratio(spark, sf_dir):
     return _features(spark, sf_dir, "strike_ratio", "takedown_ratio")
 
 
+@query
+def attached_features(spark, sf_dir):
+    """Features computed apart, each over its own window, and joined together."""
+    rows = written(b.fighter_bouts(spark, sf_dir), "fighter-bouts")
+    heavy = b.heavy_fighters(spark, sf_dir)
+
+    def alone(**measure):
+        return prior_measures(rows, career.ENTITY, b.ORDER, measure, heavy=heavy)
+
+    frames = {
+        "num_bouts": alone(num_bouts=prior_count()),
+        "win_streak": alone(win_streak=career.win_streak()),
+        "strikes": alone(strikes=prior_sum(F.col("sig_strikes_landed"))),
+    }
+    base = rows.select("bout_url", "fighter_url")
+    return attach_columns(base, ["bout_url", "fighter_url"], frames)
+
+
 @query
 def prior_rates(spark, sf_dir):
     rates = _features(spark, sf_dir, "num_bouts", "win_percentage", "avg_fight_minutes", "finish_rate", legacy=True)
@@ -479,9 +498,10 @@ def dq_career(spark, sf_dir):
 
 def _checked(rows: DataFrame, rule: str, violations: DataFrame) -> DataFrame:
     """(rule, rows_checked, violations)."""
-    total = rows.agg(F.count(F.lit(1)).alias("rows_checked"))
-    bad = violations.agg(F.count(F.lit(1)).alias("violations"))
-    return total.join(F.broadcast(bad)).select(F.lit(rule).alias("rule"), "rows_checked", "violations")
+    seen = rows.agg(F.count(F.lit(1)).alias("rows_checked"), F.lit(0).cast("bigint").alias("violations"))
+    bad = violations.agg(F.lit(0).cast("bigint").alias("rows_checked"), F.count(F.lit(1)).alias("violations"))
+    both = seen.unionByName(bad)
+    return both.agg(F.lit(rule).alias("rule"), *(F.sum(c).alias(c) for c in ("rows_checked", "violations")))
 
 
 @query

@@ -34,3 +34,12 @@ def publish(df: DataFrame, layer: str, name: str, how: str = "table", partition_
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(f"`{database}`.`{name}`")
     return spark.table(f"`{database}`.`{name}`")
+
+
+def ensure_table(sample: DataFrame, layer: str, name: str) -> DataFrame:
+    """The table, made empty with the sample's columns if it does not exist."""
+    spark: SparkSession = sample.sparkSession
+    full = f"{database_for(layer)}.{name}"
+    if not spark.catalog.tableExists(full):
+        return publish(spark.createDataFrame([], sample.schema), layer, name)
+    return spark.table(full)

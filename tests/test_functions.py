@@ -126,3 +126,16 @@ def test_markup(spark):
     want = ["http://www.site.com/x", "http://www.site.com/x", "https://site.com/x"]
     assert evaluate(spark, markup.canonical_link, links) == want
     assert evaluate(spark, lambda c: markup.canonical_link(markup.canonical_link(c)), links) == want
+
+
+def test_sql_functions_agree_with_the_column_functions(spark):
+    from antecede.functions.sql import register_sql_functions
+
+    assert "parse_landed" in register_sql_functions(spark)
+    for name in ("nullify_sentinels", "parse_landed", "parse_attempted", "parse_percentage", "parse_mmss_seconds"):
+        values = [v for v, _ in CASES[name]]
+        by_column = evaluate(spark, getattr(fn, name), values)
+        assert evaluate(spark, lambda c: F.expr(f"{name}(v)"), values) == by_column
+    dates = ["September 5, 2026", "--", "x"]
+    assert evaluate(spark, lambda c: F.expr("parse_long_date(v)"), dates) == [dt.date(2026, 9, 5), None, None]
+    assert evaluate(spark, lambda c: F.expr("parse_short_date(v)"), ["Feb 13, 1990"]) == [dt.date(1990, 2, 13)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from antecede.operators import (
     Contract,
     ContractError,
+    attach_columns,
     distinct_participants,
     enforce_contract,
     high_watermark,
@@ -125,3 +126,11 @@ def test_contract_nulls_stop_the_write(spark, tmp_path):
     enforce_contract(holed, CONTRACT, check_nulls=False).collect()
     with pytest.raises(PySparkException, match="things.price is NULL"):
         enforce_contract(holed, CONTRACT).write.parquet(str(tmp_path / "out"))
+
+
+def test_attach_columns(spark):
+    base = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "n int, k string")
+    first = spark.createDataFrame([(1, "a", 10), (2, "a", 20)], "n int, k string, x int")
+    second = spark.createDataFrame([(1, "b", 7)], "n int, k string, y int")
+    got = attach_columns(base, ["n", "k"], {"x": first, "y": second})
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 10, None), (1, "b", None, 7), (2, "a", 20, None)]

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from antecede.sources.catalog import database_for, publish
+from antecede.sources.catalog import database_for, ensure_table, publish
 from antecede.sources.freshness import freshness
 from antecede.sources.seeds import SEED_DDL, read_seed
 
@@ -55,3 +55,11 @@ def test_layers_keep_their_names(spark):
     with pytest.raises(ValueError):
         publish(df, "staging", "v", how="magic")
     spark.sql("DROP DATABASE marts CASCADE")
+
+
+def test_an_empty_table_takes_its_columns_from_a_sample(spark):
+    sample = spark.createDataFrame([("14 of 31",)], "x string")
+    assert ensure_table(sample, "raw", "things").count() == 0
+    sample.write.insertInto("raw.things")
+    assert ensure_table(sample, "raw", "things").collect() == sample.collect()
+    spark.sql("DROP DATABASE raw CASCADE")
