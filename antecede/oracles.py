@@ -768,6 +768,29 @@ ORACLES: dict[str, str] = {
           LEFT JOIN fct_bout b ON e.bout_url = b.bout_url WHERE b.is_draw IS DISTINCT FROM true""",
     ),
     "dq_leakage": _with(FIGHTER_BOUTS, CAREER, _LEAKS.replace("WITH_RECOMPUTED", "recomputed"), body=_LEAK_QUERY),
+    "dq_leakage_found": _with(
+        FIGHTER_BOUTS,
+        """
+leaky AS (
+  SELECT bout_url, fighter_url, bout_at, result = 'win' AS won, bout_duration_seconds AS own,
+    row_number() OVER upto - 1 AS n, count(CASE WHEN result = 'win' THEN 1 END) OVER upto AS wins,
+    CAST(sum(bout_duration_seconds) OVER upto AS bigint) AS seconds
+  FROM fighter_bouts WINDOW upto AS (PARTITION BY fighter_url ORDER BY bout_at
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+walked AS (
+  SELECT *, coalesce(lag(wins + CASE WHEN won THEN 1 ELSE 0 END) OVER w, 0) AS wins_due,
+    coalesce(lag(seconds + own) OVER w, 0) AS seconds_due
+  FROM leaky WINDOW w AS (PARTITION BY fighter_url ORDER BY bout_at))""",
+        body="""SELECT bout_url, fighter_url, n, wins, seconds FROM walked
+          WHERE wins <> wins_due OR seconds <> seconds_due""",
+    ),
+    "dq_streak_pins": _with(
+        FIGHTER_BOUTS,
+        CAREER,
+        body="""SELECT f.bout_url, f.fighter_url, 1 AS expected_streak, c.prior_win_streak
+          FROM (SELECT * FROM fighter_bouts QUALIFY row_number() OVER (PARTITION BY fighter_url ORDER BY bout_at) = 1) f
+          JOIN career c ON c.bout_url = f.bout_url AND c.fighter_url = f.fighter_url WHERE f.corner = 'b'""",
+    ),
     "dq_debut": _with(FIGHTER_BOUTS, CAREER, body=_DEBUT_QUERY),
     "dq_rise_by_one": _with(FIGHTER_BOUTS, CAREER, body=_RISE_QUERY),
     # landing and loading
@@ -778,6 +801,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 2, 0, false
         UNION ALL SELECT 3, count(*), true FROM events WHERE event_type = 'error')""",
     "load_ledger": "SELECT CAST(ts AS date) AS dt, count(*) AS row_count FROM events GROUP BY 1",
+    "resume_landing": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'",
     "schema_evolution": """SELECT CAST(o_orderkey AS varchar) AS o_orderkey, o_orderstatus,
         CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
         CASE WHEN o_orderstatus = 'F' THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS dt FROM orders""",

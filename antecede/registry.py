@@ -510,6 +510,33 @@ def dq_leakage(spark, sf_dir):
     return _checked(model, "no_leakage", checks.leakage(model, rows, b.ORDER))
 
 
+@query
+def dq_leakage_found(spark, sf_dir):
+    """What the leakage test says of totals that include the bout itself."""
+    rows = written(b.fighter_bouts(spark, sf_dir), "fighter-bouts")
+    won, seconds = (F.col("result") == "win").cast("int"), F.col("bout_duration_seconds")
+    measures = {"n": prior_count(), "wins": prior_sum(won, default=0), "seconds": prior_sum(seconds, default=0)}
+    right = prior_measures(rows, career.ENTITY, b.ORDER, measures, heavy=b.heavy_fighters(spark, sf_dir))
+    leaky = right.withColumns(
+        {"wins": F.col("wins") + F.coalesce(won, F.lit(0)), "seconds": F.col("seconds") + seconds}
+    )
+    totals = {"wins": won, "seconds": seconds}
+    return q.no_leakage(leaky, rows, career.ENTITY, b.ORDER, "n", totals).drop("bout_at")
+
+
+@query
+def dq_streak_pins(spark, sf_dir):
+    """Every fighter's first bout pinned: a streak of 0, wrongly 1 for corner b.
+    The wrong pins come back."""
+    rows, model = _career_tables(spark, sf_dir)
+    first = latest_per_key(
+        rows.withColumn("age", -F.unix_micros(F.col("bout_at").cast("timestamp"))), ["fighter_url"], "age", ["bout_url"]
+    )
+    want = F.when(F.col("corner") == "b", 1).otherwise(0)
+    expected = first.select("bout_url", "fighter_url", want.alias("expected_streak"))
+    return q.pinned_values(expected, ["bout_url", "fighter_url"], model, "prior_win_streak", "expected_streak")
+
+
 @query
 def dq_debut(spark, sf_dir):
     _, model = _career_tables(spark, sf_dir)
@@ -581,6 +608,15 @@ def load_ledger(spark, sf_dir):
     return load.read_ledger(spark, store, "events").groupBy("dt").agg(F.sum("row_count").alias("row_count"))
 
 
+@query
+def resume_landing(spark, sf_dir):
+    """An interrupted run: what is left once a first part has landed."""
+    root, day = scratch_path(spark, "landing"), dt.date(2024, 1, 1)
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    landing.write_landing(orders.filter("o_orderstatus <> 'O'"), root, "orders", on=day, part="00000")
+    return todo(orders, landing.landed_keys(spark, root, "orders", "o_orderkey", day), "o_orderkey")
+
+
 @query
 def schema_evolution(spark, sf_dir):
     """A column that only later files have is NULL in older rows."""

@@ -109,20 +109,28 @@ def partition_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return files.filter(F.col("dt").isNotNull())
 
 
-def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The given files as one table, columns matched by name and missing ones
-    NULL, plus ``dt`` from the path and ``_file_path``.
-
-    A nanosecond ``_ingested_at``, as some writers store it, arrives as a plain
-    number (Spark has no such type) and is brought to microseconds.
-    """
+def accept_nanoseconds(spark: SparkSession) -> None:
+    """Some writers store ``_ingested_at`` in nanoseconds, a parquet type Spark
+    refuses unless it may read it as a plain number. Set for the session, since it
+    counts both when a file's schema is read and when its rows are."""
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    rows = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths)
+
+
+def tag_files(rows: DataFrame) -> DataFrame:
+    """Rows as read from files, plus ``_file_path`` and ``dt`` from the path; a
+    nanosecond ``_ingested_at`` is brought to microseconds."""
     path = F.col("_metadata.file_path")
-    rows = rows.select("*", canonical_path(path).alias("_file_path"), day_of(path).alias("dt"))
-    if dict(rows.dtypes).get("_ingested_at") == "bigint":
-        rows = rows.withColumn("_ingested_at", F.timestamp_micros(F.expr("_ingested_at div 1000")))
-    return rows
+    tagged = rows.select("*", canonical_path(path).alias("_file_path"), day_of(path).alias("dt"))
+    if dict(tagged.dtypes).get("_ingested_at") == "bigint":
+        tagged = tagged.withColumn("_ingested_at", F.timestamp_micros(F.expr("_ingested_at div 1000")))
+    return tagged
+
+
+def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The given files as one table, columns matched by name and missing ones
+    NULL, with the tags of :func:`tag_files`."""
+    accept_nanoseconds(spark)
+    return tag_files(spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths))
 
 
 def landed_keys(spark: SparkSession, root: str, entity: str, column: str, on: dt.date | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from antecede.sources.landing import canonical_path, day_of, partition_files
+from antecede.sources.landing import accept_nanoseconds, day_of, partition_files, tag_files
 from antecede.sources.load import (
     LoadResult,
     append_rows,
@@ -37,16 +37,15 @@ def load_stream(
     if partition_files(spark, root, entity).isEmpty():
         return LoadResult(entity, 0, 0, 0)
     source = f"{root}/{entity}"
+    accept_nanoseconds(spark)
     merged = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(source).schema
 
-    path = F.col("_metadata.file_path")
-    stream = (
+    stream = tag_files(
         spark.readStream.schema(merged)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source)
-        .select("*", canonical_path(path).alias("_file_path"), day_of(path).alias("dt"))
     )
 
     def commit(batch: DataFrame, number: int) -> None:

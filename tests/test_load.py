@@ -129,16 +129,16 @@ def test_a_file_without_rows_is_logged_once(spark, tmp_path):
     assert counts(load_entity(spark, root, "bouts", store)) == (0, 1, 0)
 
 
-def test_flat_files_with_nanosecond_times(spark, tmp_path):
+def test_flat_files_with_nanosecond_times(spark, loader, tmp_path):
     """Files another writer put straight into the day's folder."""
-    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
     folder = tmp_path / "landing" / "bouts" / "dt=2026-01-01"
     folder.mkdir(parents=True)
     when = pd.Timestamp("2026-01-01 10:00:00.123456", tz="UTC")
     frame = pd.DataFrame({"u": ["x"], "_ingested_at": pd.Series([when]).astype("datetime64[ns, UTC]")})
     frame.to_parquet(folder / "bouts-00000.parquet", index=False)
-    assert counts(load_entity(spark, root, "bouts", store)) == (1, 0, 1)
-    row = read_raw(spark, store, "bouts").select("u", "dt", F.date_format("_ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()
+    assert counts(loader("bouts")) == (1, 0, 1)
+    shown = F.date_format("_ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    row = read_raw(spark, loader.store, "bouts").select("u", "dt", shown).first()
     assert tuple(row) == ("x", D1, "2026-01-01 10:00:00.123456")
 
 
