@@ -835,4 +835,14 @@ walked AS (
         'Name' AS first_name, CAST(u AS varchar) AS last_name, CASE WHEN reach <> '--' THEN reach END AS reach
         FROM raw_fighters"""),
     "pages_index": _raw("SELECT first_name, last_name, fighter_url AS link FROM raw_fighters"),
+    "bronze_bouts": _raw(f"""SELECT bout_url, concat('card/', id // 2 // 20) AS event_url, weight_class,
+        CASE WHEN result IS NULL AND winner_name = 'nc' THEN fighter_a_name ELSE winner_name END AS winner_name,
+        coalesce(result, 'win') AS result, {_BOX_COLUMNS}, concat('http://www.', fighter_a_url) AS fighter_a_url,
+        concat('http://www.', fighter_b_url) AS fighter_b_url, method, finish_round, finish_time,
+        bout_url AS _source_url
+      FROM current_bouts WHERE id % 13 <> 0 AND id % 11 <> 0
+        AND (CASE WHEN id % 5 = 0 THEN -1 ELSE 0 END + CASE WHEN id % 7 = 0 THEN 1 ELSE 0 END) = 0"""),
+    "bronze_fighters": _raw("""SELECT fighter_url, * EXCLUDE (u, fighter_url, last_name, reach),
+        CAST(u AS varchar) AS last_name, CASE WHEN reach <> '--' THEN reach END AS reach,
+        fighter_url AS _source_url FROM raw_fighters"""),
 }

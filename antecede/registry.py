@@ -34,7 +34,7 @@ from antecede.operators import (
 )
 from antecede.operators import quality as q
 from antecede.operators.prior import MAX_ROWS_PER_TASK
-from antecede.plans import career, checks, features, marts, serving
+from antecede.plans import bronze, career, checks, features, marts, serving
 from antecede.session import scratch_path, written
 from antecede.sources import landing, load
 from antecede.sources import pages as pg
@@ -195,13 +195,8 @@ def select_window_topk(spark, sf_dir):
 
 @query
 def select_events(spark, sf_dir):
-    return select_window(
-        b.stg_events(spark, sf_dir).select("event_url", "event_name", "event_date"),
-        "event_date",
-        dt.date(2024, 1, 5),
-        dt.date(2024, 1, 20),
-        tie_break=["event_url"],
-    )
+    events = b.stg_events(spark, sf_dir).select("event_url", "event_name", "event_date")
+    return serving.select_events(events, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 
 
 @query
@@ -717,3 +712,19 @@ def pages_profile(spark, sf_dir):
 def pages_index(spark, sf_dir):
     records, _ = pg.extract_index(bp.index_pages(spark, sf_dir))
     return records.drop("url", "position")
+
+
+@query
+def bronze_bouts(spark, sf_dir):
+    """Cards and box scores together, as the raw layer has them. The pages are
+    written first, as a crawl would have left them."""
+    cards = written(bp.card_pages(spark, sf_dir), "cards")
+    boxes = written(bp.box_score_pages(spark, sf_dir, broken=True), "boxes")
+    records, _ = bronze.bronze_bouts(cards, boxes, landing.new_batch_id())
+    return records.drop("_batch_id", "_ingested_at", "_raw_payload")
+
+
+@query
+def bronze_fighters(spark, sf_dir):
+    records, _ = bronze.bronze_fighters(bp.profile_pages(spark, sf_dir), landing.new_batch_id())
+    return records.drop("_batch_id", "_ingested_at", "_raw_payload")

@@ -28,6 +28,19 @@ def build_session(app: str = "antecede", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def sized_for(shuffle_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a job that shuffles this much: partitions start at about
+    ``partition_bytes`` each, and AQE folds those that turn out small. 100 TB at
+    the default gives some 800,000."""
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark__sql__shuffle__partitions": str(partitions),
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
+        "spark__sql__files__maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in
     ``spark.checkpoint.dir``. Only where that is unset (a local test session) is

@@ -161,3 +161,24 @@ def test_elements_and_links(spark, tag, want):
     got = p.parse_elements(table(spark, page), tag).orderBy("position")
     assert [r.text for r in got.collect()] == want
     assert [tuple(r)[2:] for r in p.parse_links(table(spark, page)).collect()] == [("/x", "X")]
+
+
+def test_bronze_bouts_join_cards_and_box_scores(spark):
+    from antecede.plans.bronze import bronze_bouts, bronze_events, bronze_fighters
+
+    cards = table(spark, card(card_row("win", "Ann One", "Bo Two", "Open", "b/1"), card_row("draw", "C", "D", "Open", "b/2")))
+    boxes = spark.createDataFrame(
+        [("b/1", box()), ("b/3", box()), ("b/2", "Checking your browser"), ("b/4", box(summary=False))],
+        "url string, html string",
+    )
+    records, quarantine = bronze_bouts(cards, boxes, "batch")
+    rows = records.collect()
+    assert [(r.bout_url, r.event_url, r.winner_name, r.result, r.method) for r in rows] == [
+        ("b/1", "u0", "Ann One", "win", "KO/TKO")
+    ]
+    assert rows[0]["_source_url"] == "b/1" and rows[0]["_batch_id"] == "batch" and "14 of 31" in rows[0]["_raw_payload"]
+    assert {tuple(r) for r in quarantine.collect()} == {("b/2", "interstitial"), ("b/4", "no summary")}
+    events, _ = bronze_events(table(spark, LISTING), "batch")
+    assert set(events.columns) >= {"event_url", "event_name", "_source_url", "_raw_payload", "_ingested_at"}
+    fighters, _ = bronze_fighters(table(spark, profile(("Height:", " 6' 4\""))), "batch")
+    assert fighters.first().fighter_url == "u0" and fighters.first()["_raw_payload"] == '{"Height":"6\' 4\\""}'
