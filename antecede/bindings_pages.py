@@ -70,7 +70,7 @@ def box_score_pages(spark: SparkSession, sf_dir: str, broken: bool = False) -> D
     anchor = f"""'<a class="{p.BLACK_LINK}" href="http://' || {{}} || '">' || {{}} || '</a>'""".format
     cells = [text(anchor("fighter_a_url", "fighter_a_name")), text(anchor("fighter_b_url", "fighter_b_name"))]
     cells += [text(c) for c in p.BOX_SCORE_COLUMNS[2:]]
-    extra = f"""CASE WHEN n % 7 = 0 THEN '<p class="{p.CELL_TEXT}">0</p>' ELSE '' END""" if broken else "''"
+    extra = f"""CASE WHEN n % 7 = 0 AND n % 5 <> 0 THEN '<p class="{p.CELL_TEXT}">0</p>' ELSE '' END""" if broken else "''"
     last = f"CASE WHEN n % 5 = 0 THEN '' ELSE {cells[-1]} END" if broken else cells[-1]
     body = " || ".join([*cells[:-1], last, extra])
     summary = f"""'<p class="{p.SUMMARY}"><i class="{p.SUMMARY_FIRST}"><i class="l">Method:</i>
