@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from antecede.operators.prior import MAX_ROWS_PER_TASK, heavy_keys
 from antecede.operators.sides import pivot_sides
@@ -19,8 +20,16 @@ from antecede.plans import participants, staging
 ORDER = ["bout_at", "bout_url"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the files once: a query that uses
+    the table several times needs no job each time to find it again."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,12 +62,13 @@ def career_to_date(
     order: Sequence[str] = ORDER,
     heavy: Sequence[Row] | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The 12 career features per fighter and bout. ``rows`` is
     :func:`antecede.plans.participants.fighter_bouts`; ``order`` must be total
-    per fighter."""
+    per fighter. ``keep`` carries further columns of ``rows``."""
     narrow = rows.select(
-        *dict.fromkeys(["bout_url", "fighter_url", "event_date", *order]),
+        *dict.fromkeys(["bout_url", "fighter_url", "event_date", *order, *keep]),
         "result",
         "is_finish",
         "bout_duration_seconds",
@@ -101,4 +102,4 @@ def career_to_date(
         "prior_takedown_diff_per_15": safe_ratio(c("prior_takedown_diff"), quarters),
         "prior_control_share": safe_ratio(c("prior_control_seconds"), c("prior_seconds")),
     }
-    return state.withColumns(features).select(*COLUMNS)
+    return state.withColumns(features).select(*COLUMNS, *keep)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from antecede.functions import surrogate_key, surrogate_key_or_null
 from antecede.operators.contract import Contract, enforce_contract
 
+# The columns, types and not-null rules of the published tables.
+
 DIM_EVENT = Contract(
     "dim_event",
     """event_sk STRING NOT NULL, event_url STRING NOT NULL, event_name STRING NOT NULL,

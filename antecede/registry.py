@@ -480,9 +480,7 @@ def _career_tables(spark, sf_dir):
     """Fighter bouts and career rows (with the order columns), written."""
     rows = written(b.fighter_bouts(spark, sf_dir), "fighter-bouts")
     heavy = b.heavy_fighters(spark, sf_dir)
-    features_of = career.career_to_date(rows, b.ORDER, heavy=heavy)
-    placed = features_of.join(rows.select("bout_url", "fighter_url", "bout_at"), ["bout_url", "fighter_url"])
-    return rows, written(placed, "career")
+    return rows, written(career.career_to_date(rows, b.ORDER, heavy=heavy, keep=["bout_at"]), "career")
 
 
 @query

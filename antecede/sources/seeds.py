@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The columns of the raw layer.
+
 _LINEAGE = "_source_url STRING, _batch_id STRING, _ingested_at TIMESTAMP"
 
 _SIDED = ", ".join(
