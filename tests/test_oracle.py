@@ -7,6 +7,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from antecede.oracles import ORACLES
+from antecede.registry import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -42,17 +44,18 @@ def sf_dir_module():
     return str(path)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sql, sf_dir_module, name):
-    got = contract.queries()[name](spark, sf_dir_module)
-    want = sql.execute(contract.oracle_sql()[name])
+    got = QUERIES[name](spark, sf_dir_module)
+    want = sql.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
     assert table(got.columns, got.collect()) == table(columns, want.fetchall())
 
 
 def test_every_query_has_sql_and_the_other_way_round():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark, sf_dir_module):
