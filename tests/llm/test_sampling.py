@@ -54,9 +54,9 @@ def test_registered_query(spark, sf_dir, documents):
 def test_collisions_estimate_generalised_jaccard():
     rng = np.random.default_rng(1)
     sampler, errors = sampling.Sampler(), []
-    for _ in range(60):
-        a = " ".join(f"t{x}" for x in rng.zipf(1.4, 300) % 400)
-        b = a[: len(a) // 2] + " ".join(f"t{x}" for x in rng.zipf(1.4, 150) % 400)
+    for k in range(60):  # words of its own for each pair: equal words draw alike
+        a = " ".join(f"{k}t{x}" for x in rng.zipf(1.4, 300) % 400)
+        b = a[: len(a) // 2] + " ".join(f"{k}t{x}" for x in rng.zipf(1.4, 150) % 400)
         one, two = sampler.of_texts([a, b])
         errors.append((one == two).mean() - jaccard(bag(a), bag(b)))
     assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.1
