@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from antecede.llm import line_dedup, mixing, simhash
+from antecede.llm import byte_bpe, line_dedup, mixing, simhash
 from antecede.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,10 +27,16 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.emit(mixing.mix(docs, weights=(3, 1, 2), share=1.5, limit=2.0))
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row of the mix, and digests of ids and decoded bytes."""
+    return byte_bpe.digests(docs, byte_bpe.public_vocabulary())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("line_dedup", frequent_lines),
     ("simhash_near_dedup", near_copies),
     ("source_mix", source_mix),
+    ("byte_bpe", encoded),
 ]
 
 #: No stage but line dedup can be written as SQL; the stages are held against plain versions in tests.
