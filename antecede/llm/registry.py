@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from antecede.llm import byte_bpe, line_dedup, mixing, sampling, simhash
+from antecede.llm import byte_bpe, line_dedup, mixing, quality_crf, sampling, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,18 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), words=4, max_distance=4)
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labelled ones that are not held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_crf.classify(docs, labels).select(
+        "doc_id",
+        F.col("__held_out").alias("held_out"),
+        F.col("__score").alias("score"),
+        F.col("__predicted").alias("predicted"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by the 50k byte-level vocabulary, and back."""
     return byte_bpe.digests(_documents(spark, sf_dir), byte_bpe.public_vocabulary())
@@ -55,7 +67,7 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op3_byte_bpe, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
 }
 
 ORACLES: dict[str, str] = {

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from antecede.llm import byte_bpe, line_dedup, mixing, simhash
+from antecede.llm import byte_bpe, line_dedup, mixing, quality_crf, simhash
 from antecede.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_crf.classify(docs, labels).where("__predicted = 1").select(*docs.columns)
+
+
 def frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of ten or more documents go from all of them."""
     return line_dedup.drop_lines(docs, min_docs=10, min_chars=1).select(*docs.columns)
@@ -33,6 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_crf", good_documents),
     ("line_dedup", frequent_lines),
     ("simhash_near_dedup", near_copies),
     ("source_mix", source_mix),
