@@ -39,7 +39,7 @@ from pyspark.sql.functions import pandas_udf
 
 from antecede.llm.tokens import span_hashes
 
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 8 << 20
 PIECE_CHARS = 2 << 20
 LONG_WORD = 64
 BUCKETS = 1 << 17  # a power of two
@@ -280,8 +280,8 @@ def _one_list(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
-def _laid_out(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
-    """Ids of each document of the blocks in a batch."""
+def _laid_out(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """Documents of the blocks in a batch, some at a time, and their ids."""
     for k in range(batch.num_rows):
         row = {name: batch.column(name)[k] for name in batch.schema.names}
         words = row["words"].values.to_pylist()
@@ -300,7 +300,7 @@ def _laid_out(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
             out = flat[np.repeat(begin[some] - (each - n), n) + np.arange(total)]
             bounds = np.concatenate(([0], each))[np.concatenate(([0], np.cumsum(counts[at:stop])))]
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out, pa.int32()))
-            yield pa.RecordBatch.from_arrays([ids[at:stop], lists], ["id", "ids"])
+            yield ids[at:stop], lists
 
 
 def _some_documents(counts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -314,8 +314,8 @@ def _some_documents(counts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         at = stop
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its id and ``ids``, the array of its token ids."""
+def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str) -> tuple[DataFrame, str, int]:
+    """A row per block of documents with its distinct words encoded; the ids' type; an id's width."""
     spark = docs.sparkSession
     width = _width(ranks)
     sent = spark.sparkContext.broadcast(ranks)  # the vocabulary
@@ -334,16 +334,26 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
         if block.ids:
             yield block.row(kind)
 
-    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _laid_out(batch, width)
-
     maps = F.from_json(F.lit(json.dumps(_pair_ranks(ranks), separators=(",", ":"))), "array<map<string,string>>")
     folded = F.transform(F.array(maps), lambda m: F.transform("words", lambda w: merge_fold(w, m, width)))
     taken = source.mapInArrow(blocks, f"ids array<{id_type}>, counts array<long>, index array<int>, words array<string>")
-    coded = taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words"))
-    out = coded.mapInArrow(laid_out, f"id {id_type}, ids array<int>")
-    return out.select(F.col("id").alias(id_col), "ids")
+    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words")), id_type, width
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: its id and ``ids``, the array of its token ids."""
+    coded, id_type, width = _coded(docs, ranks, id_col, text_col)
+
+    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, lists in _laid_out(batch, width):
+                yield pa.RecordBatch.from_arrays([ids, lists], ["id", "ids"])
+
+    return coded.mapInArrow(laid_out, f"id {id_type}, ids array<int>").select(F.col("id").alias(id_col), "ids")
+
+
+def joined_pieces(ids: np.ndarray, pieces: dict[int, bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, ids.tolist()))
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -352,30 +362,33 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
 
     @pandas_udf("binary")
     def decoded(arrays: pd.Series) -> pd.Series:
-        return arrays.map(lambda x: b"".join(map(pieces.__getitem__, x.tolist())))
+        return arrays.map(lambda x: joined_pieces(x, pieces))
 
     return decoded(ids)
 
 
-def ids_sha256(ids: Column) -> Column:
-    """SHA-256 (hex) of the ids as little-endian unsigned 32-bit integers."""
-
-    @pandas_udf("string")
-    def digest(arrays: pd.Series) -> pd.Series:
-        return arrays.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
-
-    return digest(ids)
-
-
 def digests(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Number of ids, and SHA-256 of the ids and of the decoded bytes, per document."""
-    coded = encode(docs, ranks, id_col, text_col)
-    return coded.select(
-        id_col,
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_sha256(F.col("ids")).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
-    )
+    """Encodes and decodes: number of ids per document, and SHA-256 (hex) of the ids as little-endian
+    unsigned 32-bit integers and of the decoded bytes."""
+    coded, id_type, width = _coded(docs, ranks, id_col, text_col)
+    sent = docs.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, sha = sent.value, hashlib.sha256
+        for batch in batches:
+            for ids, lists in _laid_out(batch, width):
+                cut, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
+                parts = [flat[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+                columns = [
+                    ids,
+                    pa.array(np.diff(cut).astype(np.int64)),
+                    pa.array([sha(x.tobytes()).hexdigest() for x in parts], pa.string()),
+                    pa.array([sha(joined_pieces(x, pieces)).hexdigest() for x in parts], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    out = coded.mapInArrow(digested, f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return out.withColumnRenamed("id", id_col)
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> dict[bytes, int]:
