@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from antecede.llm import byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, simhash
+from antecede.llm import byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, secret_forest, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(_documents(spark, sf_dir)))
 
 
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, false positives removed by the forest."""
+    return secret_forest.find_secrets(_documents(spark, sf_dir))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of at least one code point in ten or more documents lose all occurrences."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -72,7 +77,7 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op6_personal_data, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
 }
 
 ORACLES: dict[str, str] = {
