@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from antecede.llm import byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, secret_forest, simhash
+from antecede.llm import bm25_search, byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, secret_forest, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_documents(spark, sf_dir), byte_bpe.public_vocabulary())
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return bm25_search.search(docs, docs.where("doc_id % 20 = 0"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mail and IP addresses, card and phone numbers of every document."""
     return pii.digests(pii.find_personal_data(_documents(spark, sf_dir)))
@@ -77,10 +83,39 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
 }
 
 ORACLES: dict[str, str] = {
+    "op5_topk_search": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+')) AS word
+  FROM documents
+), counted AS (
+  SELECT doc_id, word, count(*) AS tf FROM words GROUP BY doc_id, word
+), lengths AS (
+  SELECT doc_id, sum(tf) AS dl FROM counted GROUP BY doc_id
+), whole AS (
+  SELECT (SELECT count(*) FROM documents)::DOUBLE AS n,
+         (SELECT sum(dl) FROM lengths)::DOUBLE / (SELECT count(*) FROM documents) AS mean_length
+), idfs AS (
+  SELECT word, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM counted, whole GROUP BY word, n
+), chosen AS (
+  SELECT doc_id AS query_id, word, idf,
+         row_number() OVER (PARTITION BY doc_id ORDER BY tf * idf DESC, word) AS place
+  FROM counted JOIN idfs USING (word) WHERE doc_id % 20 = 0
+), scored AS (
+  SELECT query_id, doc_id,
+         sum(floor(idf * tf * (1.2::DOUBLE + 1) / (tf + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * dl / mean_length)) * 1000000 + 0.5)::BIGINT) AS micro
+  FROM chosen JOIN counted USING (word) JOIN lengths USING (doc_id), whole
+  WHERE place <= 8 GROUP BY query_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY micro DESC, doc_id) AS rank FROM scored
+)
+SELECT query_id, rank, doc_id, micro::DOUBLE / 1000000 AS score FROM ranked WHERE rank <= 10
+""",
     "op8_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
