@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from antecede.llm import bm25_search, byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, secret_forest, simhash
+from antecede.llm import bm25_search, byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, secret_forest, simhash, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_documents(spark, sf_dir), byte_bpe.public_vocabulary())
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 50-byte strings that an earlier document has are removed."""
+    found = suffix_dedup.remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for every document whose id is divisible by 20."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -83,7 +89,7 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
 }
 
 ORACLES: dict[str, str] = {
