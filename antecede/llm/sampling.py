@@ -197,13 +197,17 @@ def edit_likeness(
     )
     laid = rows.repartition(count, "part").sortWithinPartitions("part", "role", F.col("id").asc_nulls_first(), "text")
 
+    # No nulls among the ids in pandas, which would turn them into floats.
+    laid = laid.select(key.alias("id"), F.col("id").isNotNull().alias("named"), "text", "part", "role")
+
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sampler, held = Sampler(slots), None
         for whole in batches:
             for k in range(0, len(whole), _TEXTS):
                 batch = whole.iloc[k : k + _TEXTS]
                 texts = batch["text"].tolist()
-                rows = list(zip(batch["part"], batch["role"], batch["id"], texts, sampler.of_texts(texts), strict=True))
+                ids = [i if named else None for i, named in zip(batch["id"].tolist(), batch["named"], strict=True)]
+                rows = list(zip(batch["part"], batch["role"], ids, texts, sampler.of_texts(texts), strict=True))
                 rows = rows if held is None else [held, *rows]
                 pairs = [(a, b) for a, b in zip(rows, rows[1:], strict=False) if a[0] == b[0] and not a[1]]
                 changed = [edited(a[3], b[3]) for a, b in pairs]
@@ -211,7 +215,7 @@ def edit_likeness(
                 if pairs:
                     found = sampler.of_texts(changed)
                     out = [_compared(a, b, c, f) for (a, b), c, f in zip(pairs, changed, found, strict=True)]
-                    yield pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(out, columns=_COLUMNS, dtype=object)
 
     return laid.mapInPandas(compare, _SCHEMA)
 
@@ -230,7 +234,7 @@ def _empty(spark) -> DataFrame:
 def _compared(mine: tuple, following: tuple, changed: str, other: np.ndarray) -> tuple:
     _, _, id_, text, own = mine
     return (
-        None if pd.isna(id_) else int(id_),
+        id_,
         len(text),
         hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
         signature_hex(own),

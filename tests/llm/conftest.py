@@ -26,7 +26,7 @@ def awkward(spark):
         (None, "no id here, but words", "fr", "c", 21),
         (7, long, "en", None, len(long)),
         (8, "zwei Wörter ñandú 漢字 \U0001f600 it's", "de", "c", 30),
-        (9, "x", "en", "a", 1),
+        ((1 << 53) + 1, "x", "en", "a", 1),
         (10, "mail me.now@host.example.com or +1 (555) 010-9999, 4111 1111 1111 1111, 10.0.0.256 10.0.0.1", None, "a", 90),
     ]
     names = ("fingerprint", "component_id", "key", "id", "size", "score", "part", "shard", "fp", "u", "v")
