@@ -40,7 +40,7 @@ from pyspark.sql.functions import pandas_udf
 from antecede.llm.tokens import span_hashes
 
 BLOCK_CHARS = 8 << 20
-PIECE_CHARS = 2 << 20
+PIECE_CHARS = 1 << 19
 LONG_WORD = 64
 BUCKETS = 1 << 17  # a power of two
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
@@ -304,12 +304,12 @@ def _laid_out(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.Array, pa.
 
 
 def _some_documents(counts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """Ranges of documents and of their words, about a million words each."""
+    """Ranges of documents and of their words, some hundred thousand words each."""
     ends = np.cumsum(counts)
     at = 0
     while at < len(counts):
         before = int(ends[at - 1]) if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + (1 << 20), "right")))
+        stop = max(at + 1, int(np.searchsorted(ends, before + (1 << 18), "right")))
         yield at, stop, before, int(ends[stop - 1])
         at = stop
 
