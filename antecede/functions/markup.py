@@ -1,61 +1,95 @@
 """Pieces of HTML as column expressions.
 
-Meant for pages of a known, regular shape: tags are found by name and by exact
-class, never by guessing. All of it runs inside Catalyst.
+Tags are found by name and class: in either letter case, with either kind of quote,
+and a class as one among several. Comments, scripts and styles are taken out first
+(:func:`clean`). All of it runs inside Catalyst.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The character references the pages use. `&amp;` comes last, so
-# that "&amp;lt;" becomes "&lt;".
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+_REFERENCE = r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);"
+_UNSEEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 
 ANY_TAG = r"<[^>]*>"
 
 
+def clean(html: Column) -> Column:
+    """A page without what a reader never sees."""
+    return F.when(html.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(html, _UNSEEN, "")).otherwise(html)
+
+
+def _named() -> Column:
+    """Named character references, by name."""
+    names = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def _numbered(point: Column) -> Column:
+    """A character by number. As browsers do, 128 to 159 are read as Windows-1252
+    and what is no character becomes the replacement character."""
+    western = F.array(*[F.lit(bytes([n]).decode("cp1252", "replace")) for n in range(128, 160)])
+    wrong = (point == 0) | point.between(0xD800, 0xDFFF) | (point > 0x10FFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(F.when(wrong, 0xFFFD).otherwise(point)), 8, "0")), "UTF-32")
+    return F.when(point.between(128, 159), F.get(western, (point - 128).cast("int"))).otherwise(plain)
+
+
+def _referred(reference: Column) -> Column:
+    name = F.substr(reference, F.lit(2), F.length(reference) - 2)
+    hexed = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
+    number = F.when(F.lower(F.left(name, F.lit(2))) == "#x", hexed).otherwise(F.try_to_number(F.substr(name, F.lit(2)), F.lit("99999999")).cast("bigint"))
+    character = F.when(F.startswith(name, F.lit("#")), _numbered(number)).otherwise(F.try_element_at(_named(), name))
+    return F.coalesce(character, reference)
+
+
 def unescape(c: Column) -> Column:
-    """Character references -> characters."""
-    for reference, character in ENTITIES:
-        c = F.replace(c, F.lit(reference), F.lit(character))
-    return c
+    """Character references -> characters, all of them in one pass; unknown ones stay."""
+    found = F.regexp_extract_all(c, F.lit(_REFERENCE), 0)
+    between = F.split(c, _REFERENCE, -1)
+    both = F.zip_with(between, found, lambda gap, ref: F.concat(gap, F.when(ref.isNull(), "").otherwise(_referred(ref))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(both, "")).otherwise(c)
 
 
-def _exact(value: str) -> str:
-    return re.escape(value)
+def _value(wanted: str, token: bool) -> str:
+    """A pattern for an attribute's value: the whole of it, or one among several words."""
+    exact = rf"(?-i:{re.escape(wanted)})"
+    if not token:
+        return rf"""(?:"{exact}"|'{exact}')"""
+    return (
+        rf"""(?:"(?:[^"]*\s)?{exact}(?:\s[^"]*)?"|'(?:[^']*\s)?{exact}(?:\s[^']*)?'|{exact}(?=[\s>]))"""
+    )
 
 
 def opening(tag: str, **attributes: str) -> str:
-    """A pattern for an opening tag with these exact attribute values
-    (``class_`` for ``class``)."""
-    ahead = "".join(rf'(?=[^>]*\s{name.rstrip("_")}="{_exact(value)}")' for name, value in attributes.items())
-    return rf"<{tag}\b{ahead}[^>]*>"
+    """A pattern for an opening tag with these attributes (``class_`` for ``class``).
+    A single class may be one among several; two together must be the whole value."""
+    ahead = "".join(
+        rf"(?=[^>]*\s{name.rstrip('_')}\s*=\s*{_value(value, name == 'class_' and ' ' not in value)})"
+        for name, value in attributes.items()
+    )
+    return rf"(?i:<{tag}\b{ahead}[^>]*>)"
 
 
 def inside(tag: str, **attributes: str) -> str:
     """A pattern capturing what is between such a tag and the next closing one."""
-    return rf"(?s){opening(tag, **attributes)}(.*?)</{tag}>"
+    return rf"(?s){opening(tag, **attributes)}(.*?)(?i:</{tag}\s*>)"
+
+
+def table() -> str:
+    """A pattern capturing what is in a table; a cell may hold a table of its own."""
+    rest = r"(?:[^<]++|<(?!/?table\b))*+"
+    return rf"(?is)<table\b[^>]*>((?:[^<]++|<(?!/?table\b)|<table\b[^>]*+>{rest}</table\s*+>)*+)</table"
 
 
 def whole(tag: str, **attributes: str) -> str:
     """As :func:`inside`, capturing the tags too."""
-    return rf"(?s)({opening(tag, **attributes)}.*?</{tag}>)"
+    return rf"(?s)({opening(tag, **attributes)}.*?(?i:</{tag}\s*>))"
 
 
 def all_of(c: Column, pattern: str) -> Column:
@@ -70,7 +104,7 @@ def first_of(c: Column, pattern: str) -> Column:
 
 def attribute(c: Column, name: str) -> Column:
     """The value of an attribute in the first tag that has it; '' if none."""
-    return unescape(F.regexp_extract(c, rf'<[^>]*\s{name}="([^"]*)"', 1))
+    return unescape(F.regexp_extract(c, rf"""(?is)<[^>]*\s{name}\s*=\s*(["'])(.*?)\1""", 2))
 
 
 def text(c: Column) -> Column:
@@ -85,10 +119,9 @@ def joined_text(c: Column) -> Column:
 
 def joined_texts(array: Column) -> Column:
     """:func:`joined_text` of every entry. In steps, so that each works on a
-    value already computed, and only entries with a reference are unescaped."""
+    value already computed."""
     bare = F.transform(array, lambda x: F.regexp_replace(x, rf"\s*{ANY_TAG}\s*", ""))
-    plain = F.transform(bare, lambda x: F.when(F.contains(x, F.lit("&")), unescape(x)).otherwise(x))
-    return F.transform(plain, _strip)
+    return F.transform(F.transform(bare, unescape), _strip)
 
 
 def _strip(c: Column) -> Column:

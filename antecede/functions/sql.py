@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# name -> (result type, body over the argument ``c``)
+from antecede.functions.text import SENTINELS
+
+_PRESENT = "nullify_sentinels(c)"
+
+# name -> (result type, body over the argument ``c``); the first is used by the others.
 SQL_FUNCTIONS = {
-    "nullify_sentinels": ("STRING", "CASE WHEN c NOT IN ('--', '---', '') THEN c END"),
+    "nullify_sentinels": ("STRING", f"if(c IN ({', '.join(repr(s) for s in SENTINELS)}), NULL, c)"),
     "parse_landed": ("INT", "try_cast(split_part(c, ' of ', 1) AS INT)"),
     "parse_attempted": ("INT", "try_cast(split_part(c, ' of ', 2) AS INT)"),
-    "parse_percentage": (
-        "DOUBLE",
-        "CAST(try_cast(replace(nullif(nullif(nullif(c, '--'), '---'), ''), '%', '') AS DECIMAL(5,2)) AS DOUBLE) / 100D",
-    ),
+    "parse_percentage": ("DOUBLE", f"CAST(try_cast(rtrim('%', {_PRESENT}) AS DECIMAL(5, 2)) AS DOUBLE) / 100D"),
     "parse_mmss_seconds": (
         "INT",
         "try_cast(split_part(c, ':', 1) AS INT) * 60 + try_cast(split_part(c, ':', 2) AS INT)",
     ),
-    "parse_long_date": ("DATE", "try_to_date(nullif(nullif(nullif(c, '--'), '---'), ''), 'MMMM d, yyyy')"),
-    "parse_short_date": ("DATE", "try_to_date(nullif(nullif(nullif(c, '--'), '---'), ''), 'MMM d, yyyy')"),
+    "parse_long_date": ("DATE", f"try_to_date({_PRESENT}, 'MMMM d, yyyy')"),
+    "parse_short_date": ("DATE", f"try_to_date({_PRESENT}, 'MMM d, yyyy')"),
 }
 
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -39,6 +39,9 @@ MAX_ROWS_PER_TASK = 5_000_000
 
 SLICE = "_slice"
 
+# Sums of doubles are held in this type.
+EXACT = "decimal(38,18)"
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -48,6 +51,7 @@ class Measure:
     value: Column
     reset: Column | None = None
     default: object = None
+    stepped: bool = False
 
     @property
     def parts(self) -> tuple[str, ...]:
@@ -66,7 +70,7 @@ def prior_sum(value: Column, default: object = None) -> Measure:
 
 def prior_avg(value: Column, default: object = None) -> Measure:
     """Mean over earlier rows, NULLs skipped; ``default`` when there is none."""
-    return Measure("avg", value.cast("double"), default=default)
+    return Measure("avg", value, default=default)
 
 
 def prior_max(value: Column, default: object = None) -> Measure:
@@ -94,6 +98,19 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS_PER_
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows).collect()
 
 
+def _exact(df: DataFrame, measures: Mapping[str, Measure]) -> dict[str, Measure]:
+    """Sums of doubles depend on the order of addition, and so on how a history is
+    cut. They are taken in steps of 10^-18 instead, which add up exactly; what is no
+    finite number counts as missing."""
+    values = {n: m.value for n, m in measures.items() if m.kind in ("sum", "avg")}
+    if not values:
+        return dict(measures)
+    types = dict(df.select(*(v.alias(n) for n, v in values.items())).dtypes)
+    inexact = [n for n in values if types[n] in ("double", "float")]
+    stepped = {n: replace(measures[n], value=values[n].try_cast(EXACT), stepped=True) for n in inexact}
+    return {**measures, **stepped}
+
+
 def _name(measure: str, part: str) -> str:
     return f"_{measure}__{part}"
 
@@ -134,7 +151,9 @@ def _finish(df: DataFrame, measures: Mapping[str, Measure]) -> DataFrame:
     out = {}
     for name, m in measures.items():
         if m.kind == "avg":
-            value = safe_ratio(F.col(_name(name, "total")), F.col(_name(name, "n")))
+            value = safe_ratio(F.col(_name(name, "total")).cast("double"), F.col(_name(name, "n")))
+        elif m.kind == "sum" and m.stepped:
+            value = F.col(_name(name, "v")).cast("double")
         elif m.kind == "streak":
             value = F.col(_name(name, "hits")) - F.coalesce(F.col(_name(name, "mark")), F.lit(0))
         elif m.kind == "last":
@@ -200,7 +219,9 @@ def _combine(df: DataFrame, measures: Mapping[str, Measure]) -> DataFrame:
     """Carried-in and local parts -> parts over the whole history."""
     out, carries = {}, []
 
-    def added(a: Column, b: Column) -> Column:
+    def added(a: Column, b: Column, stepped: bool) -> Column:
+        if stepped:  # one digit less before, so that the sum keeps its scale
+            a, b = a.cast("decimal(37,18)"), b.cast("decimal(37,18)")
         return F.coalesce(a + b, a, b)
 
     for name, m in measures.items():
@@ -216,7 +237,7 @@ def _combine(df: DataFrame, measures: Mapping[str, Measure]) -> DataFrame:
                 carried_hits = F.coalesce(F.col("carry" + _name(name, "hits")), F.lit(0))
                 out[column] = F.greatest(carry, carried_hits + local)
             else:
-                out[column] = added(local, carry)
+                out[column] = added(local, carry, m.stepped and part != "n")
     return df.withColumns(out).drop(*carries, SLICE)
 
 
@@ -261,6 +282,7 @@ def prior_measures(
     Left out, they are counted here. With heavy entities the input is read several
     times; if it is ``costly`` to compute it is written to the shared folder first.
     """
+    measures = _exact(df, measures)
     if heavy is None:
         heavy = heavy_keys(df, entity, max_rows)
     if not heavy:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from antecede.operators.prior import MAX_ROWS_PER_TASK, prior_last, prior_measures
-from antecede.operators.sizes import broadcast_if
 
 TOLERANCE = 1e-6
 
@@ -141,9 +140,7 @@ def children_per_parent(
 def pinned_values(expected: DataFrame, keys: Sequence[str], model: DataFrame, col: str, want: str) -> DataFrame:
     """Expected rows whose value in ``model`` differs, or that it lacks. Starts
     from the expected rows, as a rule a short list written in the test."""
-    wanted = broadcast_if(expected.select(*keys), expected.count())
-    found = model.select(*keys, col).join(wanted, list(keys), "left_semi")
-    return expected.join(found, list(keys), "left").filter(differs(F.col(col), F.col(want)))
+    return expected.join(model.select(*keys, col), list(keys), "left").filter(differs(F.col(col), F.col(want)))
 
 
 def at_most(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

@@ -109,13 +109,17 @@ def career_rules(rows: DataFrame, order: Sequence[str] = career.ORDER) -> Rules:
     }
 
 
+def _undecided() -> Column:
+    return F.greatest("is_draw", "is_no_contest")
+
+
 def mart_rules(events: DataFrame, fighters: DataFrame, bouts: DataFrame, fighter_bouts: DataFrame) -> Rules:
     """What the star schema promises, beyond its contracts."""
     rules: Rules = {
         "fct_bout": q.RowRules(
             bouts,
             {
-                "fct_bout_winner_filled": q.is_false("(winner_fighter_sk is null) = (is_no_contest or is_draw)"),
+                "fct_bout_winner_filled": _undecided() != F.col("winner_fighter_sk").isNull(),
                 "fct_bout_duration": q.is_false("bout_duration_seconds > 0"),
                 "winner_is_a_participant": q.is_stranger("winner_fighter_sk", ["fighter_a_sk", "fighter_b_sk"]),
             },

@@ -7,7 +7,7 @@ same results as SQL.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -578,6 +578,57 @@ def ingest_stream(spark, sf_dir):
     return _loaded_events(spark, store)
 
 
+def _land_halves(spark, sf_dir, root: str, *parts: str) -> Iterator[None]:
+    """The events table as text, landed by halves: after each the caller goes on."""
+    events = b.table(spark, sf_dir, "events")
+    text = events.select(*(F.col(c).cast("string").alias(c) for c in events.columns))
+    for k, part in enumerate(parts):
+        mine = text.filter(F.col("event_id").cast("bigint") % 2 == k)
+        landing.write_landing(mine, root, "events", on=F.col("ts").cast("date"), part=part)
+        yield
+
+
+@query
+def ingest_mixed(spark, sf_dir):
+    """Half loaded in a batch, then all that lies there as a stream into the same
+    store, then a batch again: every row once."""
+    root, store = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    ways = (
+        lambda: load.load_entity(spark, root, "events", store),
+        lambda: load_stream(spark, root, "events", store, scratch_path(spark, "progress")),
+    )
+    for way, _ in zip(ways, _land_halves(spark, sf_dir, root, "even", "odd"), strict=False):
+        way()
+    ways[0]()
+    return _loaded_events(spark, store)
+
+
+@query
+def ingest_new_checkpoint(spark, sf_dir):
+    """Two streams with a checkpoint each take their part: nothing lost or doubled."""
+    root, store = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    for _ in _land_halves(spark, sf_dir, root, "even", "odd"):
+        load_stream(spark, root, "events", store, scratch_path(spark, "progress"))
+    return _loaded_events(spark, store)
+
+
+@query
+def ingest_mixed_precision(spark, sf_dir):
+    """Half of the files hold their time as plain microseconds, half as nanoseconds'
+    whole number: both load together."""
+    root, store = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    events = b.table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    text = events.select(F.col("event_id").cast("string").alias("event_id"), F.col("ts").alias("_day"), micros.alias("_us"))
+    even = text.filter("CAST(event_id AS bigint) % 2 = 0").withColumn("_ingested_at", F.timestamp_micros("_us"))
+    odd = text.filter("CAST(event_id AS bigint) % 2 = 1").withColumn("_ingested_at", F.col("_us") * 1000)
+    for part, mine in (("us", even), ("ns", odd)):
+        landing.write_landing(mine.drop("_us"), root, "events", on=F.col("_day").cast("date"), part=part)
+    load.load_entity(spark, root, "events", store)
+    rows = load.read_raw(spark, store, "events")
+    return rows.select("event_id", F.unix_micros("_ingested_at").alias("us"), "dt")
+
+
 @query
 def load_report(spark, sf_dir):
     """What three loads did: all files, none, and a late part of each day."""

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,8 +80,8 @@ def write_landing(
 
 
 def day_of(path: Column) -> Column:
-    """The ``dt=`` value of a file path, as an explicit DATE."""
-    return F.to_date(F.regexp_extract(path, r"/dt=([0-9-]+)/", 1))
+    """The ``dt=`` value of a file path, as an explicit DATE; NULL outside such a folder."""
+    return F.try_to_date(F.regexp_extract(path, r"/dt=([0-9-]+)/", 1))
 
 
 def canonical_path(path: Column) -> Column:
@@ -109,11 +111,23 @@ def partition_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return files.filter(F.col("dt").isNotNull())
 
 
-def accept_nanoseconds(spark: SparkSession) -> None:
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+@contextmanager
+def nanoseconds_accepted(spark: SparkSession) -> Iterator[None]:
     """Some writers store ``_ingested_at`` in nanoseconds, a parquet type Spark
-    refuses unless it may read it as a plain number. Set for the session, since it
-    counts both when a file's schema is read and when its rows are."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    refuses unless it may read it as a plain number. That counts both when a file's
+    schema is read and when its rows are; afterwards the session is as it was."""
+    before = spark.conf.get(NANOS_AS_LONG, None)
+    spark.conf.set(NANOS_AS_LONG, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(NANOS_AS_LONG)
+        else:
+            spark.conf.set(NANOS_AS_LONG, before)
 
 
 def tag_files(rows: DataFrame) -> DataFrame:
@@ -126,11 +140,36 @@ def tag_files(rows: DataFrame) -> DataFrame:
     return tagged
 
 
+def _by_time_type(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The files grouped by the type of ``_ingested_at``."""
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        types = dict(spark.read.option("recursiveFileLookup", "true").parquet(path).dtypes)
+        groups.setdefault(types.get("_ingested_at", ""), []).append(path)
+    return list(groups.values())
+
+
 def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The given files as one table, columns matched by name and missing ones
-    NULL, with the tags of :func:`tag_files`."""
-    accept_nanoseconds(spark)
-    return tag_files(spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths))
+    NULL, with the tags of :func:`tag_files`. To be used, and its rows read, under
+    :func:`nanoseconds_accepted`. Files that hold ``_ingested_at`` in different
+    precisions are read apart; only then is each file's footer looked at alone."""
+
+    def read(some: Sequence[str]) -> DataFrame:
+        merged = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+        return tag_files(merged.parquet(*some))
+
+    try:
+        return read(paths)
+    except Exception as error:  # its class depends on where the schemas were merged
+        groups = _by_time_type(spark, paths) if _cannot_merge(error) else []
+        if len(groups) < 2:
+            raise
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(read, groups))
+
+
+def _cannot_merge(error: Exception) -> bool:
+    return "CANNOT_MERGE_SCHEMAS" in str(error) or "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE" in str(error)
 
 
 def landed_keys(spark: SparkSession, root: str, entity: str, column: str, on: dt.date | None = None) -> DataFrame:

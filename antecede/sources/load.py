@@ -4,31 +4,43 @@ Layout of a raw store::
 
     <store>/data/<entity>/load_id=<id>/dt=<day>/*.parquet
     <store>/ledger/load_id=<id>/*.parquet        one row per file
+    <store>/columns/<entity>/*.parquet           the columns of the loads so far
+    <store>/failures/*.parquet                   files that could not be read
 
 Plain parquet has no transactions, so the ledger is the commit: a load writes its
 rows under a load id of its own, then its ledger rows in one small file. Readers
 take only load ids the ledger knows. A run that dies in between leaves rows
-nobody reads, and its files are still new to the next run.
+nobody reads, and its files are still new to the next run. A load id is never
+used by two runs, and a committed one never written again.
+
+A file that cannot be read does not hold up the others: it is set aside in
+``failures`` and is still new to the next run.
+
+The columns that loads have brought are kept beside the ledger, so that a read
+opens no footers to find them.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from antecede.sources.landing import partition_files, read_files
+from antecede.sources.landing import nanoseconds_accepted, partition_files, read_files
 
 ENTITIES = ("events", "bouts", "fighters")
 
 LEDGER_DDL = """entity STRING, file_path STRING, dt DATE, row_count BIGINT, loaded_at TIMESTAMP, load_id STRING"""
 
+FAILURES_DDL = "entity STRING, file_path STRING, reason STRING, failed_at TIMESTAMP"
+
 REPORT_DDL = "entity STRING, files_loaded BIGINT, files_skipped BIGINT, rows_loaded BIGINT"
 
 # Files per commit: bounds the path list a load holds at once.
@@ -43,6 +55,7 @@ class LoadResult:
     files_loaded: int
     files_skipped: int
     rows_loaded: int
+    files_failed: int = 0
 
 
 def _data(store: str, entity: str) -> str:
@@ -61,18 +74,65 @@ def read_ledger(spark: SparkSession, store: str, entity: str | None = None) -> D
     return ledger if entity is None else ledger.filter(F.col("entity") == entity)
 
 
-def read_raw(spark: SparkSession, store: str, entity: str) -> DataFrame:
+def read_failures(spark: SparkSession, store: str, entity: str | None = None) -> DataFrame:
+    """One row each time a file could not be read."""
+    schema = StructType.fromDDL(FAILURES_DDL)
+    try:
+        failures = spark.read.schema(schema).parquet(f"{store}/failures")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        failures = spark.createDataFrame([], schema)
+    return failures if entity is None else failures.filter(F.col("entity") == entity)
+
+
+def known_columns(spark: SparkSession, store: str, entity: str) -> StructType:
+    """The columns that loads of an entity have brought, in the order they came."""
+    try:
+        kept = spark.read.schema("place BIGINT, added STRING").parquet(f"{store}/columns/{entity}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return StructType()
+    # A row for each load that brought a new column.
+    return merge_columns(StructType.fromJson(json.loads(r["added"])) for r in kept.orderBy("place", "added").collect())
+
+
+def merge_columns(schemas: Iterable[StructType]) -> StructType:
+    """Every column of any of them; the first to name one gives its type."""
+    fields: dict[str, StructField] = {}
+    for schema in schemas:
+        for field in schema:
+            fields.setdefault(field.name.lower(), StructField(field.name, field.dataType))
+    return StructType(list(fields.values()))
+
+
+def remember_columns(spark: SparkSession, store: str, entity: str, columns: StructType) -> None:
+    """Keep what a load brings beyond the known columns."""
+    known = known_columns(spark, store, entity)
+    names = {field.name.lower() for field in known}
+    added = StructType([field for field in columns if field.name.lower() not in names])
+    if added.fields:
+        row = spark.createDataFrame([(len(known.fields), added.json())], "place BIGINT, added STRING")
+        row.coalesce(1).write.mode("append").parquet(f"{store}/columns/{entity}")
+
+
+def read_raw(spark: SparkSession, store: str, entity: str, declared: StructType | None = None) -> DataFrame:
     """The raw table: committed loads only, every column any file had, ``dt`` as
-    a date. The semi join is on a partition column, so only the folders of
-    committed loads are read."""
+    a date. Before the first load it is empty, with the ``declared`` columns. The
+    semi join is on a partition column, so only the folders of committed loads are
+    read."""
+    columns = merge_columns(x for x in (known_columns(spark, store, entity), declared) if x is not None)
+    partitions = [StructField("load_id", StringType()), StructField("dt", StringType())]
+    fields = [f for f in columns if f.name not in ("load_id", "dt", "_file_path")]
     try:
-        rows = spark.read.option("mergeSchema", "true").parquet(_data(store, entity))
+        rows = spark.read.schema(StructType(fields + partitions)).parquet(_data(store, entity))
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], StructType())
+        rows = spark.createDataFrame([], StructType(fields + partitions))
     committed = read_ledger(spark, store, entity).select("load_id").distinct()
-    rows = rows.join(committed, "load_id", "left_semi").drop("load_id", "_file_path")
+    rows = rows.join(committed, "load_id", "left_semi").drop("load_id")
     return rows.withColumn("dt", F.col("dt").cast("date"))
 
 
@@ -92,6 +152,7 @@ def commit_ledger(spark: SparkSession, files: DataFrame, counts: DataFrame, stor
 def append_rows(rows: DataFrame, store: str, entity: str, load_id: str) -> None:
     """Write the rows of one load, by day. Writing the same load id again
     replaces it."""
+    remember_columns(rows.sparkSession, store, entity, rows.schema)
     rows.write.mode("overwrite").partitionBy("dt").parquet(f"{_data(store, entity)}/load_id={load_id}")
 
 
@@ -107,6 +168,33 @@ def _chunks(files: DataFrame, size: int) -> Iterator[list]:
         yield chunk
 
 
+def _load_files(spark: SparkSession, files: list, store: str, entity: str) -> tuple[int, int, int]:
+    """Commit some files under one load id; (loaded, rows, failed). When that
+    fails, each half is tried alone, down to the files that cannot be read."""
+    load_id = f"load-{uuid.uuid4().hex}"
+    try:
+        append_rows(read_files(spark, [row["file_path"] for row in files]), store, entity, load_id)
+        counts = rows_per_file(spark, store, entity, load_id)
+    except Exception as error:
+        if len(files) > 1:
+            half = len(files) // 2
+            parts = [_load_files(spark, part, store, entity) for part in (files[:half], files[half:])]
+            return tuple(map(sum, zip(*parts, strict=True)))
+        _set_aside(spark, store, entity, files[0]["file_path"], error)
+        return 0, 0, 1
+    listed = spark.createDataFrame(files, "file_path STRING, dt DATE, size_bytes BIGINT")
+    commit_ledger(spark, listed, counts, store, entity, load_id)
+    done = read_ledger(spark, store, entity).filter(F.col("load_id") == load_id)
+    return len(files), done.agg(F.sum("row_count").alias("n")).first()["n"], 0
+
+
+def _set_aside(spark: SparkSession, store: str, entity: str, path: str, error: Exception) -> None:
+    reason = next(iter(str(error).strip().splitlines()), type(error).__name__)[:500]
+    row = spark.createDataFrame([(entity, path, reason)], "entity STRING, file_path STRING, reason STRING")
+    stamped = row.withColumn("failed_at", F.current_timestamp())
+    stamped.coalesce(1).write.mode("append").parquet(f"{store}/failures")
+
+
 def load_entity(
     spark: SparkSession, root: str, entity: str, store: str, files_per_commit: int = FILES_PER_COMMIT
 ) -> LoadResult:
@@ -117,16 +205,11 @@ def load_entity(
     skipped = flagged.agg(F.count_if("_known").alias("n")).first()["n"]
     new = flagged.filter(F.col("_known").isNull()).drop("_known").orderBy("dt", "file_path")
 
-    files_loaded = rows_loaded = 0
-    for chunk in _chunks(new, files_per_commit):
-        load_id = f"load-{uuid.uuid4().hex}"
-        append_rows(read_files(spark, [row["file_path"] for row in chunk]), store, entity, load_id)
-        listed = spark.createDataFrame(chunk, "file_path STRING, dt DATE, size_bytes BIGINT")
-        commit_ledger(spark, listed, rows_per_file(spark, store, entity, load_id), store, entity, load_id)
-        done = read_ledger(spark, store, entity).filter(F.col("load_id") == load_id)
-        files_loaded += len(chunk)
-        rows_loaded += done.agg(F.sum("row_count").alias("n")).first()["n"]
-    return LoadResult(entity, files_loaded, skipped, rows_loaded)
+    total = [0, 0, 0]
+    with nanoseconds_accepted(spark):
+        for chunk in _chunks(new, files_per_commit):
+            total = [a + b for a, b in zip(total, _load_files(spark, chunk, store, entity), strict=True)]
+    return LoadResult(entity, total[0], skipped, total[1], total[2])
 
 
 def load_all(

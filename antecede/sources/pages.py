@@ -74,6 +74,11 @@ def drop_interstitials(pages: DataFrame, marker: str = CHALLENGE_MARKER) -> tupl
     return pages.filter(~flagged), pages.filter(flagged)
 
 
+def skipped(parsed: DataFrame) -> DataFrame:
+    """(url) of pages that had nothing to give."""
+    return parsed.filter(F.col("status") == SKIP).select("url").distinct()
+
+
 def split_status(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records, quarantine). Skipped pages are in neither."""
     records = parsed.filter(F.col("status") == OK).drop("status", "reason")
@@ -102,8 +107,13 @@ def _status(rules: Mapping[str, Column], skip: Column | None = None) -> dict[str
     return {"reason": reason, "status": status.otherwise(OK)}
 
 
+def _seen(pages: DataFrame) -> DataFrame:
+    """The pages without comments, scripts and styles."""
+    return _once(pages, "url", html=m.clean(F.col("html")))
+
+
 def _first_table(html: Column) -> Column:
-    return m.first_of(html, m.inside("table"))
+    return m.first_of(html, m.table())
 
 
 def _rows(table: Column) -> Column:
@@ -113,8 +123,8 @@ def _rows(table: Column) -> Column:
 def parse_listing(pages: DataFrame, table_class: str = LISTING_TABLE) -> DataFrame:
     """Listing page -> one row per table row with at least two cells: name and
     date (two lines of the first cell), location, link."""
-    table = m.first_of(F.col("html"), rf'(?s)<table\b[^>]*\sclass="[^"]*\b{table_class}\b[^"]*"[^>]*>(.*?)</table>')
-    rows = pages.select("url", F.posexplode(_rows(table)).alias("position", "row"))
+    table = m.first_of(F.col("html"), m.inside("table", class_=table_class))
+    rows = _seen(pages).select("url", F.posexplode(_rows(table)).alias("position", "row"))
     cells = _once(rows, "url", "position", cells=m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
     first = F.get("cells", F.lit(0))
     parsed = _once(
@@ -143,10 +153,11 @@ def parse_card(pages: DataFrame) -> DataFrame:
     different cells, so lists of unequal length mean that pairing them would give
     a bout another bout's winner: the page goes to quarantine.
     """
-    found = _once(pages, "url", rows=_rows(_first_table(F.col("html"))))
+    found = _once(_seen(pages), "url", rows=_rows(_first_table(F.col("html"))))
 
     def links(row: Column) -> Column:
-        return F.split_part(m.first_of(row, r'(?s)^<tr\b[^>]*\sonclick="([^"]*)"'), F.lit("'"), F.lit(2))
+        call = F.regexp_extract(row, r"""(?is)^<tr\b[^>]*\sonclick\s*=\s*(["'])(.*?)\1""", 2)
+        return F.regexp_extract(m.unescape(call), r"""["']([^"']*)["']""", 1)
 
     def black(row: Column) -> Column:
         return m.all_of(row, m.inside("a", class_=BLACK_LINK))
@@ -164,7 +175,7 @@ def parse_card(pages: DataFrame) -> DataFrame:
         left = m.all_of(row, m.inside("td", class_=LEFT_CELL))
         return F.when(F.size(left) > 1, m.text(m.first_of(F.get(left, F.lit(1)), m.inside("p", class_=CELL_TEXT))))
 
-    with_winner = F.filter("rows", lambda r: (F.size(black(r)) > 0) & ~F.contains(r, F.lit("<th")))
+    with_winner = F.filter("rows", lambda r: (F.size(black(r)) > 0) & ~r.rlike(r"(?i)<th\b"))
     lists = _once(
         found,
         "url",
@@ -173,7 +184,9 @@ def parse_card(pages: DataFrame) -> DataFrame:
         classes=F.filter(F.transform("rows", weight), lambda x: x.isNotNull()),
     )
     unequal = (F.size("links") != F.size("outcomes")) | (F.size("links") != F.size("classes"))
-    checked = lists.withColumns(_status({"lists of unequal length": unequal}, skip=F.size("links") == 0))
+    no_result = F.exists("outcomes", lambda o: F.coalesce(o["result"], F.lit("")) == "")
+    rules = {"lists of unequal length": unequal, "a row without a result": no_result}
+    checked = lists.withColumns(_status(rules, skip=F.size("links") == 0))
     zipped = F.when(F.col("status") == OK, F.arrays_zip("links", "outcomes", "classes"))
     return checked.select("url", "status", "reason", F.posexplode_outer(zipped).alias("position", "b")).select(
         "url",
@@ -189,17 +202,18 @@ def parse_card(pages: DataFrame) -> DataFrame:
 
 def parse_box_score(pages: DataFrame, columns: tuple[str, ...] = BOX_SCORE_COLUMNS) -> DataFrame:
     """Box-score page -> one row: the named cells, both fighters' links, method,
-    round and time. Fewer cells than names: skipped; more: quarantine."""
+    round and time. More cells than names, or fewer on a page that names two
+    fighters: quarantine; no box score at all: skipped."""
     parts = _once(
-        pages,
+        _seen(pages),
         "url",
         table=_first_table(F.col("html")),
         summary=m.first_of(F.col("html"), m.inside("p", class_=SUMMARY)),
-        has_table=F.contains("html", F.lit("<table")),
+        has_table=F.col("html").rlike(r"(?i)<table\b"),
     )
     first = m.first_of(F.col("summary"), rf"(?s){m.opening('i', class_=SUMMARY_FIRST)}(.*)")
     # An item is a label in its own tag and the value after it.
-    item = rf"(?s){m.opening('i', class_=SUMMARY_ITEM)}\s*<i\b[^>]*>[^<]*</i>([^<]*)</i>"
+    item = rf"(?is){m.opening('i', class_=SUMMARY_ITEM)}\s*<i\b[^>]*>[^<]*</i\s*>([^<]*)</i\s*>"
     anchors = m.all_of(F.col("table"), m.whole("a", class_=BLACK_LINK))
     read = _once(
         parts,
@@ -213,6 +227,7 @@ def parse_box_score(pages: DataFrame, columns: tuple[str, ...] = BOX_SCORE_COLUM
     rules = {
         "no summary": F.col("has_table") & ((F.col("method") == "") | (F.size("items") < 2)),
         "more cells than columns": F.size("cells") > len(columns),
+        "fewer cells than columns": (F.size("links") > 1) & (F.size("cells") < len(columns)),
     }
     named = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(columns)]
     return read.withColumns(_status(rules, skip=F.size("cells") < len(columns))).select(
@@ -240,7 +255,7 @@ def parse_profile(pages: DataFrame, labels: Mapping[str, str] = PROFILE_LABELS)
 
     items = F.transform(m.all_of(F.col("html"), m.inside("li", class_=PROFILE_ITEM)), entry)
     name = m.joined_text(m.first_of(F.col("html"), m.inside("span", class_=PROFILE_NAME)))
-    read = _once(pages, "url", fighter_name=name, items=F.filter(items, lambda e: e["label"] != ""))
+    read = _once(_seen(pages), "url", fighter_name=name, items=F.filter(items, lambda e: e["label"] != ""))
 
     def labelled(label: str) -> Column:
         return F.try_element_at(F.filter("items", lambda e: e["label"] == label), F.lit(-1))["value"]
@@ -253,7 +268,8 @@ def parse_profile(pages: DataFrame, labels: Mapping[str, str] = PROFILE_LABELS)
         parts["last"].alias("last_name"),
         *(labelled(label).alias(column) for label, column in labels.items()),
         F.to_json(F.map_from_arrays(F.array_distinct("items.label"), _last_values())).alias("profile_json"),
-    ).withColumns(_status({}))
+        F.size("items").alias("_labels"),
+    ).withColumns(_status({"no label": F.col("_labels") == 0})).drop("_labels")
 
 
 def _last_values() -> Column:
@@ -267,7 +283,7 @@ def _last_values() -> Column:
 def parse_index(pages: DataFrame) -> DataFrame:
     """Index page -> (first, last, link) per row of the first table with at
     least two cells."""
-    rows = pages.select("url", F.posexplode(_rows(_first_table(F.col("html")))).alias("position", "row"))
+    rows = _seen(pages).select("url", F.posexplode(_rows(_first_table(F.col("html")))).alias("position", "row"))
     cells = _once(rows, "url", "position", cells=m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
     first, second = F.get("cells", F.lit(0)), F.get("cells", F.lit(1))
     parsed = _once(
@@ -283,15 +299,15 @@ def parse_index(pages: DataFrame) -> DataFrame:
 
 def parse_links(pages: DataFrame, within: str = "li") -> DataFrame:
     """Every link that fills an element of this kind: (url, position, href, text)."""
-    found = m.all_of(F.col("html"), rf"(?s)<{within}\b[^>]*>\s*(<a\s[^>]*>.*?</a>)")
-    links = pages.select("url", F.posexplode(found).alias("position", "a"))
+    found = m.all_of(F.col("html"), rf"(?is)<{within}\b[^>]*>\s*(<a\s[^>]*>.*?</a\s*>)")
+    links = _seen(pages).select("url", F.posexplode(found).alias("position", "a"))
     return links.select("url", "position", m.attribute(F.col("a"), "href").alias("href"), m.text(F.col("a")).alias("text"))
 
 
 def parse_elements(pages: DataFrame, tag: str) -> DataFrame:
     """Text of every element of one kind: (url, position, text)."""
     found = m.all_of(F.col("html"), m.inside(tag))
-    elements = pages.select("url", F.posexplode(found).alias("position", "e"))
+    elements = _seen(pages).select("url", F.posexplode(found).alias("position", "e"))
     return elements.select("url", "position", m.joined_text(F.col("e")).alias("text"))
 
 

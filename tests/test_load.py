@@ -1,197 +1,225 @@
-"""Landing files and the exactly-once load, batch and streaming."""
+"""Landing files and the exactly-once load, in batches and as a stream."""
 
 import datetime as dt
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from antecede.sources import landing, load
-from antecede.sources.load import load_all, load_entity, read_ledger, read_raw, report
+from antecede.streaming import load as stream_module
 from antecede.streaming import load_stream
 
-D1, D2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+MAY, JUNE = dt.date(2031, 5, 9), dt.date(2031, 6, 30)
 
 
-@pytest.fixture(params=["batch", "stream"])
-def loader(request, spark, tmp_path):
-    """load(entity) by either way, into the same kind of store."""
-    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
+class Place:
+    """A landing folder and a store; loads by either way."""
 
-    def run(entity):
-        if request.param == "batch":
-            return load_entity(spark, root, entity, store)
-        return load_stream(spark, root, entity, store, str(tmp_path / f"progress-{entity}"))
+    def __init__(self, spark, folder, way="batch"):
+        self.spark, self.folder, self.way = spark, folder, way
+        self.root, self.store = str(folder / "land"), str(folder / "store")
 
-    run.root, run.store = root, store
-    return run
+    def land(self, entity, day, *rows, part=None, **names):
+        columns = ", ".join(f"{n} string" for n in (names.get("columns") or ("name",)))
+        frame = self.spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], columns).coalesce(1)
+        landing.write_landing(frame, self.root, entity, on=day, part=part)
 
+    def file(self, entity, day, name, frame):
+        to = self.folder / "land" / entity / f"dt={day}"
+        to.mkdir(parents=True, exist_ok=True)
+        frame.to_parquet(to / name, index=False)
 
-def rows(spark, ddl, *values):
-    return spark.createDataFrame(list(values), ddl).coalesce(1)
+    def load(self, entity, way=None, checkpoint="progress"):
+        if (way or self.way) == "batch":
+            return load.load_entity(self.spark, self.root, entity, self.store)
+        return load_stream(self.spark, self.root, entity, self.store, str(self.folder / f"{checkpoint}-{entity}"))
 
+    def rows(self, entity, *columns):
+        return sorted(tuple(r) for r in load.read_raw(self.spark, self.store, entity).select(*(columns or ("name",))).collect())
 
-def put(spark, root, entity, df, day, part=None):
-    landing.write_landing(df, root, entity, on=day, part=part)
+    def logged(self, entity):
+        ledger = load.read_ledger(self.spark, self.store, entity).collect()
+        assert len({r.file_path for r in ledger}) == len(ledger)
+        return sorted(r.row_count for r in ledger)
 
 
-def counts(result):
+def did(result):
     return result.files_loaded, result.files_skipped, result.rows_loaded
 
 
-def test_two_partitions_then_nothing(spark, loader):
-    put(spark, loader.root, "bouts", rows(spark, "bout_url string, x string", ("a", "1"), ("b", "2")), D1)
-    put(spark, loader.root, "bouts", rows(spark, "bout_url string, x string", ("c", "3")), D2)
-    assert counts(loader("bouts")) == (2, 0, 3)
-    assert counts(loader("bouts")) == (0, 2, 0)
-    table = read_raw(spark, loader.store, "bouts")
-    assert table.columns == ["bout_url", "x", "dt"]
-    assert {(r.bout_url, r.dt) for r in table.collect()} == {("a", D1), ("b", D1), ("c", D2)}
-
-
-def test_late_part_adds_only_itself(spark, loader):
-    put(spark, loader.root, "bouts", rows(spark, "bout_url string", ("a",)), D1, "00000")
-    assert counts(loader("bouts")) == (1, 0, 1)
-    put(spark, loader.root, "bouts", rows(spark, "bout_url string", ("b",), ("c",)), D1, "00025")
-    assert counts(loader("bouts")) == (1, 1, 2)
-    assert read_raw(spark, loader.store, "bouts").count() == 3
-
-
-def test_day_comes_from_the_path_as_a_date(spark, loader):
-    put(spark, loader.root, "events", rows(spark, "event_url string", ("e1",)), D1)
-    put(spark, loader.root, "events", rows(spark, "event_url string", ("e2",)), D2)
-    loader("events")
-    table = read_raw(spark, loader.store, "events")
-    assert dict(table.dtypes)["dt"] == "date"
-    assert {(r.event_url, r.dt) for r in table.collect()} == {("e1", D1), ("e2", D2)}
-
-
-def test_one_ledger_row_per_file(spark, loader):
-    put(spark, loader.root, "fighters", rows(spark, "fighter_url string", ("f1",), ("f2",)), D1)
-    put(spark, loader.root, "fighters", rows(spark, "fighter_url string", ("f3",)), D2)
-    loader("fighters")
-    ledger = read_ledger(spark, loader.store, "fighters").collect()
-    assert {(r.entity, r.dt, r.row_count) for r in ledger} == {("fighters", D1, 2), ("fighters", D2, 1)}
-    assert all(r.loaded_at is not None and r.file_path.endswith(".parquet") for r in ledger)
-
-
-def test_text_stays_text(spark, loader):
-    put(spark, loader.root, "bouts", rows(spark, "a string, b string, c string", ("14 of 31", "45%", "0:02")), D1)
-    loader("bouts")
-    table = read_raw(spark, loader.store, "bouts")
-    assert dict(table.dtypes) == {"a": "string", "b": "string", "c": "string", "dt": "date"}
-    assert tuple(table.first())[:3] == ("14 of 31", "45%", "0:02")
-
-
-def test_new_column_is_null_in_old_rows(spark, loader):
-    put(spark, loader.root, "bouts", rows(spark, "bout_url string, method string", ("a", "KO")), D1)
-    loader("bouts")
-    put(spark, loader.root, "bouts", rows(spark, "referee string, bout_url string, method string", ("R", "b", "DQ")), D2)
-    loader("bouts")
-    got = {(r.bout_url, r.method, r.referee) for r in read_raw(spark, loader.store, "bouts").collect()}
-    assert got == {("a", "KO", None), ("b", "DQ", "R")}
-
-
-def test_missing_folder_loads_nothing(spark, loader):
-    assert counts(loader("bouts")) == (0, 0, 0)
-    assert read_raw(spark, loader.store, "bouts").count() == 0
-    assert landing.partition_files(spark, loader.root, "bouts").dtypes[1] == ("dt", "date")
-
-
-def test_all_entities_in_order(spark, tmp_path):
-    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
-    for entity in ("fighters", "events", "bouts"):
-        put(spark, root, entity, rows(spark, "u string", ("x",)), D1)
-    results = load_all(spark, root, store)
-    assert [r.entity for r in results] == ["events", "bouts", "fighters"]
-    assert [tuple(r) for r in report(spark, results).collect()] == [
-        ("events", 1, 0, 1),
-        ("bouts", 1, 0, 1),
-        ("fighters", 1, 0, 1),
+@pytest.fixture(params=["batch", "stream"])
+def place(request, spark, tmp_path):
+    return Place(spark, tmp_path, request.param)
+
+
+@pytest.fixture
+def batch(spark, tmp_path):
+    return Place(spark, tmp_path)
+
+
+def test_every_file_once_however_often_it_runs(place):
+    place.land("fighters", MAY, "ash", "oak")
+    place.land("fighters", JUNE, "fir", "elm", "yew")
+    assert did(place.load("fighters")) == (2, 0, 5)
+    assert did(place.load("fighters")) == (0, 2, 0)
+    place.land("fighters", MAY, "box", part="late")
+    assert did(place.load("fighters")) == (1, 2, 1)
+    assert place.rows("fighters", "name", "dt") == [
+        ("ash", MAY), ("box", MAY), ("elm", JUNE), ("fir", JUNE), ("oak", MAY), ("yew", JUNE)
+    ]
+    assert place.logged("fighters") == [1, 2, 3]
+
+
+def test_values_stay_as_they_landed(place):
+    place.land("events", MAY, ("007", "5 of 9", " x "), columns=("a", "b", "c"))
+    place.load("events")
+    raw = load.read_raw(place.spark, place.store, "events")
+    assert raw.dtypes == [("a", "string"), ("b", "string"), ("c", "string"), ("dt", "date")]
+    assert tuple(raw.first()) == ("007", "5 of 9", " x ", MAY)
+
+
+def test_columns_may_come_and_go(place):
+    place.land("events", MAY, ("harbour", "wet"), columns=("name", "ground"))
+    place.load("events")
+    place.land("events", JUNE, ("7", "hill"), columns=("gate", "name"))
+    place.load("events")
+    assert place.rows("events", "name", F.coalesce("ground", F.lit("-")), F.coalesce("gate", F.lit("-"))) == [
+        ("harbour", "wet", "-"),
+        ("hill", "-", "7"),
     ]
 
 
-def test_files_go_in_several_commits(spark, tmp_path):
-    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
-    for n in range(5):
-        put(spark, root, "bouts", rows(spark, "u string", (str(n),)), D1, f"{n:05d}")
-    assert counts(load_entity(spark, root, "bouts", store, files_per_commit=2)) == (5, 0, 5)
-    assert read_ledger(spark, store).select("load_id").distinct().count() == 3
-    assert read_raw(spark, store, "bouts").count() == 5
-
-
-def test_a_file_without_rows_is_logged_once(spark, tmp_path):
-    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
-    folder = tmp_path / "landing" / "bouts" / "dt=2026-01-01"
-    folder.mkdir(parents=True)
-    pd.DataFrame({"u": pd.Series([], dtype=str)}).to_parquet(folder / "bouts-0.parquet")
-    assert counts(load_entity(spark, root, "bouts", store)) == (1, 0, 0)
-    assert counts(load_entity(spark, root, "bouts", store)) == (0, 1, 0)
-
-
-def test_flat_files_with_nanosecond_times(spark, loader, tmp_path):
-    """Files another writer put straight into the day's folder."""
-    folder = tmp_path / "landing" / "bouts" / "dt=2026-01-01"
-    folder.mkdir(parents=True)
-    when = pd.Timestamp("2026-01-01 10:00:00.123456", tz="UTC")
-    frame = pd.DataFrame({"u": ["x"], "_ingested_at": pd.Series([when]).astype("datetime64[ns, UTC]")})
-    frame.to_parquet(folder / "bouts-00000.parquet", index=False)
-    assert counts(loader("bouts")) == (1, 0, 1)
-    shown = F.date_format("_ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    row = read_raw(spark, loader.store, "bouts").select("u", "dt", shown).first()
-    assert tuple(row) == ("x", D1, "2026-01-01 10:00:00.123456")
-
-
-def test_a_load_that_dies_leaves_nothing_and_is_made_up(spark, tmp_path, monkeypatch):
-    root, store = str(tmp_path / "landing"), str(tmp_path / "store")
-    put(spark, root, "bouts", rows(spark, "u string", ("a",), ("b",)), D1)
-
-    def die(*args):
-        raise RuntimeError("executor gone")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(load, "commit_ledger", die)
-        with pytest.raises(RuntimeError):
-            load_entity(spark, root, "bouts", store)
-    assert read_raw(spark, store, "bouts").count() == 0
-    assert read_ledger(spark, store).count() == 0
-    assert counts(load_entity(spark, root, "bouts", store)) == (1, 0, 2)
-    assert read_raw(spark, store, "bouts").count() == 2
-
-
-def test_a_replayed_stream_batch_writes_once(spark, tmp_path, monkeypatch):
-    import antecede.streaming.load as stream
-
-    root, store, progress = (str(tmp_path / n) for n in ("landing", "store", "progress"))
-    put(spark, root, "bouts", rows(spark, "u string", ("a",), ("b",)), D1)
-
-    def die(*args):
-        raise RuntimeError("gone before the ledger")
+def test_nothing_landed(place):
+    assert did(place.load("bouts")) == (0, 0, 0)
+    declared = StructType([StructField("bout_url", StringType())])
+    raw = load.read_raw(place.spark, place.store, "bouts", declared)
+    assert raw.columns == ["bout_url", "dt"] and raw.isEmpty()
+
+
+def test_files_without_rows_are_logged(place):
+    place.file("bouts", MAY, "none.parquet", pd.DataFrame({"name": pd.Series([], dtype="string")}))
+    place.land("bouts", JUNE, "larch")
+    assert did(place.load("bouts")) == (2, 0, 1)
+    assert place.logged("bouts") == [0, 1]
+    assert did(place.load("bouts")) == (0, 2, 0)
+
+
+def test_stray_files_are_no_ones(place):
+    place.land("bouts", MAY, "larch")
+    stray = place.folder / "land" / "bouts"
+    pd.DataFrame({"name": ["lost"]}).to_parquet(stray / "notes.parquet")
+    (stray / "dt=soon").mkdir()
+    pd.DataFrame({"name": ["lost"]}).to_parquet(stray / "dt=soon" / "a.parquet")
+    assert did(place.load("bouts")) == (1, 0, 1)
+    assert place.rows("bouts") == [("larch",)]
+
+
+def test_times_of_both_precisions_in_one_load(place):
+    when = pd.Timestamp("2031-05-09 23:59:58.000123", tz="UTC")
+    for kind in ("ns", "us"):
+        stamped = pd.DataFrame({"name": [kind], "_ingested_at": pd.Series([when]).astype(f"datetime64[{kind}, UTC]")})
+        place.file("bouts", MAY, f"{kind}.parquet", stamped)
+    before = place.spark.conf.get(landing.NANOS_AS_LONG, None)
+    if place.way == "stream":  # one schema a run: the files come one after the other
+        with pytest.raises(Exception, match="MERGE"):
+            place.load("bouts")
+    place.load("bouts", "batch")
+    assert place.spark.conf.get(landing.NANOS_AS_LONG, None) == before
+    shown = F.date_format("_ingested_at", "HH:mm:ss.SSSSSS")
+    assert place.rows("bouts", "name", shown) == [("ns", "23:59:58.000123"), ("us", "23:59:58.000123")]
+
+
+def test_both_ways_share_a_store(batch):
+    batch.land("events", MAY, "one", "two")
+    assert did(batch.load("events", "batch")) == (1, 0, 2)
+    assert did(batch.load("events", "stream")) == (0, 1, 0)
+    batch.land("events", JUNE, "three")
+    assert did(batch.load("events", "stream")) == (1, 1, 1)
+    assert did(batch.load("events", "batch")) == (0, 2, 0)
+    assert batch.rows("events") == [("one",), ("three",), ("two",)]
+
+
+def test_a_new_checkpoint_neither_loses_nor_doubles(batch):
+    batch.land("events", MAY, "one", "two")
+    batch.load("events", "stream", "first")
+    batch.land("events", JUNE, "three")
+    assert did(batch.load("events", "stream", "second")) == (1, 1, 1)
+    batch.land("events", JUNE, "four", part="more")
+    batch.load("events", "stream", "first")
+    assert batch.rows("events") == [("four",), ("one",), ("three",), ("two",)]
+
+
+def test_a_broken_file_does_not_hold_up_the_others(batch):
+    for n in range(4):
+        batch.land("events", MAY, f"row {n}", part=f"p{n}")
+    broken = batch.folder / "land" / "events" / f"dt={MAY}" / "broken.parquet"
+    broken.write_bytes(b"PAR1 but not really PAR1")
+    result = batch.load("events")
+    assert did(result) == (4, 0, 4) and result.files_failed == 1
+    failures = load.read_failures(batch.spark, batch.store, "events").collect()
+    assert [r.file_path.endswith("broken.parquet") for r in failures] == [True] and failures[0].reason
+    pd.DataFrame({"name": ["mended"]}).to_parquet(broken, index=False)
+    assert did(batch.load("events")) == (1, 4, 1)
+    assert batch.rows("events")[0] == ("mended",)
+
+
+def test_a_second_load_opens_new_files_only(batch):
+    batch.land("events", MAY, ("x", "y"), columns=("name", "old"))
+    batch.load("events")
+    for path in (batch.folder / "land" / "events").rglob("*.parquet"):
+        path.write_bytes(b"no longer readable")
+    batch.land("events", JUNE, "new")
+    assert did(batch.load("events")) == (1, 1, 1)
+    assert batch.rows("events", "name", F.coalesce("old", F.lit("-"))) == [("new", "-"), ("x", "y")]
+
+
+def test_many_files_in_several_commits(batch):
+    for n in range(7):
+        batch.land("events", MAY, str(n), part=f"p{n}")
+    result = load.load_entity(batch.spark, batch.root, "events", batch.store, files_per_commit=3)
+    assert did(result) == (7, 0, 7)
+    assert load.read_ledger(batch.spark, batch.store).select("load_id").distinct().count() == 3
+
+
+def test_entities_one_by_one_and_their_report(batch):
+    batch.land("bouts", MAY, "b")
+    batch.land("fighters", JUNE, "f", "g")
+    results = load.load_all(batch.spark, batch.root, batch.store)
+    rows = [tuple(r) for r in load.report(batch.spark, results).collect()]
+    assert rows == [("events", 0, 0, 0), ("bouts", 1, 0, 1), ("fighters", 1, 0, 2)]
+
+
+@pytest.mark.parametrize(("module", "way"), [(load, "batch"), (stream_module, "stream")])
+def test_a_run_that_dies_before_its_commit(batch, monkeypatch, module, way):
+    batch.land("events", MAY, "kept", "safe")
+
+    def gone(*_):
+        raise RuntimeError("power cut")
 
     with monkeypatch.context() as patch:
-        patch.setattr(stream, "commit_ledger", die)
-        with pytest.raises(Exception, match="gone before the ledger"):
-            load_stream(spark, root, "bouts", store, progress)
-    assert read_raw(spark, store, "bouts").count() == 0
-    assert counts(load_stream(spark, root, "bouts", store, progress)) == (1, 0, 2)
-    assert read_raw(spark, store, "bouts").count() == 2
-
-
-def test_same_part_replaces_new_part_adds(spark, tmp_path):
-    root = str(tmp_path)
-    put(spark, root, "e", rows(spark, "u string", ("a",), ("b",)), D1)
-    put(spark, root, "e", rows(spark, "u string", ("c",)), D1)
-    assert {r.u for r in landing.landed_keys(spark, root, "e", "u", D1).collect()} == {"c"}
-    put(spark, root, "e", rows(spark, "u string", ("d",), (None,)), D1, "00001")
-    put(spark, root, "e", rows(spark, "u string", ("z",)), D2)
-    assert {r.u for r in landing.landed_keys(spark, root, "e", "u", D1).collect()} == {"c", "d"}
-    assert landing.landed_keys(spark, root, "e", "u", dt.date(2020, 1, 1)).count() == 0
-
-
-def test_stamp_lineage(spark):
-    df = spark.createDataFrame([("Ünï", None)], "name string, gap string")
-    batch = landing.new_batch_id()
-    row = landing.stamp_lineage(df, "http://x/y", batch).first()
-    assert row["_source_url"] == "http://x/y" and row["_batch_id"] == batch
-    assert row["_raw_payload"] == '{"name":"Ünï","gap":null}'
-    assert row["_ingested_at"] is not None
+        patch.setattr(module, "commit_ledger", gone)
+        with pytest.raises(Exception, match="power cut"):
+            batch.load("events", way)
+    assert batch.rows("events", F.lit(1)) == [] and batch.logged("events") == []
+    assert did(batch.load("events", way)) == (1, 0, 2)
+    assert batch.rows("events") == [("kept",), ("safe",)]
+
+
+def test_landing_a_part_again_replaces_it(batch):
+    batch.land("events", MAY, "first try")
+    batch.land("events", MAY, "second try")
+    batch.land("events", MAY, "extra", part="b")
+    batch.land("events", JUNE, "other day")
+    found = landing.landed_keys(batch.spark, batch.root, "events", "name", MAY)
+    assert {r.name for r in found.collect()} == {"second try", "extra"}
+    assert landing.landed_keys(batch.spark, batch.root, "events", "name", dt.date(1999, 1, 1)).isEmpty()
+
+
+def test_lineage(spark):
+    frame = spark.createDataFrame([("Žofie", None, "7")], "who string, gap string, n string")
+    row = landing.stamp_lineage(frame, F.concat(F.lit("http://h.test/"), "n"), "run-1").first()
+    assert (row["_source_url"], row["_batch_id"]) == ("http://h.test/7", "run-1")
+    assert row["_raw_payload"] == '{"who":"Žofie","gap":null,"n":"7"}' and row["_ingested_at"]
+    assert landing.new_batch_id() != landing.new_batch_id()

@@ -133,3 +133,14 @@ def test_plain_plan_has_one_exchange_and_one_sort(spark):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_sums_and_means_of_doubles_do_not_depend_on_the_cut(spark):
+    rng = random.Random(12)
+    rows = [(k % 3, k, rng.choice([0.1, 1 / 3, 1e-7, 123.456]) * rng.random()) for k in range(3000)]
+    df = spark.createDataFrame(rows, "who int, at int, x double")
+    measures = {"mean": prior_avg(F.col("x")), "total": prior_sum(F.col("x"))}
+    plain = prior_measures(df, ["who"], ["at"], measures, heavy=[])
+    sliced = prior_measures(df, ["who"], ["at"], measures, max_rows=150)
+    assert dict(plain.dtypes)["total"] == "double"
+    assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in sliced.collect()}
