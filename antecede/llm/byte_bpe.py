@@ -39,7 +39,7 @@ from pyspark.sql.functions import pandas_udf
 
 from antecede.llm.tokens import span_hashes
 
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 4 << 20
 PIECE_CHARS = 1 << 19
 LONG_WORD = 64
 BUCKETS = 1 << 17  # a power of two
