@@ -199,17 +199,18 @@ def _let_through(pairs: DataFrame, frequent: DataFrame, shards: int) -> DataFram
     held = {r["shard"]: r["filter"] for r in filters.collect()}  # at most FILTER_BYTES
     sent = pairs.sparkSession.sparkContext.broadcast(held)
 
-    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Of key and shard alone: an id column with nulls would come back from pandas as floats.
+    @pandas_udf("boolean")
+    def maybe(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         loaded = {k: CuckooFilter.loads(v) for k, v in sent.value.items()}
-        for batch in batches:
-            keep, hashes, of = np.zeros(len(batch), bool), _hashes(batch["key"].tolist()), batch["shard"].to_numpy()
+        for keys, of in batches:
+            keep, hashes = np.zeros(len(keys), bool), _hashes(keys.tolist())
             for shard, known in loaded.items():
-                rows = np.flatnonzero(of == shard)
+                rows = np.flatnonzero(of.to_numpy() == shard)
                 keep[rows] = known.contains(hashes[rows])
-            yield batch[keep]
+            yield pd.Series(keep)
 
-    rows = pairs.withColumn("shard", _shard("key", shards))
-    return rows.mapInPandas(test, rows.schema).drop("shard")
+    return pairs.where(maybe("key", _shard("key", shards)))
 
 
 def drop_lines(

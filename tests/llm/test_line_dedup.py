@@ -82,3 +82,12 @@ def test_filter_holds_what_was_put_in():
     assert made.contains(keys[:9000]).mean() < 0.001
     made.insert(keys[:9000])
     assert CuckooFilter.loads(made.dumps()).contains(keys).all()
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_large_id_next_to_a_null_id(spark, monkeypatch, limit):
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", limit)
+    rows = [(None, "same\nnull"), ((1 << 53) + 1, "same\nlarge"), (1, "one\nsame")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(docs, min_docs=2).collect()}
+    assert kept == {None: "null", (1 << 53) + 1: "large", 1: "one"}
