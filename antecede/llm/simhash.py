@@ -154,6 +154,22 @@ def links(prints: DataFrame, max_distance: int = 4, segment_count: int = 3, hot_
     return found.unionByName(_hot_links(members, max_distance)) if hot else found
 
 
+def _linked(
+    docs: DataFrame, id_col: str, text_col: str, words: int, max_distance: int, segment_count: int, hot_bucket: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``id``, ``fp`` of every row; ``fp``, ``head`` (its smallest id), ``n`` of every fingerprint; and
+    ``fp``, ``head``, ``root`` (the component's own fingerprint) of those that have a link."""
+    spark = docs.sparkSession
+    at = scratch_path(spark, "fingerprints")
+    docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("fp")).write.parquet(at)
+    each = spark.read.parquet(at)
+    heads_at = scratch_path(spark, "distinct-fingerprints")
+    each.groupBy("fp").agg(F.min("id").alias("head"), F.count("*").alias("n")).write.parquet(heads_at)
+    heads = spark.read.parquet(heads_at)
+    roots = components(links(heads.select("fp"), max_distance, segment_count, hot_bucket))
+    return each, heads, heads.join(roots, heads["fp"] == roots["node"]).select("fp", "head", "root")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -168,14 +184,7 @@ def near_duplicates(
     result: 3 makes 46 lookups of 21 bits, for up to some hundred million documents; 2 makes
     562 of 32 bits."""
     spark = docs.sparkSession
-    at = scratch_path(spark, "fingerprints")
-    docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("fp")).write.parquet(at)
-    each = spark.read.parquet(at)
-    heads_at = scratch_path(spark, "distinct-fingerprints")
-    each.groupBy("fp").agg(F.min("id").alias("head"), F.count("*").alias("n")).write.parquet(heads_at)
-    heads = spark.read.parquet(heads_at)
-    roots = components(links(heads.select("fp"), max_distance, segment_count, hot_bucket))
-    linked = heads.join(roots, heads["fp"] == roots["node"]).select("fp", "head", "root")
+    each, heads, linked = _linked(docs, id_col, text_col, words, max_distance, segment_count, hot_bucket)
     least = linked.groupBy("root").agg(F.min("head").alias("component"))
     linked = linked.join(least, "root").select("fp", "component")
     # Only fingerprints with a link or a copy need a look-up; the rest are their own component.
@@ -188,9 +197,25 @@ def near_duplicates(
     )
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One row of each component of ``near_duplicates``: that with the smallest id (one of them if
-    several rows have it; if all ids are null, one of these)."""
-    classes = near_duplicates(docs, id_col, text_col, **how).select(F.col("component_id").alias("__keep")).distinct()
-    named = docs.join(classes, docs[id_col].eqNullSafe(classes["__keep"]), "left_semi")
-    return named.dropDuplicates([id_col])
+def first_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 4,
+    max_distance: int = 4,
+    segment_count: int = 3,
+    hot_bucket: int = HOT_BUCKET,
+) -> DataFrame:
+    """One row of each component of ``near_duplicates``: that with the smallest id, null after all
+    others (of several rows with it, that of least fingerprint; of equal ones, one)."""
+    spark = docs.sparkSession
+    _, heads, linked = _linked(docs, id_col, text_col, words, max_distance, segment_count, hot_bucket)
+    least = linked.groupBy("root").agg(F.min(F.struct(F.col("head").isNull().alias("unnamed"), "head", "fp")).alias("least"))
+    alone = heads.join(linked, "fp", "left_anti").select("head", "fp")
+    # A fingerprint is in one component only, an id need not be: rows are told apart by both.
+    chosen_at = scratch_path(spark, "survivors")
+    least.select("least.head", "least.fp").unionByName(alone).write.parquet(chosen_at)
+    chosen = spark.read.parquet(chosen_at)
+    printed = docs.withColumn("__fp", fingerprint(F.col(text_col), words))
+    same = printed[id_col].eqNullSafe(chosen["head"]) & (printed["__fp"] == chosen["fp"])
+    return printed.join(chosen, same, "left_semi").dropDuplicates([id_col, "__fp"]).drop("__fp")

@@ -98,3 +98,13 @@ def test_long_text_in_pieces(monkeypatch):
     whole = simhash.simhash(text, 4)
     monkeypatch.setattr(simhash, "_PIECE", 100)
     assert simhash.simhash(text, 4) == whole == plain(text)
+
+
+def test_first_of_each_without_ids_and_with_shared_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{k * k % 97}" for k in range(60)) for x in "abcd")
+    rows = [(None, a), (None, b), (1, c), (1, d), (2, c), (3, a), (None, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(set(roots([plain(x) for x in (a, b, c, d, "")], 4))) == 5
+    kept = [(r["doc_id"], r["text"]) for r in simhash.first_of_each(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([(3, a), (None, b), (1, c), (1, d), (4, None)], key=repr)
+    assert simhash.first_of_each(docs).columns == docs.columns
