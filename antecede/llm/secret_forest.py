@@ -1,8 +1,12 @@
 """Secret scanning with a random forest against false positives, in DataFrame expressions and
 Spark's own tree learner throughout.
 
-Candidates are strings of secret-like characters: values after ``=`` or ``:``, quoted values, known
-token prefixes, and long runs of letters and digits. Each is described by its length, how its
+Candidates are all values assigned to a name such as ``password``, of any length and any characters;
+other values after ``=`` or ``:`` or in quotes, of any characters but white space; and runs of letters,
+digits and ``_+/.~-`` with their padding, every one between ``=`` signs. The last two count from 12
+characters on, with a digit or a change from lower to upper case. A value in quotes ends at the quote
+(or the line's end, then at white space), another at white space, a quote or the next assignment, less
+``.,;`` at its end. Each is described by its length, how its
 characters follow each other (changes between letters, digits and others, entropy, repeated
 pairs), how much of it is made of the corpus's ordinary words, what the path or link around it looks
 like, and the words before and after it. A forest trained on labelled findings gives each the
@@ -41,8 +45,22 @@ _CONTEXT = 40
 _LOT = 64
 _SHORTEST = 12
 
-#: A run of at least this many of these characters is looked at.
-RUN = rf"[A-Za-z0-9_+/=.~-]{{{_SHORTEST},}}+"
+_PLAIN = r"[A-Za-z0-9_+/.~-]"
+_NAME = r"(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key|auth|credential|private[_-]?key)"
+_NAMED = rf"{_NAME}[\"']?\s*+[=:]\s*+"
+_DELIMITER = "&;,?:|/"
+#: Up to white space, a quote or the next assignment.
+_VALUE = rf"[^\s\"'{_DELIMITER}]*+(?:[{_DELIMITER}](?![\w.-]+=|[\"']?[\w.-]*?{_NAMED})[^\s\"'{_DELIMITER}]*+)*+"
+_OTHER = r"(?:[=:]\s*+[\"']?|[\"'])"
+#: A run with its padding.
+RUN = rf"(?=[A-Za-z0-9_+/=.~-]{{{_SHORTEST}}}){_PLAIN}++(?:=++(?!{_PLAIN}))?+"
+#: A name and the value assigned to it; of names one after the other the last.
+ASSIGNED = (
+    rf"{_NAMED}(?:\"(?![^\"\r\n]*?{_NAMED})[^\"\r\n]++\"|'(?![^'\r\n]*?{_NAMED})[^'\r\n]++'|"
+    rf"[\"']?(?!{_NAMED}){_VALUE})"
+)
+#: Any other assigned or quoted value.
+OTHER = rf"{_OTHER}(?=[^\s\"']{{{_SHORTEST}}}){_VALUE}"
 #: Published forms of tokens.
 FORMS = r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{16,}|eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]*"
 NAMES = r"(?i)(passw(or)?d|pwd|secret|token|api[_-]?key|auth|credential|private[_-]?key)[\"']?\s*[=:]\s*[\"']?$"
@@ -54,9 +72,9 @@ MEASURES = (
 )
 
 
-def _runs(text: Column) -> Column:
-    """Every run: array of struct(start, end, match, before, after), in code points."""
-    gaps, hits = F.split(text, RUN, -1), F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
+def _runs(text: Column, pattern: str = RUN) -> Column:
+    """Every match: array of struct(start, end, match, before, after), in code points."""
+    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:int,end:int,match:string,before:string,after:string>>")
 
     def laid(both: Column) -> Column:
@@ -73,9 +91,10 @@ def _runs(text: Column) -> Column:
         def place(state: Column, i: Column) -> Column:
             start = state["at"] + F.length(F.get(gap, i))
             end = start + F.length(F.get(hit, i))
+            last = F.coalesce(F.right(F.get(hit, i - 1), F.lit(_CONTEXT)), F.lit(""))
             one = F.struct(
                 start.alias("start"), end.alias("end"), F.get(hit, i).alias("match"),
-                F.right(F.get(gap, i), F.lit(_CONTEXT)).alias("before"),
+                F.right(F.concat(last, F.right(F.get(gap, i), F.lit(_CONTEXT))), F.lit(_CONTEXT)).alias("before"),
                 F.left(F.get(gap, i + 1), F.lit(_CONTEXT)).alias("after"),
             )
             return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
@@ -93,25 +112,32 @@ def _runs(text: Column) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``start``, ``end``, ``match``, ``before``, ``after`` of every candidate: a run with a
-    digit or with letters of both cases inside it. A name assigned in the run itself
-    (``password=...``) counts as what comes before the value."""
+    """``id``, ``start``, ``end``, ``match``, ``before``, ``after`` of every candidate. What leads to a
+    value (``password=...``) counts as what comes before it."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = source.where(F.col("text").rlike(RUN)).select("id", F.explode(_runs(F.col("text"))).alias("c")).select("id", "c.*")
-    # Split a run at its last "=" that is not padding.
-    name = F.regexp_extract("match", r"^(.*[=:])(?==*[^=])", 1)
-    cut = F.length(name)
-    value = F.regexp_replace(F.expr("substr(match, length(regexp_extract(match, '^(.*[=:])(?==*[^=])', 1)) + 1)"), r"[.]+$", "")
-    return (
-        found.select(
-            "id",
-            (F.col("start") + cut).alias("start"),
-            (F.col("start") + cut + F.length(value)).cast("int").alias("end"),
-            value.alias("match"),
-            F.concat("before", name).alias("before"),
-            "after",
-        )
-        .where((F.length("match") >= _SHORTEST) & F.col("match").rlike("[0-9]|[a-z][A-Z]"))
+    text = F.col("text")
+    none = F.array().cast("array<struct<start:int,end:int,match:string,before:string,after:string,kind:int>>")
+
+    def scanned(kind: int, pattern: str) -> Column:
+        found = F.transform(_runs(text, pattern), lambda c: c.withField("kind", F.lit(kind)))
+        return F.when(text.rlike(pattern), found).otherwise(none)
+
+    every = F.concat(scanned(0, RUN), scanned(1, ASSIGNED), scanned(2, OTHER))
+    found = source.select("id", F.explode(every).alias("c")).select("id", "c.*")
+    named, other = F.col("kind") == 1, F.col("kind") == 2
+    lead = F.when(named, F.regexp_extract("match", rf"^{_NAMED}[\"']?", 0)).when(other, F.regexp_extract("match", f"^{_OTHER}", 0))
+    led = found.withColumn("lead", F.coalesce(lead, F.lit("")))
+    led = led.withColumn("rest", F.expr("substr(match, length(lead) + 1)")).withColumn("before", F.concat("before", "lead"))
+    opened = F.right("lead", F.lit(1)).isin("'", '"')
+    closed = opened & (F.right("rest", F.lit(1)) == F.right("lead", F.lit(1)))
+    value = F.when(closed, F.expr("left(rest, length(rest) - 1)")).when(opened, F.col("rest"))
+    led = led.withColumn("value", F.coalesce(value, F.regexp_replace("rest", "[.,;]+$", "")))
+    start = F.col("start") + F.length("lead")
+    length, mixed = F.length("value"), F.col("value").rlike("[0-9]|[a-z][A-Z]")
+    # A value that follows a name is found with it, a plain one as a run.
+    again = F.col("before").rlike(NAMES) | other & F.col("value").rlike(f"^{_PLAIN}+=*$")
+    return led.where(F.when(named, length > 0).otherwise((length >= _SHORTEST) & mixed & ~again)).select(
+        "id", start.alias("start"), (start + length).cast("int").alias("end"), F.col("value").alias("match"), "before", "after"
     )
 
 
@@ -140,7 +166,7 @@ def measured(found: DataFrame, words: list[str]) -> DataFrame:
     n = F.length(match).cast("double")
     ends = F.when(n > 400, F.concat(F.left(match, F.lit(200)), F.right(match, F.lit(200)))).otherwise(match)
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(match, "[A-Z]+", "U"), "[a-z]+", "l"), "[0-9]+", "d")
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(ends) - 1), lambda i: F.substr(ends, i, F.lit(2))))
+    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(ends) - 1, F.lit(1))), lambda i: F.substr(ends, i, F.lit(2))))
     known = "|".join(sorted(words, key=lambda w: (-len(w), w))) or "(?!)"
     return found.select(
         "*",

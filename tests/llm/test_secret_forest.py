@@ -34,3 +34,27 @@ def test_awkward_rows(awkward, nothing):
     for r in secret_forest.find_secrets(awkward).collect():
         assert rows[r["doc_id"]][r["start"] : r["end"]] == r["match"]
     assert secret_forest.find_secrets(nothing).collect() == []
+
+
+def test_values_of_any_kind_are_candidates(spark):
+    texts = {
+        1: ("password=hunter2", ["hunter2"]),
+        2: ("say password=Tr0ub4dor&3, then", ["Tr0ub4dor&3"]),
+        3: ("{'pwd': 'a b@!#$%&*c', \"token\": \"letmein\"}", ["a b@!#$%&*c", "letmein"]),
+        4: ("first=0123456789abcd=secondValueHere=fedcba9876543210==", ["0123456789abcd", "fedcba9876543210==", "secondValueHere"]),
+        5: ("u=x&password=p@ss/w0rd&token=t:1;k=2 secret: x", ["p@ss/w0rd", "t:1", "x"]),
+        6: ('key = "pa55@word!now#" and AKIA' + "0A" * 8 + ".", ["AKIA" + "0A" * 8, "pa55@word!now#"]),
+        7: ("auth: token=abc 'Password=\"q;\"' pwd=", ["abc", "q;"]),
+        8: ("client_secret_token1=zq password=" + "p@" * 20_000, ["client_secret_token1", "p@" * 20_000]),
+        9: ("Plain words only: nothing to see. \U0001f600 api_key = ü1", ["ü1"]),
+    }
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string")
+    got = {k: [] for k in texts}
+    for r in secret_forest.candidates(docs).collect():
+        assert texts[r["id"]][0][r["start"] : r["end"]] == r["match"]
+        got[r["id"]].append(r["match"])
+    found = {k: sorted(v) for k, v in got.items()}
+    assert {k: [x for x in v if x not in found[k]] for k, (_, v) in texts.items()} == {k: [] for k in texts}
+    assert {k: [x for x in v if x not in texts[k][1]] for k, v in found.items() if k != 4} == {k: [] for k in texts if k != 4}
+    measured = secret_forest.measured(secret_forest.candidates(docs), ["plain"]).collect()
+    assert all(r[m] is not None for r in measured for m in secret_forest.MEASURES)
