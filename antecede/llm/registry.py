@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from antecede.llm import bm25_search, byte_bpe, line_dedup, mixing, pii, quality_crf, sampling, secret_forest, simhash, suffix_dedup
+from pyspark.sql.functions import pandas_udf
+
+from antecede.llm import (
+    bm25_search,
+    byte_bpe,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    pii,
+    quality_crf,
+    sampling,
+    secret_forest,
+    simhash,
+    suffix_dedup,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +102,48 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.edit_likeness(_documents(spark, sf_dir))
 
 
+def with_planted_runs(mark: Column, text: Column) -> Column:
+    """The text; where the remainder of ``mark`` by 10 is 0, its words from some place on are
+    replaced by a stretch of them over and over."""
+
+    @pandas_udf("string")
+    def planted(marks: pd.Series, texts: pd.Series) -> pd.Series:
+        out = []
+        for h, text in zip(marks, texts, strict=True):
+            if text is not None and h % 10 == 0:  # a null mark is not
+                words = text.encode("utf-8", "surrogatepass").split()
+                if n := len(words):
+                    g = int(h) // 10
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    words[a:] = (words[a : a + p] * -(-(n - a) // p))[: n - a]
+                    text = b" ".join(words).decode("utf-8", "surrogatepass")
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    return planted(mark, text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words with a period, in texts of which a tenth have one planted."""
+    mark = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = _documents(spark, sf_dir).select("doc_id", with_planted_runs(mark, F.col("text")).alias("text"))
+    found = periodic_runs.add_runs(docs, into="found", min_length=6, min_periods=4)
+    best = periodic_runs.longest(F.col("found.runs"))
+    return found.select("doc_id", "found", best.alias("best")).select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.listed(F.col("found.runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling, op11_periodic_runs)
 }
 
 ORACLES: dict[str, str] = {
