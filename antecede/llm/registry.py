@@ -12,6 +12,7 @@ from pyspark.sql.functions import pandas_udf
 from antecede.llm import (
     bm25_search,
     byte_bpe,
+    chat_format,
     line_dedup,
     mixing,
     periodic_runs,
@@ -142,11 +143,38 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation whose texts are control strings.
+AWKWARD = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(AWKWARD, rows.schema)
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(more)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling, op11_periodic_runs)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling, op11_periodic_runs, op13_chat_format)
 }
 
 ORACLES: dict[str, str] = {
+    "op13_chat_format": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), measured AS (
+  SELECT *, regexp_replace(text, '(<|\[)(\\*)(<SYS>>|</SYS>>|INST\]|/INST\]|s>|/s>|\|name\|>|\|/name\|>|\|end\|>)', '\1\2\\\3', 'g') AS escaped
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(escaped) + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 8
+           ELSE 25 + length(role) END)::BIGINT AS formatted_chars
+FROM measured GROUP BY conv_id
+""",
     "op5_topk_search": r"""
 WITH words AS (
   SELECT doc_id, unnest(regexp_extract_all(
