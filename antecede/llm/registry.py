@@ -22,6 +22,7 @@ from antecede.llm import (
     secret_forest,
     simhash,
     suffix_dedup,
+    whitening,
 )
 
 
@@ -143,6 +144,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every embedding."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    found = whitening.whiten(vectors, whitening.fit(vectors, components=8))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 #: A conversation whose texts are control strings.
 AWKWARD = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -155,7 +163,7 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling, op11_periodic_runs, op13_chat_format)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_crf, op3_byte_bpe, op4_suffix_dedup, op5_topk_search, op6_personal_data, op7_secret_forest, op8_line_dedup, op9_source_mix, op10_weighted_sampling, op11_periodic_runs, op12_embedding_whitening, op13_chat_format)
 }
 
 ORACLES: dict[str, str] = {
