@@ -3,8 +3,7 @@
 Layout of a raw store::
 
     <store>/data/<entity>/load_id=<id>/dt=<day>/*.parquet
-    <store>/ledger/load_id=<id>/*.parquet        one row per file
-    <store>/columns/<entity>/*.parquet           the columns of the loads so far
+    <store>/ledger/load_id=<id>/*.parquet        one row per file, and the columns they brought
     <store>/failures/*.parquet                   files that could not be read
 
 Plain parquet has no transactions, so the ledger is the commit: a load writes its
@@ -13,16 +12,19 @@ take only load ids the ledger knows. A run that dies in between leaves rows
 nobody reads, and its files are still new to the next run. A load id is never
 used by two runs, and a committed one never written again.
 
-A file that cannot be read does not hold up the others: it is set aside in
-``failures`` and is still new to the next run.
+A file that cannot be read, or that has a column in another type than the table,
+does not hold up the others: it is set aside in ``failures`` and is still new to
+the next run. Any other error (no space left, executors lost too often) ends the
+load as it is.
 
-The columns that loads have brought are kept beside the ledger, so that a read
-opens no footers to find them.
+The columns a load brought are kept with its ledger rows, so they become known in
+the same commit, and a read opens no footers to find them.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -39,6 +41,8 @@ ENTITIES = ("events", "bouts", "fighters")
 
 LEDGER_DDL = """entity STRING, file_path STRING, dt DATE, row_count BIGINT, loaded_at TIMESTAMP, load_id STRING"""
 
+FILES_DDL = "file_path STRING, dt DATE, size_bytes BIGINT"
+
 FAILURES_DDL = "entity STRING, file_path STRING, reason STRING, failed_at TIMESTAMP"
 
 REPORT_DDL = "entity STRING, files_loaded BIGINT, files_skipped BIGINT, rows_loaded BIGINT"
@@ -87,15 +91,16 @@ def read_failures(spark: SparkSession, store: str, entity: str | None = None) ->
 
 
 def known_columns(spark: SparkSession, store: str, entity: str) -> StructType:
-    """The columns that loads of an entity have brought, in the order they came."""
+    """The columns that committed loads of an entity have brought, in the order they came."""
     try:
-        kept = spark.read.schema("place BIGINT, added STRING").parquet(f"{store}/columns/{entity}")
+        kept = spark.read.schema("entity STRING, place BIGINT, added STRING").parquet(f"{store}/ledger")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return StructType()
-    # A row for each load that brought a new column.
-    return merge_columns(StructType.fromJson(json.loads(r["added"])) for r in kept.orderBy("place", "added").collect())
+    # One value for each load that brought a new column.
+    mine = kept.filter((F.col("entity") == entity) & F.col("added").isNotNull()).select("place", "added").distinct()
+    return merge_columns(StructType.fromJson(json.loads(r["added"])) for r in mine.orderBy("place", "added").collect())
 
 
 def merge_columns(schemas: Iterable[StructType]) -> StructType:
@@ -107,14 +112,23 @@ def merge_columns(schemas: Iterable[StructType]) -> StructType:
     return StructType(list(fields.values()))
 
 
-def remember_columns(spark: SparkSession, store: str, entity: str, columns: StructType) -> None:
-    """Keep what a load brings beyond the known columns."""
-    known = known_columns(spark, store, entity)
+def added_columns(known: StructType, columns: StructType) -> StructType:
+    """What a load brings beyond the known columns."""
     names = {field.name.lower() for field in known}
-    added = StructType([field for field in columns if field.name.lower() not in names])
-    if added.fields:
-        row = spark.createDataFrame([(len(known.fields), added.json())], "place BIGINT, added STRING")
-        row.coalesce(1).write.mode("append").parquet(f"{store}/columns/{entity}")
+    return StructType([StructField(f.name, f.dataType) for f in columns if f.name.lower() not in names])
+
+
+class ColumnMismatch(ValueError):
+    """A file has a column in another type than the table."""
+
+
+def require_types(known: StructType, columns: StructType) -> None:
+    """Raise where a column has another type than it is known by; a table could not be read any more."""
+    types = {field.name.lower(): field.dataType for field in known}
+    for field in columns:
+        had = types.get(field.name.lower(), field.dataType)
+        if had != field.dataType:
+            raise ColumnMismatch(f"column {field.name} is {field.dataType.simpleString()}, the table has {had.simpleString()}")
 
 
 def read_raw(spark: SparkSession, store: str, entity: str, declared: StructType | None = None) -> DataFrame:
@@ -136,15 +150,27 @@ def read_raw(spark: SparkSession, store: str, entity: str, declared: StructType
     return rows.withColumn("dt", F.col("dt").cast("date"))
 
 
-def commit_ledger(spark: SparkSession, files: DataFrame, counts: DataFrame, store: str, entity: str, load_id: str):
-    """Write the ledger rows of one load. ``files`` may hold files without rows;
-    they are logged with a count of 0."""
+def commit_ledger(
+    spark: SparkSession,
+    files: DataFrame,
+    counts: DataFrame,
+    store: str,
+    entity: str,
+    load_id: str,
+    known: StructType,
+    columns: StructType,
+) -> None:
+    """Write the ledger rows of one load, and with them the columns it has beyond the ``known``
+    ones. ``files`` may hold files without rows; they are logged with a count of 0."""
+    added = added_columns(known, columns)
     rows = files.join(counts, "file_path", "left").select(
         F.lit(entity).alias("entity"),
         "file_path",
         "dt",
         F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
         F.current_timestamp().alias("loaded_at"),
+        F.lit(len(known.fields)).cast("bigint").alias("place"),
+        F.lit(added.json() if added.fields else None).cast("string").alias("added"),
     )
     rows.coalesce(1).write.mode("overwrite").parquet(f"{store}/ledger/load_id={load_id}")
 
@@ -152,7 +178,6 @@ def commit_ledger(spark: SparkSession, files: DataFrame, counts: DataFrame, stor
 def append_rows(rows: DataFrame, store: str, entity: str, load_id: str) -> None:
     """Write the rows of one load, by day. Writing the same load id again
     replaces it."""
-    remember_columns(rows.sparkSession, store, entity, rows.schema)
     rows.write.mode("overwrite").partitionBy("dt").parquet(f"{_data(store, entity)}/load_id={load_id}")
 
 
@@ -163,35 +188,100 @@ def rows_per_file(spark: SparkSession, store: str, entity: str, load_id: str) ->
 
 
 def _chunks(files: DataFrame, size: int) -> Iterator[list]:
+    """The files in order, ``size`` at a time; one job where they are no more than that."""
+    first = files.limit(size + 1).collect()
+    if len(first) <= size:
+        yield from [first] if first else []
+        return
     rows = files.toLocalIterator()
     while chunk := list(islice(rows, size)):
         yield chunk
 
 
-def _load_files(spark: SparkSession, files: list, store: str, entity: str) -> tuple[int, int, int]:
-    """Commit some files under one load id; (loaded, rows, failed). When that
-    fails, each half is tried alone, down to the files that cannot be read."""
+#: What errors say that lie in a file, not in the cluster.
+_FILE_ERRORS = (
+    "FAILED_READ_FILE",
+    "CANNOT_READ_FILE_FOOTER",
+    "CANNOT_MERGE_SCHEMAS",
+    "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE",
+    "UNABLE_TO_INFER_SCHEMA",
+    "PARQUET_TYPE",
+    "PARQUET_COLUMN_DATA_TYPE_MISMATCH",
+    "PATH_NOT_FOUND",
+)
+
+
+def lies_in_file(error: Exception) -> bool:
+    """Whether an error is one of reading a file."""
+    return isinstance(error, ColumnMismatch) or any(token in str(error) for token in _FILE_ERRORS)
+
+
+def _rows(spark: SparkSession, files: list, known: StructType) -> DataFrame:
+    rows = read_files(spark, [row["file_path"] for row in files])
+    require_types(known, rows.schema)
+    return rows
+
+
+def _sort_out(spark: SparkSession, files: list, known: StructType, why: Exception) -> tuple[list, list[tuple]]:
+    """The files that can be read together, and (path, reason) of the others. Files the error names
+    are tried alone, and the rest as one; without a name, each half is. Nothing is written."""
+    if len(files) == 1:
+        return [], [(files[0]["file_path"], next(iter(str(why).strip().splitlines()), type(why).__name__)[:500])]
+    named = [f for f in files if _plain(f["file_path"]) in _plain(str(why))]
+    half = len(files) // 2
+    parts = [files[:half], files[half:]]
+    if 0 < len(named) < len(files):
+        parts = [*([f] for f in named), [f for f in files if f not in named]]
+        parts.reverse()  # the many give the types, the named ones follow
+    good, bad = [], []
+    for part in parts:
+        try:
+            rows = _rows(spark, part, known)
+            rows.write.format("noop").mode("overwrite").save()
+            kept, columns = part, rows.schema
+        except Exception as error:
+            if not lies_in_file(error):
+                raise
+            kept, refused = _sort_out(spark, part, known, error)
+            bad += refused
+            columns = _rows(spark, kept, known).schema if kept else StructType()
+        good += kept
+        known = merge_columns([known, columns])
+    return good, bad
+
+
+def _plain(path: str) -> str:
+    """A path, or a text that names some, with one spelling for the scheme's slashes."""
+    return re.sub(r"([a-z0-9]+):/+", r"\1:/", path)
+
+
+def load_files(spark: SparkSession, files: list, store: str, entity: str) -> tuple[int, int, int]:
+    """Commit some files (rows of ``FILES_DDL``) under one load id; (loaded, rows, failed). To be
+    used under :func:`nanoseconds_accepted`."""
     load_id = f"load-{uuid.uuid4().hex}"
+    known, bad = known_columns(spark, store, entity), []
     try:
-        append_rows(read_files(spark, [row["file_path"] for row in files]), store, entity, load_id)
-        counts = rows_per_file(spark, store, entity, load_id)
+        rows = _rows(spark, files, known)
+        append_rows(rows, store, entity, load_id)
     except Exception as error:
-        if len(files) > 1:
-            half = len(files) // 2
-            parts = [_load_files(spark, part, store, entity) for part in (files[:half], files[half:])]
-            return tuple(map(sum, zip(*parts, strict=True)))
-        _set_aside(spark, store, entity, files[0]["file_path"], error)
-        return 0, 0, 1
-    listed = spark.createDataFrame(files, "file_path STRING, dt DATE, size_bytes BIGINT")
-    commit_ledger(spark, listed, counts, store, entity, load_id)
+        if not lies_in_file(error):
+            raise
+        files, bad = _sort_out(spark, files, known, error)
+        _set_aside(spark, store, entity, bad)
+        if not files:
+            return 0, 0, len(bad)
+        rows = _rows(spark, files, known)
+        append_rows(rows, store, entity, load_id)  # what the first try left is replaced
+    listed = spark.createDataFrame(files, FILES_DDL)
+    counts = rows_per_file(spark, store, entity, load_id)
+    commit_ledger(spark, listed, counts, store, entity, load_id, known, rows.schema)
     done = read_ledger(spark, store, entity).filter(F.col("load_id") == load_id)
-    return len(files), done.agg(F.sum("row_count").alias("n")).first()["n"], 0
+    return len(files), done.agg(F.sum("row_count").alias("n")).first()["n"], len(bad)
 
 
-def _set_aside(spark: SparkSession, store: str, entity: str, path: str, error: Exception) -> None:
-    reason = next(iter(str(error).strip().splitlines()), type(error).__name__)[:500]
-    row = spark.createDataFrame([(entity, path, reason)], "entity STRING, file_path STRING, reason STRING")
-    stamped = row.withColumn("failed_at", F.current_timestamp())
+def _set_aside(spark: SparkSession, store: str, entity: str, bad: list[tuple]) -> None:
+    rows = spark.createDataFrame([(entity, *b) for b in bad], "entity STRING, file_path STRING, reason STRING")
+    stamped = rows.withColumn("failed_at", F.current_timestamp())
     stamped.coalesce(1).write.mode("append").parquet(f"{store}/failures")
 
 
@@ -208,7 +298,7 @@ def load_entity(
     total = [0, 0, 0]
     with nanoseconds_accepted(spark):
         for chunk in _chunks(new, files_per_commit):
-            total = [a + b for a, b in zip(total, _load_files(spark, chunk, store, entity), strict=True)]
+            total = [a + b for a, b in zip(total, load_files(spark, chunk, store, entity), strict=True)]
     return LoadResult(entity, total[0], skipped, total[1], total[2])
 
 

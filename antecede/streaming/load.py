@@ -1,37 +1,27 @@
 """The exactly-once load as a Structured Streaming job.
 
-The file source's checkpoint remembers which files were taken. Each micro-batch
-writes under a load id made of the query's own id, which the checkpoint holds, and
-the batch number: a replayed batch finds itself committed, or overwrites what it
-left unfinished, and another checkpoint's batches never meet it. Rows of files the
-ledger knows are left out, so the batch load and any number of streams can share
-one store. The raw store is the one of :mod:`antecede.sources.load`, and both ways
-of loading read back through ``read_raw``.
-
-A file that cannot be read stops the stream, as its source has no way around it;
-the batch load sets it aside.
+What streams is the listing of files (path and size, no content). The checkpoint
+remembers which files were taken; each micro-batch hands its files to the same
+load the batch way uses (:mod:`antecede.sources.load`). So both take the same:
+times of different precision, columns that come late, files without rows, files
+that cannot be read, which are set aside. There is no schema to fix for a run.
+
+The ledger decides what is loaded. A replayed batch finds the files it has
+committed there and takes the rest; batch loads and any number of streams can
+share one store. Files set aside earlier are tried again when a run begins, since
+the source names a path only once.
 """
 
 from __future__ import annotations
 
-import uuid
-from itertools import islice
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from antecede.session import scratch_path
-from antecede.sources.landing import day_of, nanoseconds_accepted, partition_files, tag_files
-from antecede.sources.load import (
-    LoadResult,
-    append_rows,
-    commit_ledger,
-    known_columns,
-    merge_columns,
-    read_ledger,
-    rows_per_file,
-)
+from antecede.sources.landing import canonical_path, day_of, nanoseconds_accepted, partition_files
+from antecede.sources.load import LoadResult, load_files, read_failures, read_ledger
+
+LISTING_DDL = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 def load_stream(
@@ -42,67 +32,49 @@ def load_stream(
     checkpoint: str,
     files_per_batch: int = 10_000,
 ) -> LoadResult:
-    """Take every new file once, then stop (``availableNow``).
-
-    A file source has one schema per run: the columns known from earlier loads and
-    those of the files that are new; only the latter are opened before the start.
-    Files without rows are logged at the end.
-    """
-    files = partition_files(spark, root, entity)
-    ledger = read_ledger(spark, store, entity).select("file_path")
-    new = files.join(ledger, "file_path", "left_anti")
+    """Take every new file once, then stop (``availableNow``)."""
     before = _totals(spark, store, entity)
-    listed_at = scratch_path(spark, "new-files")
-    new.write.parquet(listed_at)
-    listed = spark.read.parquet(listed_at)
-    if listed.isEmpty():
-        return LoadResult(entity, 0, before[0], 0)
+    failed = 0
+
+    def take(files: DataFrame) -> None:
+        nonlocal failed
+        known = read_ledger(spark, store, entity).select("file_path")
+        new = files.join(known, "file_path", "left_anti").orderBy("dt", "file_path").collect()  # files_per_batch at most
+        if new:
+            with nanoseconds_accepted(spark):
+                failed += load_files(spark, new, store, entity)[2]
+
+    again = read_failures(spark, store, entity).select("file_path").distinct()
+    if not again.isEmpty():
+        take(partition_files(spark, root, entity).join(again, "file_path", "left_semi"))
+    listing = _listing(spark, root, entity, files_per_batch)
+    if listing is not None:
+        query = listing.writeStream.foreachBatch(lambda files, _: take(files)).option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start().awaitTermination()
+    after = _totals(spark, store, entity)
+    return LoadResult(entity, after[0] - before[0], before[0], after[1] - before[1], failed)
+
 
-    with nanoseconds_accepted(spark):
-        schema = _stream_schema(spark, listed, store, entity, files_per_batch)
-        stream = tag_files(
-            spark.readStream.schema(schema)
+def _listing(spark: SparkSession, root: str, entity: str, files_per_batch: int) -> DataFrame | None:
+    """Files of an entity as a stream of (file_path, dt, size_bytes); None if nothing has landed."""
+    try:
+        files = (
+            spark.readStream.format("binaryFile")
+            .schema(LISTING_DDL)
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
             .option("maxFilesPerTrigger", files_per_batch)
-            .parquet(f"{root}/{entity}")
-        ).filter(F.col("dt").isNotNull())
-
-        def commit(batch: DataFrame, number: int) -> None:
-            query_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
-            load_id = f"stream-{entity}-{query_id}-{number:08d}"
-            done = read_ledger(spark, store, entity)
-            if not done.filter(F.col("load_id") == load_id).isEmpty():
-                return
-            known = done.select(F.col("file_path").alias("_file_path"))
-            append_rows(batch.join(known, "_file_path", "left_anti").select(*batch.columns), store, entity, load_id)
-            counts = rows_per_file(spark, store, entity, load_id)
-            taken = counts.select("file_path", day_of(F.col("file_path")).alias("dt"))
-            commit_ledger(spark, taken, counts, store, entity, load_id)
-
-        query = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
-        query.trigger(availableNow=True).start().awaitTermination()
-
-    # What was there at the start and gave no rows.
-    empty = listed.join(read_ledger(spark, store, entity).select("file_path"), "file_path", "left_anti")
-    if not empty.isEmpty():
-        counts = empty.select("file_path", F.lit(0).cast("bigint").alias("row_count"))
-        commit_ledger(spark, empty, counts, store, entity, f"empty-{entity}-{uuid.uuid4().hex}")
-    after = _totals(spark, store, entity)
-    return LoadResult(entity, after[0] - before[0], before[0], after[1] - before[1])
+            .load(f"{root}/{entity}")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    path = F.col("path")
+    listed = files.select(canonical_path(path).alias("file_path"), day_of(path).alias("dt"), F.col("length").alias("size_bytes"))
+    return listed.filter(F.col("dt").isNotNull())
 
 
 def _totals(spark: SparkSession, store: str, entity: str) -> tuple[int, int]:
     row = read_ledger(spark, store, entity).agg(F.count("*").alias("f"), F.sum("row_count").alias("r")).first()
     return row["f"], row["r"] or 0
-
-
-def _stream_schema(spark: SparkSession, listed: DataFrame, store: str, entity: str, size: int) -> StructType:
-    """The known columns, as the source has them, and those of the new files."""
-    schema = StructType()
-    paths = (row["file_path"] for row in listed.select("file_path").toLocalIterator())
-    while some := list(islice(paths, size)):
-        merged = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*some).schema
-        schema = merge_columns([schema, merged])
-    known = [f for f in known_columns(spark, store, entity) if f.name not in ("_file_path", "dt", "_ingested_at")]
-    return merge_columns([schema, StructType(known)])
