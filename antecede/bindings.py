@@ -8,11 +8,11 @@ Days of ``ts`` become event cards and users become fighters. Every row of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from antecede.operators.prior import MAX_ROWS_PER_TASK, heavy_keys
+from antecede.operators.prior import MAX_ROWS_PER_TASK, Heavy, heavy_keys
 from antecede.operators.sides import pivot_sides
 from antecede.plans import participants, staging
 
@@ -173,7 +173,7 @@ def profiled_bouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return participants.with_profile(rows, stg_fighters(spark, sf_dir))
 
 
-def heavy_fighters(spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS_PER_TASK) -> list[Row]:
+def heavy_fighters(spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS_PER_TASK) -> Heavy:
     """Fighters with too many bouts for one task, counted on the one column of
     ``events`` that decides it. A user has at most as many bouts as events, so
     the count is an upper bound."""

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from antecede.functions.numbers import safe_ratio
+from antecede.operators.doubles import Within, band_parts, is_finite, joined
 from antecede.operators.sizes import broadcast_if
 from antecede.session import written
 
@@ -39,23 +40,48 @@ MAX_ROWS_PER_TASK = 5_000_000
 
 SLICE = "_slice"
 
-# Sums of doubles are held in this type.
-EXACT = "decimal(38,18)"
+# Heavy keys the driver may hold; more of them stay a table.
+MAX_LISTED_KEYS = 10_000
 
 
 @dataclass(frozen=True)
 class Measure:
-    """One strictly-prior measure; make it with the ``prior_*`` functions."""
+    """One strictly-prior measure; make it with the ``prior_*`` functions. ``bands``
+    are the parts a double is summed in."""
 
     kind: str
     value: Column
     reset: Column | None = None
     default: object = None
-    stepped: bool = False
+    within: Within | None = None
+    bands: Mapping[int, Column] | None = None
+
+    @property
+    def sums(self) -> dict[str, Column]:
+        """What is summed, by part."""
+        if self.kind not in ("sum", "avg"):
+            return {}
+        return {"total": self.value} if self.bands is None else {f"band{b}": x for b, x in self.bands.items()}
+
+    @property
+    def counts(self) -> dict[str, Column]:
+        """What is counted, by part."""
+        part = {"count": "v", "avg": "n", "streak": "hits"}.get(self.kind)
+        return {part: self.value} if part else {}
 
     @property
     def parts(self) -> tuple[str, ...]:
-        return {"avg": ("total", "n"), "streak": ("hits", "mark")}.get(self.kind, ("v",))
+        return (*self.sums, *self.counts, *{"max": ("v",), "last": ("v",), "streak": ("mark",)}.get(self.kind, ()))
+
+
+@dataclass(frozen=True)
+class Heavy:
+    """Entities with too many rows for one task: a table of their keys and ``n``, how many they
+    are, and how many rows they have together."""
+
+    table: DataFrame
+    keys: int
+    rows: int
 
 
 def prior_count(condition: Column | None = None) -> Measure:
@@ -63,14 +89,18 @@ def prior_count(condition: Column | None = None) -> Measure:
     return Measure("count", F.lit(1) if condition is None else F.when(condition, 1))
 
 
-def prior_sum(value: Column, default: object = None) -> Measure:
-    """Sum over earlier rows, NULLs skipped; ``default`` when there is none."""
-    return Measure("sum", value, default=default)
+def prior_sum(value: Column, default: object = None, within: Within | None = None) -> Measure:
+    """Sum over earlier rows, NULLs skipped; ``default`` when there is none.
+
+    Doubles are added exactly, whatever their magnitude (NaN and infinite ones count as
+    missing). ``within`` says that they are zero or of a magnitude between two bounds, which
+    makes it cheaper; one that is not is an error."""
+    return Measure("sum", value, default=default, within=within)
 
 
-def prior_avg(value: Column, default: object = None) -> Measure:
-    """Mean over earlier rows, NULLs skipped; ``default`` when there is none."""
-    return Measure("avg", value, default=default)
+def prior_avg(value: Column, default: object = None, within: Within | None = None) -> Measure:
+    """Mean over earlier rows, as :func:`prior_sum`."""
+    return Measure("avg", value, default=default, within=within)
 
 
 def prior_max(value: Column, default: object = None) -> Measure:
@@ -89,26 +119,36 @@ def prior_streak(hit: Column, reset: Column) -> Measure:
     return Measure("streak", F.when(hit, 1), reset=F.coalesce(reset, F.lit(False)))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS_PER_TASK) -> list[Row]:
-    """Keys with more than ``max_rows`` rows, with their counts.
+def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS_PER_TASK) -> Heavy:
+    """Keys with more than ``max_rows`` rows.
 
-    A count with map-side combine over the key columns only. At most
-    ``rows / max_rows`` keys can qualify, which is what bounds the result.
+    An exact count with map-side combine over the key columns only. Usually there are none
+    or a few; more than ``MAX_LISTED_KEYS`` are left as a table in the shared folder.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows).collect()
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
+    some = counted.limit(MAX_LISTED_KEYS + 1).collect()
+    if len(some) <= MAX_LISTED_KEYS:
+        return Heavy(df.sparkSession.createDataFrame(some, counted.schema), len(some), sum(r["n"] for r in some))
+    table = written(counted, "heavy-keys")
+    size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
+    return Heavy(table, size["keys"], size["rows"])
 
 
 def _exact(df: DataFrame, measures: Mapping[str, Measure]) -> dict[str, Measure]:
     """Sums of doubles depend on the order of addition, and so on how a history is
-    cut. They are taken in steps of 10^-18 instead, which add up exactly; what is no
-    finite number counts as missing."""
+    cut. They are taken in whole numbers by bands instead; what is no finite number
+    counts as missing."""
     values = {n: m.value for n, m in measures.items() if m.kind in ("sum", "avg")}
     if not values:
         return dict(measures)
     types = dict(df.select(*(v.alias(n) for n, v in values.items())).dtypes)
-    inexact = [n for n in values if types[n] in ("double", "float")]
-    stepped = {n: replace(measures[n], value=values[n].try_cast(EXACT), stepped=True) for n in inexact}
-    return {**measures, **stepped}
+    out = dict(measures)
+    for name in values:
+        if types[name] in ("double", "float"):
+            m = measures[name]
+            counted = F.when(is_finite(m.value.cast("double")), 1) if m.kind == "avg" else m.value
+            out[name] = replace(m, value=counted, bands=band_parts(m.value, m.within))
+    return out
 
 
 def _name(measure: str, part: str) -> str:
@@ -125,23 +165,14 @@ def _local(df: DataFrame, group: Sequence[str], order: Sequence[str], measures:
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     first, second = {}, {}
     for name, m in measures.items():
-        if m.kind == "count":
-            first[_name(name, "v")] = F.count(m.value).over(before)
-        elif m.kind == "sum":
-            first[_name(name, "v")] = F.sum(m.value).over(before)
-        elif m.kind == "max":
+        first |= {_name(name, part): F.sum(x).over(before) for part, x in m.sums.items()}
+        first |= {_name(name, part): F.count(x).over(before) for part, x in m.counts.items()}
+        if m.kind == "max":
             first[_name(name, "v")] = F.max(m.value).over(before)
         elif m.kind == "last":
             first[_name(name, "v")] = F.lag(m.value).over(ordered)
-        elif m.kind == "avg":
-            first[_name(name, "total")] = F.sum(m.value).over(before)
-            first[_name(name, "n")] = F.count(m.value).over(before)
         elif m.kind == "streak":
-            hits = _name(name, "hits")
-            first[hits] = F.count(m.value).over(before)
-            second[_name(name, "mark")] = F.max(F.when(m.reset, F.col(hits))).over(before)
-        else:
-            raise ValueError(f"unknown measure kind {m.kind!r}")
+            second[_name(name, "mark")] = F.max(F.when(m.reset, F.col(_name(name, "hits")))).over(before)
     df = df.withColumns(first)
     return df.withColumns(second) if second else df
 
@@ -150,10 +181,13 @@ def _finish(df: DataFrame, measures: Mapping[str, Measure]) -> DataFrame:
     """Parts -> the measure itself; parts are dropped."""
     out = {}
     for name, m in measures.items():
-        if m.kind == "avg":
-            value = safe_ratio(F.col(_name(name, "total")).cast("double"), F.col(_name(name, "n")))
-        elif m.kind == "sum" and m.stepped:
-            value = F.col(_name(name, "v")).cast("double")
+        if m.kind in ("sum", "avg"):
+            if m.bands is None:
+                value = F.col(_name(name, "total"))
+            else:
+                value = joined({b: F.col(_name(name, f"band{b}")) for b in m.bands})
+            if m.kind == "avg":
+                value = safe_ratio(value.cast("double"), F.col(_name(name, "n")))
         elif m.kind == "streak":
             value = F.col(_name(name, "hits")) - F.coalesce(F.col(_name(name, "mark")), F.lit(0))
         elif m.kind == "last":
@@ -171,22 +205,14 @@ def _slice_totals(
     """One row per (entity, slice): what the slice adds to each measure."""
     aggs = []
     for name, m in measures.items():
-        if m.kind == "count":
-            aggs.append(F.count(m.value).alias(_name(name, "v")))
-        elif m.kind == "sum":
-            aggs.append(F.sum(m.value).alias(_name(name, "v")))
-        elif m.kind == "max":
+        if m.kind == "streak":  # before its hits are summed under the same name
+            aggs.append(F.max(F.when(m.reset, F.col(_name(name, "hits")))).alias(_name(name, "mark")))
+        aggs += [F.sum(x).alias(_name(name, part)) for part, x in m.sums.items()]
+        aggs += [F.count(x).alias(_name(name, part)) for part, x in m.counts.items()]
+        if m.kind == "max":
             aggs.append(F.max(m.value).alias(_name(name, "v")))
         elif m.kind == "last":
             aggs.append(F.max_by(m.value, _order_struct(order)).alias(_name(name, "v")))
-        elif m.kind == "avg":
-            aggs += [F.sum(m.value).alias(_name(name, "total")), F.count(m.value).alias(_name(name, "n"))]
-        elif m.kind == "streak":
-            hits = _name(name, "hits")
-            aggs += [
-                F.count(m.value).alias(hits),
-                F.max(F.when(m.reset, F.col(hits))).alias(_name(name, "mark")),
-            ]
     return sliced.groupBy(*entity, SLICE).agg(*aggs)
 
 
@@ -218,12 +244,6 @@ def _carried(totals: DataFrame, entity: Sequence[str], measures: Mapping[str, Me
 def _combine(df: DataFrame, measures: Mapping[str, Measure]) -> DataFrame:
     """Carried-in and local parts -> parts over the whole history."""
     out, carries = {}, []
-
-    def added(a: Column, b: Column, stepped: bool) -> Column:
-        if stepped:  # one digit less before, so that the sum keeps its scale
-            a, b = a.cast("decimal(37,18)"), b.cast("decimal(37,18)")
-        return F.coalesce(a + b, a, b)
-
     for name, m in measures.items():
         for part in m.parts:
             column = _name(name, part)
@@ -237,7 +257,7 @@ def _combine(df: DataFrame, measures: Mapping[str, Measure]) -> DataFrame:
                 carried_hits = F.coalesce(F.col("carry" + _name(name, "hits")), F.lit(0))
                 out[column] = F.greatest(carry, carried_hits + local)
             else:
-                out[column] = added(local, carry, m.stepped and part != "n")
+                out[column] = F.coalesce(local + carry, local, carry)
     return df.withColumns(out).drop(*carries, SLICE)
 
 
@@ -270,38 +290,33 @@ def prior_measures(
     order: Sequence[str],
     measures: Mapping[str, Measure],
     *,
-    heavy: Sequence[Row] | None = None,
+    heavy: Heavy | Sequence[Row] | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
     costly: bool = False,
 ) -> DataFrame:
     """``df`` with one column per measure, over the entity's strictly earlier rows.
 
-    ``order`` must be total within an entity. ``heavy`` lists the entities with
-    more than ``max_rows`` rows (columns of ``entity`` plus ``n``), if the caller
-    has counted them on cheaper data already; an upper bound of ``n`` will do.
+    ``order`` must be total within an entity. ``heavy`` names the entities with
+    more than ``max_rows`` rows (:func:`heavy_keys`, or rows of ``entity`` and ``n``),
+    if the caller has counted them on cheaper data already; an upper bound of ``n`` will do.
     Left out, they are counted here. With heavy entities the input is read several
     times; if it is ``costly`` to compute it is written to the shared folder first.
     """
     measures = _exact(df, measures)
     if heavy is None:
         heavy = heavy_keys(df, entity, max_rows)
-    if not heavy:
+    elif not isinstance(heavy, Heavy):
+        schema = df.select(*entity, F.lit(0).cast("bigint").alias("n")).schema
+        table = df.sparkSession.createDataFrame([tuple(r[k] for k in (*entity, "n")) for r in heavy], schema)
+        heavy = Heavy(table, len(heavy), sum(r["n"] for r in heavy))
+    if not heavy.keys:
         return _finish(_local(df, entity, order, measures), measures)
 
-    spark = df.sparkSession
     df = written(df, "prior-input") if costly else df
-    keys = spark.createDataFrame([tuple(r[k] for k in entity) for r in heavy], df.select(*entity).schema)
-    keys = keys.toDF(*(f"_at_{k}" for k in entity))
-    keys = broadcast_if(keys, len(heavy))
-    slices = math.ceil(sum(r["n"] for r in heavy) / max_rows)
+    keys = heavy.table.select(*(F.col(k).alias(f"_at_{k}") for k in entity))
+    keys = broadcast_if(keys, heavy.keys)
+    slices = math.ceil(heavy.rows / max_rows)
 
     light = _local(df.join(keys, _same_key(entity), "left_anti"), entity, order, measures)
-    large = _sliced(
-        df.join(keys, _same_key(entity), "left_semi"),
-        entity,
-        order,
-        measures,
-        slices,
-        len(heavy),
-    )
+    large = _sliced(df.join(keys, _same_key(entity), "left_semi"), entity, order, measures, slices, heavy.keys)
     return _finish(light.unionByName(large), measures)

@@ -173,7 +173,7 @@ def rises_by_one(
     entity: Sequence[str],
     order: Sequence[str],
     ordinal: str,
-    heavy: Sequence[Row] | None = None,
+    heavy: Heavy | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Rows where the ordinal is not 0 on the entity's first row, or not one more

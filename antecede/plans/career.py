@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from antecede.functions import safe_ratio
 from antecede.operators.prior import (
     MAX_ROWS_PER_TASK,
+    Heavy,
     Measure,
     prior_count,
     prior_measures,
@@ -60,7 +61,7 @@ def win_streak_legacy() -> Measure:
 def career_to_date(
     rows: DataFrame,
     order: Sequence[str] = ORDER,
-    heavy: Sequence[Row] | None = None,
+    heavy: Heavy | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
     keep: Sequence[str] = (),
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from antecede.operators import quality as q
@@ -177,7 +177,7 @@ def debuts(rows: DataFrame) -> DataFrame:
 def ordinals(
     rows: DataFrame,
     order: Sequence[str] = career.ORDER,
-    heavy: Sequence[Row] | None = None,
+    heavy: Heavy | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """``prior_bouts`` starts at 0 and rises by one."""

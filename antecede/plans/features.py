@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from antecede.functions import indicator, safe_ratio
 from antecede.operators.prior import (
     MAX_ROWS_PER_TASK,
+    Heavy,
     prior_avg,
     prior_count,
     prior_measures,
@@ -36,7 +37,7 @@ def fighter_features(
     rows: DataFrame,
     order: Sequence[str] = ORDER,
     legacy: bool = False,
-    heavy: Sequence[Row] | None = None,
+    heavy: Heavy | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Per fighter and bout: the matrix's columns before the pivot.
@@ -52,7 +53,8 @@ def fighter_features(
     measures = {
         "num_bouts": prior_count(),
         "win_percentage": prior_avg(indicator(_won())),
-        "avg_fight_minutes": prior_avg(c("bout_duration_seconds") / F.lit(60.0)),
+        # Whole seconds by 60, and a ratio of two of these: their magnitudes have bounds.
+        "avg_fight_minutes": prior_avg(c("bout_duration_seconds") / F.lit(60.0), within=(2.0**-7, 2.0**32)),
         "wins": prior_count(_won()),
         "finish_wins": prior_count(_finish_win()),
         "strikes_landed": prior_sum(c("sig_strikes_landed")),
@@ -60,7 +62,7 @@ def fighter_features(
         "takedowns_for": prior_sum(c("takedowns_landed")),
         "takedowns_against": prior_sum(c("takedowns_conceded")),
         "win_streak": win_streak_legacy() if legacy else win_streak(),
-        "avg_control_share": prior_avg(c("control_share")),
+        "avg_control_share": prior_avg(c("control_share"), within=(2.0**-33, 2.0**33)),
     }
     with_share = rows.withColumn("control_share", bout_control_share())
     state = prior_measures(with_share, ENTITY, order, measures, heavy=heavy, max_rows=max_rows, costly=True)
@@ -96,7 +98,7 @@ def feature_matrix(
     order: Sequence[str] = ORDER,
     include_current: bool = False,
     legacy: bool = False,
-    heavy: Sequence[Row] | None = None,
+    heavy: Heavy | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per bout: every feature of corner a and corner b, and the label
