@@ -11,10 +11,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from antecede.operators.prior import MAX_ROWS_PER_TASK, prior_last, prior_measures
+from antecede.operators.prior import MAX_ROWS_PER_TASK, Heavy, prior_last, prior_measures
+
+# Ordinals of one entity that are looked at together.
+LEAKAGE_BLOCK = 1 << 16
 
 TOLERANCE = 1e-6
 
@@ -179,7 +182,7 @@ def rises_by_one(
     """Rows where the ordinal is not 0 on the entity's first row, or not one more
     than on the row before."""
     before = {"previous": prior_last(F.col(ordinal))}
-    walked = prior_measures(df, entity, order, before, heavy=heavy, max_rows=max_rows)
+    walked = prior_measures(df, entity, order, before, heavy=heavy, max_rows=max_rows, costly=True)
     return walked.filter(F.col(ordinal) != F.coalesce(F.col("previous") + 1, F.lit(0)))
 
 
@@ -191,19 +194,23 @@ def no_leakage(
     ordinal: str,
     totals: Mapping[str, Column],
     streaks: Mapping[str, tuple[Column, Column]] | None = None,
+    block_rows: int = LEAKAGE_BLOCK,
 ) -> DataFrame:
     """Rows of a strictly-prior model that do not follow from the row before.
 
     ``model`` has the entity, the order columns, the row's ``ordinal`` and one
     column per entry of ``totals`` and ``streaks``; ``facts`` has the same rows
-    (joined on entity and order) with what each row itself adds. The test uses no
-    window: it rests on induction. A first row must hold zeros; any other row
-    must find exactly one row of its entity with the ordinal below, earlier in
-    order, and hold that row's totals plus that row's own facts. If no row fails,
-    every total is the sum over all strictly earlier rows and nothing else.
-
-    The join is one to one on (entity, ordinal): linear in the data, where
-    joining each row to all its earlier rows is quadratic per entity.
+    (joined on entity and order) with what each row itself adds. The test rests on
+    induction. A first row must hold zeros; any other row must have a row with the
+    ordinal below right before it, earlier in order, and hold that row's totals plus
+    that row's own facts. No two rows of an entity may share an ordinal, and a row
+    without its fact fails. If no row fails, every total is the sum over all strictly
+    earlier rows and nothing else.
+
+    The facts are joined one to one. Then an entity's rows go to blocks of ``block_rows``
+    ordinals, the last one of a block to the next as well, and each looks at its
+    neighbour there: linear in the data, one exchange, and no entity in one task.
+    Joining each row to all its earlier rows would be quadratic per entity.
     """
     streaks = streaks or {}
     own = {f"own_{name}": value.cast("double") for name, value in totals.items()}
@@ -211,30 +218,35 @@ def no_leakage(
         own[f"hit_{name}"], own[f"reset_{name}"] = F.coalesce(hit, F.lit(False)), F.coalesce(reset, F.lit(False))
     keys = [*entity, *order]
     names = [*totals, *streaks]
-    facts = facts.select(*keys, *(value.alias(name) for name, value in own.items()))
-    rows = model.select(*keys, ordinal, *names).join(facts, keys)
-
+    mine = [F.col(k).alias(f"_of_{k}") for k in keys]
+    facts = facts.select(*mine, *(value.alias(name) for name, value in own.items()), F.lit(True).alias("_fact"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    rows = model.select(*keys, ordinal, *names).join(facts, same, "left").drop(*(f"_of_{k}" for k in keys))
+
+    block = F.floor(F.col(ordinal) / block_rows)
+    goes_on = F.col(ordinal) % block_rows == block_rows - 1
+    blocks = F.when(goes_on, F.array(block, block + 1)).otherwise(F.array(block))
+    dealt = rows.select("*", F.explode(blocks).alias("_block"))
     place = F.struct(*order)
-    state = F.struct(*names, *own)
-    previous = (
-        rows.groupBy(*entity, (F.col(ordinal) + 1).alias(ordinal))
-        .agg(F.count(F.lit(1)).alias("_found"), F.max(place).alias("_place"), F.max_by(state, place).alias("_before"))
-    )
-    paired = rows.join(previous, [*entity, ordinal], "left")
-
+    walk = Window.partitionBy(*entity, "_block").orderBy(ordinal, *order)
     before = F.col("_before")
-    broken = [F.col("_found").isNull(), F.col("_found") > 1, F.col("_place") >= place]
-    first = []
+    state = F.struct(F.col(ordinal).alias("_ordinal"), place.alias("_place"), *names, *own)
+    paired = dealt.withColumn("_before", F.lag(state).over(walk)).where(F.col("_block").eqNullSafe(block))
+
+    c = F.col
+    # The row before has the ordinal below; a twin has the same one, and the row after it then fails.
+    broken = [c("_fact").isNull(), differs(before["_ordinal"], c(ordinal) - 1), before["_place"] >= place]
+    first = [c("_fact").isNull(), before["_ordinal"].isNotNull()]
     for name in totals:
         step = F.coalesce(before[name], F.lit(0)).cast("double") + F.coalesce(before[f"own_{name}"], F.lit(0.0))
-        broken.append(apart(F.coalesce(F.col(name), F.lit(0)).cast("double"), step))
-        first.append(F.coalesce(F.col(name), F.lit(0)) != 0)
+        broken.append(apart(F.coalesce(c(name), F.lit(0)).cast("double"), step))
+        first.append(F.coalesce(c(name), F.lit(0)) != 0)
     for name in streaks:
         step = F.when(before[f"reset_{name}"], 0).otherwise(before[name] + before[f"hit_{name}"].cast("int"))
-        broken.append(differs(F.col(name), step))
-        first.append(differs(F.col(name), F.lit(0)))
-    is_first = F.col(ordinal) == 0
-    failed = (is_first & _any(first)) | (~is_first & F.coalesce(_any(broken), F.lit(True)))
+        broken.append(differs(c(name), step))
+        first.append(differs(c(name), F.lit(0)))
+    is_first = c(ordinal) == 0
+    failed = (is_first & _any(first)) | (~is_first & F.coalesce(_any(broken), F.lit(True))) | c(ordinal).isNull()
     return paired.filter(failed).select(*keys, ordinal, *names)
 
 

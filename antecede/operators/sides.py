@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,14 +46,24 @@ def pivot_sides(
 ) -> DataFrame:
     """One row per key with ``<measure>_<side>`` columns.
 
-    A conditional aggregation: one shuffle where ``pivot()`` takes two. Columns
-    in ``constant`` are the same on both sides and are carried once.
+    One exchange on the key and one sort by side: the first row of each key sees the rows of all
+    sides through its window and is the one that stays. A conditional aggregation of strings would
+    sort before the exchange and again after it.
+
+    A side without a row gives NULLs, and so does a row of none of the ``sides``; of several rows
+    of one side one is taken, with all its measures. Columns in ``constant`` are the same on both
+    sides and are carried once, from the first row that has them.
     """
-    cells = [
-        F.max(F.when(F.col(side_col) == side, F.col(m))).alias(f"{m}_{side}") for m in measures for side in sides
-    ]
-    carried = [F.max(c).alias(c) for c in constant]
-    return df.groupBy(*key).agg(*carried, *cells)
+    place = F.array_position(F.lit(list(sides)), F.col(side_col))
+    ordered = Window.partitionBy(*key).orderBy("_place")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    row = F.struct(*measures)
+    seen = {f"_{side}": F.first(F.when(F.col(side_col) == side, row), ignorenulls=True).over(whole) for side in sides}
+    carried = {f"_carried_{c}": F.first(c, ignorenulls=True).over(whole) for c in constant}
+    kept = df.select(*dict.fromkeys([*key, side_col, *measures, *constant]), place.alias("_place"))
+    kept = kept.withColumns({"_nth": F.row_number().over(ordered), **seen, **carried}).where("_nth = 1")
+    cells = [F.col(f"_{side}")[m].alias(f"{m}_{side}") for m in measures for side in sides]
+    return kept.select(*key, *(F.col(f"_carried_{c}").alias(c) for c in constant), *cells)
 
 
 def distinct_participants(df: DataFrame, key_cols: Sequence[str], name: str, position: str | None = None) -> DataFrame:

@@ -810,6 +810,9 @@ walked AS (
     "ingest_new_checkpoint": _INGESTED,
     "ingest_mixed_precision": """SELECT CAST(event_id AS varchar) AS event_id, epoch_us(ts) AS us,
         CAST(ts AS date) AS dt FROM events""",
+    **dict.fromkeys(("ingest_bad_file", "ingest_stream_mixed"), """SELECT CAST(event_id AS varchar) AS event_id,
+        epoch_us(ts) AS us, CASE WHEN event_id % 3 = 2 THEN event_type END AS note, CAST(ts AS date) AS dt,
+        true AS set_aside FROM events"""),
     "load_report": """SELECT run, rows_loaded, loaded_any, true AS skipped_the_rest FROM (
         SELECT 1 AS run, count(*) AS rows_loaded, true AS loaded_any FROM events
         UNION ALL SELECT 2, 0, false
@@ -859,3 +862,6 @@ walked AS (
         CAST(u AS varchar) AS last_name, CASE WHEN reach <> '--' THEN reach END AS reach,
         fighter_url AS _source_url FROM raw_fighters"""),
 }
+
+# The same results by another way.
+ORACLES |= {f"{name}_sliced": ORACLES[name] for name in ("prior_rates", "feature_matrix")}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from antecede.operators import quality as q
-from antecede.operators.prior import MAX_ROWS_PER_TASK
+from antecede.operators.prior import MAX_ROWS_PER_TASK, Heavy
 from antecede.plans import career, marts
 
 # What the declared tests accept.

@@ -274,19 +274,18 @@ def career_to_date_sliced(spark, sf_dir):
     """The same features by the way a fighter with too many bouts for one task
     goes. Here it is taken by every fighter with more than one in 2,000 of all
     rows, which is at most 2,000 fighters, in slices of at most a 32nd."""
+    return career.career_to_date(b.fighter_bouts(spark, sf_dir), b.ORDER, **_cut(spark, sf_dir))
+
+
+def _cut(spark, sf_dir) -> dict:
     total = b.table(spark, sf_dir, "events").count()
-    return career.career_to_date(
-        b.fighter_bouts(spark, sf_dir),
-        b.ORDER,
-        heavy=b.heavy_fighters(spark, sf_dir, total // 2_000),
-        max_rows=min(MAX_ROWS_PER_TASK, total // 32),
-    )
+    return {"heavy": b.heavy_fighters(spark, sf_dir, total // 2_000), "max_rows": min(MAX_ROWS_PER_TASK, total // 32)}
 
 
 def _streak(spark, sf_dir, measure):
     rows = b.fighter_bouts(spark, sf_dir).select("bout_url", "fighter_url", "bout_at", "result")
     heavy = b.heavy_fighters(spark, sf_dir)
-    return prior_measures(rows, career.ENTITY, b.ORDER, {"streak": measure}, heavy=heavy).drop("bout_at")
+    return prior_measures(rows, career.ENTITY, b.ORDER, {"streak": measure}, heavy=heavy, costly=True).drop("bout_at")
 
 
 @query
@@ -299,10 +298,10 @@ def win_streak_legacy(spark, sf_dir):
     return _streak(spark, sf_dir, career.win_streak_legacy())
 
 
-def _features(spark, sf_dir, *names, legacy=False):
+def _features(spark, sf_dir, *names, legacy=False, cut=None):
     rows = b.fighter_bouts(spark, sf_dir)
-    heavy = b.heavy_fighters(spark, sf_dir)
-    return features.fighter_features(rows, b.ORDER, legacy, heavy).select("bout_url", "fighter_url", *names)
+    cut = cut or {"heavy": b.heavy_fighters(spark, sf_dir)}
+    return features.fighter_features(rows, b.ORDER, legacy, **cut).select("bout_url", "fighter_url", *names)
 
 
 @query
@@ -328,14 +327,25 @@ def attached_features(spark, sf_dir):
     return attach_columns(base, ["bout_url", "fighter_url"], frames)
 
 
+def _prior_rates(spark, sf_dir, cut=None):
+    names = ("num_bouts", "win_percentage", "avg_fight_minutes", "finish_rate")
+    return _rounded(_features(spark, sf_dir, *names, legacy=True, cut=cut), "avg_fight_minutes")
+
+
 @query
 def prior_rates(spark, sf_dir):
-    rates = _features(spark, sf_dir, "num_bouts", "win_percentage", "avg_fight_minutes", "finish_rate", legacy=True)
-    return _rounded(rates, "avg_fight_minutes")
+    return _prior_rates(spark, sf_dir)
+
+
+@query
+def prior_rates_sliced(spark, sf_dir):
+    """The same as ``prior_rates`` by slices, cut as in ``career_to_date_sliced``."""
+    return _prior_rates(spark, sf_dir, _cut(spark, sf_dir))
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    """Means of doubles depend on the order of addition in the last digit."""
+    """Ours are exact sums; those of the SQL they are held against depend on the order
+    of addition in the last digits."""
     return df.withColumns({name: F.round(name, 9) for name in names})
 
 
@@ -344,9 +354,9 @@ def control_share(spark, sf_dir):
     return _rounded(_features(spark, sf_dir, "control_share", "avg_control_share"), "control_share", "avg_control_share")
 
 
-def _matrix(spark, sf_dir, **options):
-    heavy = b.heavy_fighters(spark, sf_dir)
-    matrix = features.feature_matrix(b.profiled_bouts(spark, sf_dir), b.ORDER, heavy=heavy, **options)
+def _matrix(spark, sf_dir, cut=None, **options):
+    cut = cut or {"heavy": b.heavy_fighters(spark, sf_dir)}
+    matrix = features.feature_matrix(b.profiled_bouts(spark, sf_dir), b.ORDER, **cut, **options)
     means = ("avg_control_share", "avg_fight_minutes")
     return _rounded(matrix, *(f"{m}_{side}" for m in means for side in "ab"))
 
@@ -356,6 +366,12 @@ def feature_matrix(spark, sf_dir):
     return _matrix(spark, sf_dir)
 
 
+@query
+def feature_matrix_sliced(spark, sf_dir):
+    """The same as ``feature_matrix`` by slices, cut as in ``career_to_date_sliced``."""
+    return _matrix(spark, sf_dir, _cut(spark, sf_dir))
+
+
 @query
 def feature_matrix_legacy(spark, sf_dir):
     matrix = _matrix(spark, sf_dir, legacy=True, include_current=True)
@@ -629,6 +645,46 @@ def ingest_mixed_precision(spark, sf_dir):
     return rows.select("event_id", F.unix_micros("_ingested_at").alias("us"), "dt")
 
 
+def _land_awkward(spark, sf_dir, root: str) -> None:
+    """A third of the events with their time in microseconds, a third in nanoseconds and numbers for
+    ids, a third with a column the others lack; and all errors once more with a time that is none."""
+    events = b.table(spark, sf_dir, "events")
+    rows = events.selectExpr("event_id AS id", "event_type", "ts", "unix_micros(CAST(ts AS timestamp)) AS us")
+    text = rows.withColumn("event_id", F.col("id").cast("string"))
+    parts = {
+        "micro": text.filter("id % 3 = 0").withColumn("_ingested_at", F.timestamp_micros("us")),
+        "nano": rows.filter("id % 3 = 1").withColumns({"event_id": F.col("id"), "_ingested_at": F.col("us") * 1000}),
+        "late": text.filter("id % 3 = 2").withColumns({"_ingested_at": F.timestamp_micros("us"), "note": F.col("event_type")}),
+        "other": text.filter("event_type = 'error'").selectExpr("*", "'soon' AS _ingested_at", "'x' AS ghost"),
+    }
+    for part, mine in parts.items():
+        kept = [c for c in ("event_id", "_ingested_at", "note", "ghost", "ts") if c in mine.columns]
+        landing.write_landing(mine.select(*kept), root, "events", on=F.col("ts").cast("date"), part=part)
+
+
+def _loaded_awkward(spark, store: str, failed: int) -> DataFrame:
+    """All columns of the table, and whether the files without a time were set aside."""
+    rows = load.read_raw(spark, store, "events").drop("ts")
+    set_aside = load.read_failures(spark, store, "events").select("file_path").distinct().agg((F.count("*") == failed).alias("set_aside"))
+    return rows.withColumn("us", F.unix_micros("_ingested_at")).drop("_ingested_at").join(F.broadcast(set_aside))
+
+
+@query
+def ingest_bad_file(spark, sf_dir):
+    """Files the table cannot take do not hold up the others, and leave no column behind."""
+    root, store = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    _land_awkward(spark, sf_dir, root)
+    return _loaded_awkward(spark, store, load.load_entity(spark, root, "events", store).files_failed)
+
+
+@query
+def ingest_stream_mixed(spark, sf_dir):
+    """The same in one run of a stream."""
+    root, store = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    _land_awkward(spark, sf_dir, root)
+    return _loaded_awkward(spark, store, load_stream(spark, root, "events", store, scratch_path(spark, "progress")).files_failed)
+
+
 @query
 def load_report(spark, sf_dir):
     """What three loads did: all files, none, and a late part of each day."""

@@ -9,17 +9,23 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 BASE_PART = "base"
 
+FILES_AT_ONCE = 16
+
+# Columns of the landing layer that are not text.
+LINEAGE_TYPES = {"_ingested_at": TimestampType()}
+
 FILE_SCHEMA = StructType(
     [
         StructField("file_path", StringType()),
@@ -140,32 +146,78 @@ def tag_files(rows: DataFrame) -> DataFrame:
     return tagged
 
 
-def _by_time_type(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """The files grouped by the type of ``_ingested_at``."""
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        types = dict(spark.read.option("recursiveFileLookup", "true").parquet(path).dtypes)
-        groups.setdefault(types.get("_ingested_at", ""), []).append(path)
-    return list(groups.values())
+def merge_columns(schemas: Iterable[StructType]) -> StructType:
+    """Every column of any of them; the first to name one gives its type."""
+    fields: dict[str, StructField] = {}
+    for schema in schemas:
+        for field in schema:
+            fields.setdefault(field.name.lower(), StructField(field.name, field.dataType))
+    return StructType(list(fields.values()))
+
+
+def common_columns(schemas: Iterable[StructType]) -> StructType:
+    """Every column of any of them; text where their types differ."""
+    schemas = list(schemas)
+    types: dict[str, set] = {}
+    for field in (f for schema in schemas for f in schema):
+        types.setdefault(field.name.lower(), set()).add(field.dataType)
+    merged = merge_columns(schemas)
+    return StructType([StructField(f.name, f.dataType if len(types[f.name.lower()]) == 1 else StringType()) for f in merged])
+
+
+def conform(rows: DataFrame, columns: StructType) -> DataFrame:
+    """``rows`` with the types of ``columns``, as an insert by name would cast them, and lineage
+    with its own. A value that does not fit is an error when it is read."""
+    types = LINEAGE_TYPES | {f.name.lower(): f.dataType for f in columns}
+    differ = [f for f in rows.schema if types.get(f.name.lower(), f.dataType) != f.dataType]
+    return rows.withColumns({f.name: F.col(f"`{f.name}`").cast(types[f.name.lower()]) for f in differ}) if differ else rows
+
+
+def _alike(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The files in groups that can be read as one."""
+    groups: list[tuple[StructType, list[str]]] = []
+
+    def schema_of(path: str) -> StructType:
+        return spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+
+    with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+        schemas = list(pool.map(schema_of, paths))
+    for path, schema in zip(paths, schemas, strict=True):
+        for k, (columns, members) in enumerate(groups):
+            if _same_types(columns, schema):
+                groups[k] = (merge_columns([columns, schema]), [*members, path])
+                break
+        else:
+            groups.append((schema, [path]))
+    return [members for _, members in groups]
+
+
+def _same_types(a: StructType, b: StructType) -> bool:
+    types = {f.name.lower(): f.dataType for f in a}
+    return all(types.get(f.name.lower(), f.dataType) == f.dataType for f in b)
 
 
-def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_files(spark: SparkSession, paths: Sequence[str], columns: StructType | None = None) -> DataFrame:
     """The given files as one table, columns matched by name and missing ones
     NULL, with the tags of :func:`tag_files`. To be used, and its rows read, under
-    :func:`nanoseconds_accepted`. Files that hold ``_ingested_at`` in different
-    precisions are read apart; only then is each file's footer looked at alone."""
+    :func:`nanoseconds_accepted`. Columns have the types of ``columns`` where these
+    name them; else, where files differ, they are text; ``_ingested_at`` is a time. Files that cannot be merged are read apart; only
+    then is each file's footer looked at alone."""
+    columns = columns or StructType()
 
     def read(some: Sequence[str]) -> DataFrame:
         merged = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-        return tag_files(merged.parquet(*some))
+        return conform(tag_files(merged.parquet(*some)), columns)
 
     try:
         return read(paths)
     except Exception as error:  # its class depends on where the schemas were merged
-        groups = _by_time_type(spark, paths) if _cannot_merge(error) else []
+        groups = _alike(spark, paths) if _cannot_merge(error) else []
         if len(groups) < 2:
             raise
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(read, groups))
+    parts = list(map(read, groups))
+    common = common_columns(part.schema for part in parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [conform(part, common) for part in parts])
 
 
 def _cannot_merge(error: Exception) -> bool:

@@ -12,8 +12,8 @@ take only load ids the ledger knows. A run that dies in between leaves rows
 nobody reads, and its files are still new to the next run. A load id is never
 used by two runs, and a committed one never written again.
 
-A file that cannot be read, or that has a column in another type than the table,
-does not hold up the others: it is set aside in ``failures`` and is still new to
+A column in another type than the table's is cast, as an insert by name would. A
+file that cannot be read, or has values that cannot be cast, does not hold up the others: it is set aside in ``failures`` and is still new to
 the next run. Any other error (no space left, executors lost too often) ends the
 load as it is.
 
@@ -24,9 +24,9 @@ the same commit, and a read opens no footers to find them.
 from __future__ import annotations
 
 import json
-import re
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import islice
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from antecede.sources.landing import nanoseconds_accepted, partition_files, read_files
+from antecede.sources.landing import FILES_AT_ONCE, merge_columns, nanoseconds_accepted, partition_files, read_files
 
 ENTITIES = ("events", "bouts", "fighters")
 
@@ -103,34 +103,12 @@ def known_columns(spark: SparkSession, store: str, entity: str) -> StructType:
     return merge_columns(StructType.fromJson(json.loads(r["added"])) for r in mine.orderBy("place", "added").collect())
 
 
-def merge_columns(schemas: Iterable[StructType]) -> StructType:
-    """Every column of any of them; the first to name one gives its type."""
-    fields: dict[str, StructField] = {}
-    for schema in schemas:
-        for field in schema:
-            fields.setdefault(field.name.lower(), StructField(field.name, field.dataType))
-    return StructType(list(fields.values()))
-
-
 def added_columns(known: StructType, columns: StructType) -> StructType:
     """What a load brings beyond the known columns."""
     names = {field.name.lower() for field in known}
     return StructType([StructField(f.name, f.dataType) for f in columns if f.name.lower() not in names])
 
 
-class ColumnMismatch(ValueError):
-    """A file has a column in another type than the table."""
-
-
-def require_types(known: StructType, columns: StructType) -> None:
-    """Raise where a column has another type than it is known by; a table could not be read any more."""
-    types = {field.name.lower(): field.dataType for field in known}
-    for field in columns:
-        had = types.get(field.name.lower(), field.dataType)
-        if had != field.dataType:
-            raise ColumnMismatch(f"column {field.name} is {field.dataType.simpleString()}, the table has {had.simpleString()}")
-
-
 def read_raw(spark: SparkSession, store: str, entity: str, declared: StructType | None = None) -> DataFrame:
     """The raw table: committed loads only, every column any file had, ``dt`` as
     a date. Before the first load it is empty, with the ``declared`` columns. The
@@ -208,51 +186,34 @@ _FILE_ERRORS = (
     "PARQUET_TYPE",
     "PARQUET_COLUMN_DATA_TYPE_MISMATCH",
     "PATH_NOT_FOUND",
+    "CAST_INVALID_INPUT",
+    "CAST_OVERFLOW",
+    "CAST_WITHOUT_SUGGESTION",
 )
 
 
 def lies_in_file(error: Exception) -> bool:
     """Whether an error is one of reading a file."""
-    return isinstance(error, ColumnMismatch) or any(token in str(error) for token in _FILE_ERRORS)
-
-
-def _rows(spark: SparkSession, files: list, known: StructType) -> DataFrame:
-    rows = read_files(spark, [row["file_path"] for row in files])
-    require_types(known, rows.schema)
-    return rows
-
-
-def _sort_out(spark: SparkSession, files: list, known: StructType, why: Exception) -> tuple[list, list[tuple]]:
-    """The files that can be read together, and (path, reason) of the others. Files the error names
-    are tried alone, and the rest as one; without a name, each half is. Nothing is written."""
-    if len(files) == 1:
-        return [], [(files[0]["file_path"], next(iter(str(why).strip().splitlines()), type(why).__name__)[:500])]
-    named = [f for f in files if _plain(f["file_path"]) in _plain(str(why))]
-    half = len(files) // 2
-    parts = [files[:half], files[half:]]
-    if 0 < len(named) < len(files):
-        parts = [*([f] for f in named), [f for f in files if f not in named]]
-        parts.reverse()  # the many give the types, the named ones follow
-    good, bad = [], []
-    for part in parts:
+    return any(token in str(error) for token in _FILE_ERRORS)
+
+
+def _sort_out(spark: SparkSession, files: list, known: StructType) -> tuple[list, list[tuple]]:
+    """The files that can be read into a table of the ``known`` columns, and (path, reason) of the
+    others: each is read alone to its end, several at a time. Nothing is written."""
+
+    def trouble(file) -> Exception | None:
         try:
-            rows = _rows(spark, part, known)
-            rows.write.format("noop").mode("overwrite").save()
-            kept, columns = part, rows.schema
+            read_files(spark, [file["file_path"]], known).write.format("noop").mode("overwrite").save()
         except Exception as error:
-            if not lies_in_file(error):
-                raise
-            kept, refused = _sort_out(spark, part, known, error)
-            bad += refused
-            columns = _rows(spark, kept, known).schema if kept else StructType()
-        good += kept
-        known = merge_columns([known, columns])
-    return good, bad
+            return error
 
-
-def _plain(path: str) -> str:
-    """A path, or a text that names some, with one spelling for the scheme's slashes."""
-    return re.sub(r"([a-z0-9]+):/+", r"\1:/", path)
+    with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+        found = list(zip(files, pool.map(trouble, files), strict=True))
+    for _, error in found:
+        if error is not None and not lies_in_file(error):
+            raise error
+    bad = [(f["file_path"], next(iter(str(e).strip().splitlines()), type(e).__name__)[:500]) for f, e in found if e is not None]
+    return [f for f, e in found if e is None], bad
 
 
 def load_files(spark: SparkSession, files: list, store: str, entity: str) -> tuple[int, int, int]:
@@ -261,16 +222,18 @@ def load_files(spark: SparkSession, files: list, store: str, entity: str) -> tup
     load_id = f"load-{uuid.uuid4().hex}"
     known, bad = known_columns(spark, store, entity), []
     try:
-        rows = _rows(spark, files, known)
+        rows = read_files(spark, [f["file_path"] for f in files], known)
         append_rows(rows, store, entity, load_id)
     except Exception as error:
         if not lies_in_file(error):
             raise
-        files, bad = _sort_out(spark, files, known, error)
+        files, bad = _sort_out(spark, files, known)
+        if not bad:
+            raise
         _set_aside(spark, store, entity, bad)
         if not files:
             return 0, 0, len(bad)
-        rows = _rows(spark, files, known)
+        rows = read_files(spark, [f["file_path"] for f in files], known)
         append_rows(rows, store, entity, load_id)  # what the first try left is replaced
     listed = spark.createDataFrame(files, FILES_DDL)
     counts = rows_per_file(spark, store, entity, load_id)

@@ -58,6 +58,25 @@ def test_unpivot_and_pivot_are_inverse(spark):
     assert sorted(tuple(r) for r in wide.collect()) == [(1, "p", "q", 10, 20), (2, "r", "s", 30, None)]
 
 
+def test_pivot_of_odd_keys(spark):
+    rows = [(1, "b", "late", 2, "x"), (2, "a", "only a", 3, None), (3, "c", "no side", 4, "z"), (None, "a", "no key", 5, "n"), (4, None, "none", 6, "w")]
+    rows += [(5, "b", "right", 8, "q"), (5, "a", "left", 7, None), (6, "a", "twice", 9, "t"), (6, "a", "twice", 9, "t"), (6, "b", "twin", 1, "t")]
+    df = spark.createDataFrame(rows, "id int, side string, v string, n int, same string")
+    wide = pivot_sides(df, ["id"], "side", ["v", "n"], constant=["same"])
+    plan = plan_of(wide)
+    assert wide.columns == ["id", "same", "v_a", "v_b", "n_a", "n_b"]
+    assert {r["id"]: tuple(r)[1:] for r in wide.collect()} == {
+        1: ("x", None, "late", None, 2),
+        2: (None, "only a", None, 3, None),
+        3: ("z", None, None, None, None),
+        None: ("n", "no key", None, 5, None),
+        4: ("w", None, None, None, None),
+        5: ("q", "left", "right", 7, 8),
+        6: ("t", "twice", "twin", 9, 1),
+    }
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
 def test_unpivot_reads_its_input_once(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "o_custkey AS xa", "o_totalprice AS xb")
     plan = plan_of(unpivot_pairs(orders, ["o_orderkey"], {"x": "x{side}"}))

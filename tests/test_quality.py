@@ -86,7 +86,7 @@ def model_of(df):
     return prior_measures(df, ["k"], ["t"], measures).select("k", "t", *measures)
 
 
-def leaks(model, df):
+def leaks(model, df, **options):
     return q.no_leakage(
         model,
         df,
@@ -95,6 +95,7 @@ def leaks(model, df):
         "n",
         totals={"wins": win().cast("int"), "seconds_before": F.col("seconds")},
         streaks={"streak": (win(), F.col("result").isin("loss", "draw"))},
+        **options,
     )
 
 
@@ -120,6 +121,8 @@ def test_a_right_model_passes(spark):
     model = model_of(df)
     assert not wrong_by_brute_force(model, rows)
     assert leaks(model, df).count() == 0
+    for n in (1, 2, 7):  # neighbours in different blocks
+        assert leaks(model, df, block_rows=n).count() == 0
 
 
 BREAKS = {
@@ -149,6 +152,25 @@ def test_a_wrong_model_fails(spark, name):
     if name != "row repeated":
         assert wrong_by_brute_force(broken, rows)
     assert leaks(broken, df).count() > 0
+    assert leaks(broken, df, block_rows=3).count() > 0
+
+
+def test_rows_without_fact_or_ordinal_fail(spark):
+    df, _ = facts(spark)
+    model = model_of(df)
+    gone = df.filter(F.col("t") != 100)
+    lost = model.join(gone, ["k", "t"], "left_anti").count()
+    assert lost > 0 and leaks(model, gone).count() >= lost
+    nothing = model.withColumn("n", F.when(F.col("t") != 100, F.col("n")))
+    assert {r["t"] for r in leaks(nothing, df).where("n IS NULL").collect()} == {100}
+    unnamed = df.withColumn("k", F.when(F.col("k") != df.first()["k"], F.col("k")))  # one entity has no key
+    assert leaks(model_of(unnamed), unnamed).count() == 0
+
+
+def test_leakage_plan_sorts_no_aggregate(spark):
+    df, _ = facts(spark)
+    plan = leaks(model_of(df), df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
 
 
 def test_a_leaky_frame_fails(spark):
