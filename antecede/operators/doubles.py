@@ -17,11 +17,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDTH = 60
+WIDTH = 24
 ALL_BANDS = range(math.floor(-1074 / WIDTH), math.floor(1024 / WIDTH) + 1)
 
-# What is summed in a band: whole numbers of up to 18 digits, more than 10^19 of them.
-PART = "decimal(28,0)"
+# What is summed in a band are numbers of 23 bits, a trillion (2^40) of them before 64 are full,
+# which is an error.
+
+# So many bands are joined by one expression.
+_INLINE = 12
 
 Within = tuple[float, float]
 
@@ -53,24 +56,29 @@ def _power(exponent: int) -> Column:
 
 
 def band_parts(value: Column, within: Within | None = None) -> dict[int, Column]:
-    """The whole number a value has in each band, NULL in bands it does not touch. NULL,
-    NaN and infinite values touch none; zero touches one."""
+    """The whole number a value has in each band, NULL (or 0) in bands it does not touch. NULL,
+    NaN and infinite values are NULL everywhere; zero touches one band."""
     x = value.cast("double")
     size, bands = F.abs(x), bands_within(within)
     finite = is_finite(x)
-    if within is not None:
-        outside = finite & (size > 0) & ((size < within[0]) | (size > within[1]))
+
+    def part(b: int) -> Column:
+        above = F.rint(_scaled(x, -WIDTH * (b + 1))) * F.lit(math.ldexp(1.0, WIDTH))
+        return (F.rint(_scaled(x, -WIDTH * b)) - above).cast("bigint")
+
+    if within is not None and max(map(abs, (bands[0], bands[-1]))) * WIDTH < 400:
+        # Nothing can overflow on the way.
         told = F.concat(F.lit(f"not between {within[0]} and {within[1]}: "), x.cast("string"))
-        finite = finite & F.when(outside, F.raise_error(told).cast("boolean")).otherwise(True)
-    home = 0 if 0 in bands else bands[0]
+        outside = (size < within[0]) & (size > 0) | (size > within[1])
+        return {b: F.when(finite, F.when(outside, F.raise_error(told).cast("bigint")).otherwise(part(b))) for b in bands}
+    if within is not None:
+        return band_parts(value)
     out = {}
     for b in bands:
         touched = finite & (size > _power(WIDTH * b - 1)) & (size < _power(WIDTH * (b + 1) + 53))
-        above = F.rint(_scaled(x, -WIDTH * (b + 1))) * F.lit(math.ldexp(1.0, WIDTH))
-        part = F.when(touched, (F.rint(_scaled(x, -WIDTH * b)) - above).cast("bigint"))
-        if b == home:
-            part = part.when(finite & (size == 0), 0)
-        out[b] = part.cast(PART)
+        out[b] = F.when(touched, part(b))
+        if b == 0:
+            out[b] = out[b].when(finite & (size == 0), 0)
     return out
 
 
@@ -78,15 +86,22 @@ def joined(sums: Mapping[int, Column]) -> Column:
     """The double nearest to the sum of all bands, but for the last place; NULL if every band is,
     infinite beyond the range of doubles. A function of the exact sum alone."""
     bands = sorted(sums)
-    unit, half = (F.lit(1 << n).cast("decimal(20,0)") for n in (WIDTH, WIDTH - 1))
-    wide = "decimal(38,0)"
-    start = F.struct(F.lit(0).cast(wide).alias("carry"), F.lit(0.0).alias("low"), F.lit(0.0).alias("high"))
+    some = F.coalesce(*(sums[b] for b in bands)).isNotNull()
+    if len(bands) <= _INLINE and max(map(abs, (bands[0], bands[-1]))) * WIDTH < 400:
+        total, carry = F.lit(0.0), F.lit(0).cast("bigint")
+        for b in bands:
+            s = F.coalesce(sums[b], F.lit(0).cast("bigint")) + carry
+            carry = _beyond(s)
+            rest = s if b == bands[-1] else s - F.shiftleft(carry, WIDTH)
+            total = total + rest.cast("double") * F.lit(math.ldexp(1.0, WIDTH * b))
+        return F.when(some, total)
+
     # The band's unit in two factors, as not every power of two is a double. Bands above 0 are
     # added on a scale of their own: the upmost may round to what is no double any more.
-    unit_of = {b: WIDTH * b - (2 * WIDTH if b > 0 else 0) for b in bands}
+    unit_of = {b: WIDTH * b - (4 * WIDTH if b > 0 else 0) for b in bands}
     each = [
         F.struct(
-            F.coalesce(sums[b].cast(wide), F.lit(0).cast(wide)).alias("s"),
+            F.coalesce(sums[b], F.lit(0).cast("bigint")).alias("s"),
             F.lit(math.ldexp(1.0, unit_of[b] // 2)).alias("f"),
             F.lit(math.ldexp(1.0, unit_of[b] - unit_of[b] // 2)).alias("g"),
             F.lit(b > 0).alias("above"),
@@ -94,22 +109,24 @@ def joined(sums: Mapping[int, Column]) -> Column:
         )
         for b in bands
     ]
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit(0.0).alias("low"), F.lit(0.0).alias("high"))
 
     def add(state: Column, band: Column) -> Column:
-        # What is beyond half a unit of the next band goes there, so that nothing cancels later.
         s = state["carry"] + band["s"]
-        rest = s % unit
-        up = F.when(band["last"], 0).when(rest >= half, 1).when(rest < -half, -1).otherwise(0)
-        carry = F.when(band["last"], F.lit(0)).otherwise(F.call_function("div", s, unit))
-        kept = F.when(band["last"], s).otherwise(rest - up * unit)
-        term = kept.cast("double") * band["f"] * band["g"]
+        carry = F.when(band["last"], F.lit(0).cast("bigint")).otherwise(_beyond(s))
+        term = (s - F.shiftleft(carry, WIDTH)).cast("double") * band["f"] * band["g"]
         low = F.when(band["above"], state["low"]).otherwise(state["low"] + term)
         high = F.when(band["above"], state["high"] + term).otherwise(state["high"])
-        return F.struct((carry + up).cast(wide).alias("carry"), low.alias("low"), high.alias("high"))
+        return F.struct(carry.alias("carry"), low.alias("low"), high.alias("high"))
 
     def both(state: Column) -> Column:
-        small, large = F.lit(math.ldexp(1.0, -2 * WIDTH)), F.lit(math.ldexp(1.0, 2 * WIDTH))
+        small, large = F.lit(math.ldexp(1.0, -4 * WIDTH)), F.lit(math.ldexp(1.0, 4 * WIDTH))
         return F.when(state["high"] == 0, state["low"]).otherwise((state["high"] + state["low"] * small) * large)
 
-    total = F.aggregate(F.array(*each), start, add, both)
-    return F.when(F.coalesce(*(sums[b] for b in bands)).isNotNull(), total)
+    return F.when(some, F.aggregate(F.array(*each), start, add, both))
+
+
+def _beyond(s: Column) -> Column:
+    """What of a band's sum belongs to the next one, so that the rest is at most half of its unit
+    and nothing cancels later."""
+    return F.shiftright(s + F.lit(1 << (WIDTH - 1)), WIDTH)
