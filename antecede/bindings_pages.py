@@ -20,21 +20,44 @@ def _escaped(name: str) -> str:
     return f"replace(replace(coalesce({name}, ''), '&', '&amp;'), '<', '&lt;')"
 
 
-def _paged(rows: DataFrame, number: str, row: str, head: str, tail: str, kind: str) -> DataFrame:
-    """Pages of rendered rows in ``number`` order."""
-    cut = rows.selectExpr(f"{number} div {PER_PAGE} AS page", f"struct({number} AS n, {row} AS html) AS r")
+def _paged(
+    rows: DataFrame, number: str, row: str, head: str, tail: str, kind: str, per_page: int = PER_PAGE, gaps: bool = False
+) -> DataFrame:
+    """Pages of rendered rows in ``number`` order. With ``gaps`` pages lack their table or all rows, and
+    rows with a number divisible by 7 have one cell."""
+    cell = f"if({number} % 7 = 0, '<tr><td>alone</td></tr>', {row})" if gaps else row
+    cut = rows.selectExpr(f"{number} div {per_page} AS page", f"struct({number} AS n, {cell} AS html) AS r")
     pages = cut.groupBy("page").agg(F.sort_array(F.collect_list("r")).alias("rows"))
-    return pages.selectExpr(f"'{kind}/' || page AS url", f"'{head}' || array_join(rows.html, '\n') || '{tail}' AS html")
+    html = f"'{head}' || array_join(rows.html, '\n') || '{tail}'"
+    if gaps:
+        html = f"CASE page % 5 WHEN 0 THEN '<p>gone</p>' WHEN 1 THEN '{head}{tail}' ELSE {html} END"
+    return pages.selectExpr(f"'{kind}/' || page AS url", f"{html} AS html")
+
+
+def irregular(pages: DataFrame) -> DataFrame:
+    """The same pages in markup that is written differently and means the same; which way depends
+    on the address."""
+    way = "crc32(url) % 5"
+    quote = "chr(39)"
+    return pages.selectExpr(
+        "url",
+        f"""CASE {way}
+            WHEN 0 THEN regexp_replace(html, '="([^"\\']*)"', '=' || {quote} || '$1' || {quote})
+            WHEN 1 THEN regexp_replace(regexp_replace(html, '<(/?)table', '<$1TABLE'), '<(/?)td', '<$1Td')
+            WHEN 2 THEN '<!-- <table><tr><td>old</td><td>x</td></tr></table> -->' || html
+            WHEN 3 THEN '<SCRIPT>var t = "<table><tr><td>no</td></tr></table>";</SCRIPT >' || html
+            ELSE replace(html, 'class="', 'class = "') END AS html""",
+    )
 
 
-def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_pages(spark: SparkSession, sf_dir: str, per_page: int = PER_PAGE, gaps: bool = False) -> DataFrame:
     """The raw events, listed."""
     row = f"""'<tr class="row"><td class="c">\n <i><a href="' || event_url || '" class="{p.BLACK_LINK}">'
         || {_escaped("event_name")} || '</a>\n <span>' || event_date || '</span></i></td><td class="c"> '
         || event_location || ' </td></tr>'"""
     head = f'<table class="b-statistics__table {p.LISTING_TABLE}"><thead><tr><th>Name</th><th>Place</th></tr></thead>'
     events = bindings.raw_events(spark, sf_dir).selectExpr("*", "unix_date(CAST(_ingested_at AS date)) AS n")
-    return _paged(events, "n", row, head, "</table>", "list")
+    return _paged(events, "n", row, head, "</table>", "list", per_page, gaps)
 
 
 def _staged_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,11 +121,22 @@ def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bindings.raw_fighters(spark, sf_dir).selectExpr("fighter_url AS url", f"{html} AS html")
 
 
-def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def index_pages(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """The raw profiles as index pages."""
     fighters = bindings.raw_fighters(spark, sf_dir).selectExpr(
         "*", "CAST(split_part(fighter_url, '/', 2) AS bigint) AS n"
     )
     link = """'<td><a href="' || fighter_url || '">' || {} || '</a></td>'""".format
     row = f"""'<tr>' || {link("first_name")} || {link("last_name")} || '<td>-</td></tr>'"""
-    return _paged(fighters, "n", row, "<table><tr><th>First</th><th>Last</th></tr>", "</table>", "index")
+    return _paged(fighters, "n", row, "<table><tr><th>First</th><th>Last</th></tr>", "</table>", "index", gaps=gaps)
+
+
+def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts as paragraphs, with letters as character references: named, decimal, hexadecimal."""
+    html = "p_name || ' & ' || p_type || ' <' || p_brand"
+    for plain, reference in (("&", "&amp;"), ("<", "&lt;"), ("o", "&#x6F;"), ("i", "&#105;")):
+        html = f"replace({html}, '{plain}', '{reference}')"
+    parts = bindings.table(spark, sf_dir, "part")
+    return parts.selectExpr(
+        "'part/' || p_partkey AS url", f"'<p>' || {html} || ' &eacute;&hearts;&NewLine;&unknown; &#146;</p>' AS html"
+    )

@@ -851,6 +851,20 @@ walked AS (
     "pages_profile": _raw("""SELECT fighter_url AS url, * EXCLUDE (u, fighter_url, first_name, last_name, reach),
         'Name' AS first_name, CAST(u AS varchar) AS last_name, CASE WHEN reach <> '--' THEN reach END AS reach
         FROM raw_fighters"""),
+    "pages_skipped": _raw("""SELECT url, reason, count(*) AS n FROM (
+        SELECT 'list/' || n AS url, CASE n % 5 WHEN 0 THEN 'no table' WHEN 1 THEN 'no rows' ELSE
+            CASE WHEN n % 7 = 0 THEN 'a row of one cell' END END AS reason
+        FROM (SELECT date_diff('day', DATE '1970-01-01', CAST(substr(event_url, 7) AS DATE)) AS n FROM raw_events)
+        UNION ALL
+        SELECT DISTINCT 'index/' || u // 20, CASE WHEN u // 20 % 5 = 0 THEN 'no table' ELSE 'no rows' END
+        FROM raw_fighters WHERE u // 20 % 5 < 2
+        UNION ALL
+        SELECT 'index/' || u // 20, 'a row of one cell' FROM raw_fighters WHERE u // 20 % 5 > 1 AND u % 7 = 0)
+      WHERE reason IS NOT NULL GROUP BY ALL"""),
+    "pages_references": """SELECT concat('part/', p_partkey) AS url,
+        concat(p_name, ' & ', p_type, ' <', p_brand, ' é♥', chr(10), '&unknown; ’') AS text FROM part""",
+    "bronze_events": _raw("""SELECT event_name, event_date, event_location, event_url, concat('list/',
+        date_diff('day', DATE '1970-01-01', CAST(substr(event_url, 7) AS DATE)) // 20) AS _source_url FROM raw_events"""),
     "pages_index": _raw("SELECT first_name, last_name, fighter_url AS link FROM raw_fighters"),
     "bronze_bouts": _raw(f"""SELECT bout_url, concat('card/', id // 2 // 20) AS event_url, weight_class,
         CASE WHEN result IS NULL AND winner_name = 'nc' THEN fighter_a_name ELSE winner_name END AS winner_name,
@@ -865,3 +879,4 @@ walked AS (
 
 # The same results by another way.
 ORACLES |= {f"{name}_sliced": ORACLES[name] for name in ("prior_rates", "feature_matrix")}
+ORACLES |= {"pages_irregular": ORACLES["pages_box"], "pages_irregular_index": ORACLES["pages_index"]}

@@ -819,6 +819,38 @@ def pages_index(spark, sf_dir):
     return records.drop("url", "position")
 
 
+@query
+def pages_skipped(spark, sf_dir):
+    """Listing and index pages, and rows of them, that gave nothing, with the reason."""
+    listing = pg.skipped(pg.parse_listing(bp.listing_pages(spark, sf_dir, per_page=1, gaps=True)))
+    return listing.unionByName(pg.skipped(pg.parse_index(bp.index_pages(spark, sf_dir, gaps=True))))
+
+
+@query
+def pages_irregular(spark, sf_dir):
+    """Box scores in irregular markup give what regular ones do."""
+    records, _ = pg.extract_box_score(bp.irregular(bp.box_score_pages(spark, sf_dir)))
+    return records
+
+
+@query
+def pages_irregular_index(spark, sf_dir):
+    records, _ = pg.extract_index(bp.irregular(bp.index_pages(spark, sf_dir)))
+    return records.drop("url", "position")
+
+
+@query
+def pages_references(spark, sf_dir):
+    """Character references by name and number are read back."""
+    return pg.parse_elements(bp.reference_pages(spark, sf_dir), "p").drop("position")
+
+
+@query
+def bronze_events(spark, sf_dir):
+    records, _ = bronze.bronze_events(bp.listing_pages(spark, sf_dir), landing.new_batch_id())
+    return records.drop("_batch_id", "_ingested_at", "_raw_payload")
+
+
 @query
 def bronze_bouts(spark, sf_dir):
     """Cards and box scores together, as the raw layer has them. The pages are

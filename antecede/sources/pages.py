@@ -75,8 +75,8 @@ def drop_interstitials(pages: DataFrame, marker: str = CHALLENGE_MARKER) -> tupl
 
 
 def skipped(parsed: DataFrame) -> DataFrame:
-    """(url) of pages that had nothing to give."""
-    return parsed.filter(F.col("status") == SKIP).select("url").distinct()
+    """(url, reason, n): pages that had nothing to give, and how many rows of a page had not."""
+    return parsed.filter(F.col("status") == SKIP).groupBy("url", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_status(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,15 +96,42 @@ def _once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(made)))
 
 
-def _status(rules: Mapping[str, Column], skip: Column | None = None) -> dict[str, Column]:
-    """status and reason from named failure conditions, first one wins."""
-    reason = F.lit(None).cast("string")
-    for name, condition in reversed(rules.items()):
-        reason = F.when(condition, name).otherwise(reason)
-    status = F.when(reason.isNotNull(), QUARANTINE)
+def _status(
+    rules: Mapping[str, Column], skip: Column | None = None, nothing: Mapping[str, Column] | None = None
+) -> dict[str, Column]:
+    """status and reason from named failure conditions, first one wins. ``nothing`` names
+    conditions under which there is nothing to give, and comes before them."""
+
+    def first(named: Mapping[str, Column]) -> Column:
+        reason = F.lit(None).cast("string")
+        for name, condition in reversed(named.items()):
+            reason = F.when(condition, name).otherwise(reason)
+        return reason
+
+    none, reason = first(nothing or {}), first(rules)
+    status = F.when(none.isNotNull(), SKIP).when(reason.isNotNull(), QUARANTINE)
     if skip is not None:
         status = status.when(skip, SKIP)
-    return {"reason": reason, "status": status.otherwise(OK)}
+    return {"reason": F.coalesce(none, reason), "status": status.otherwise(OK)}
+
+
+def _table_rows(pages: DataFrame, table: Column, present: Column) -> DataFrame:
+    """Rows with cells of each page's table, and their cells. A page without any keeps one row, that
+    has neither ``position`` nor ``cells``; ``present`` says whether the table is there."""
+    read = _once(_seen(pages), "url", rows=_rows(table), present=present)
+    numbered = F.transform("rows", lambda row, n: F.struct(n.alias("position"), row.alias("row")))
+    with_cells = F.filter(numbered, lambda r: r["row"].rlike(r"<(?i:td)\b"))
+    each = read.select("url", "present", F.explode_outer(with_cells).alias("r"))
+    return _once(each, "url", "present", position=F.col("r.position"), cells=m.all_of(F.col("r.row"), m.inside("td")))
+
+
+def _no_record() -> dict[str, Column]:
+    """Why a row of :func:`_table_rows` gives no record."""
+    return {
+        "no table": ~F.col("present"),
+        "no rows": F.col("position").isNull(),
+        "a row of one cell": F.size("cells") < 2,
+    }
 
 
 def _seen(pages: DataFrame) -> DataFrame:
@@ -122,15 +149,17 @@ def _rows(table: Column) -> Column:
 
 def parse_listing(pages: DataFrame, table_class: str = LISTING_TABLE) -> DataFrame:
     """Listing page -> one row per table row with at least two cells: name and
-    date (two lines of the first cell), location, link."""
+    date (two lines of the first cell), location, link. Rows with one cell, and
+    pages without the table or without rows, are skipped by name."""
     table = m.first_of(F.col("html"), m.inside("table", class_=table_class))
-    rows = _seen(pages).select("url", F.posexplode(_rows(table)).alias("position", "row"))
-    cells = _once(rows, "url", "position", cells=m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
+    cells = _table_rows(pages, table, F.col("html").rlike(m.opening("table", class_=table_class)))
     first = F.get("cells", F.lit(0))
     parsed = _once(
         cells,
         "url",
         "position",
+        "present",
+        "cells",
         name_and_date=m.lines(first),
         event_location=m.text(F.get("cells", F.lit(1))),
         event_url=m.attribute(first, "href"),
@@ -141,9 +170,11 @@ def parse_listing(pages: DataFrame, table_class: str = LISTING_TABLE) -> DataFra
         F.get("name_and_date", F.lit(1)).alias("event_date"),
         "event_location",
         "event_url",
+        "present",
+        "cells",
     )
     rules = {"no date line": F.col("event_date").isNull(), "no link": F.col("event_url") == ""}
-    return parsed.withColumns(_status(rules))
+    return parsed.withColumns(_status(rules, nothing=_no_record())).drop("present", "cells")
 
 
 def parse_card(pages: DataFrame) -> DataFrame:
@@ -282,19 +313,20 @@ def _last_values() -> Column:
 
 def parse_index(pages: DataFrame) -> DataFrame:
     """Index page -> (first, last, link) per row of the first table with at
-    least two cells."""
-    rows = _seen(pages).select("url", F.posexplode(_rows(_first_table(F.col("html")))).alias("position", "row"))
-    cells = _once(rows, "url", "position", cells=m.all_of(F.col("row"), m.inside("td"))).filter(F.size("cells") >= 2)
+    least two cells; others are skipped as in :func:`parse_listing`."""
+    cells = _table_rows(pages, _first_table(F.col("html")), F.col("html").rlike(r"<(?i:table)\b"))
     first, second = F.get("cells", F.lit(0)), F.get("cells", F.lit(1))
     parsed = _once(
         cells,
         "url",
         "position",
+        "present",
+        "cells",
         first_name=m.text(m.first_of(first, m.inside("a"))),
         last_name=m.text(m.first_of(second, m.inside("a"))),
         link=m.attribute(first, "href"),
     )
-    return parsed.withColumns(_status({"no link": F.col("link") == ""}))
+    return parsed.withColumns(_status({"no link": F.col("link") == ""}, nothing=_no_record())).drop("present", "cells")
 
 
 def parse_links(pages: DataFrame, within: str = "li") -> DataFrame:

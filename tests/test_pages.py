@@ -113,7 +113,17 @@ def test_listing(spark):
 
 def test_a_class_that_only_begins_alike_is_another(spark):
     other = listing(*EVENTS).replace(p.LISTING_TABLE, p.LISTING_TABLE + "-old")
-    assert p.parse_listing(pages(spark, other)).isEmpty()
+    parsed = p.parse_listing(pages(spark, other))
+    assert p.split_status(parsed)[0].isEmpty() and [r.reason for r in p.skipped(parsed).collect()] == ["no table"]
+
+
+def test_what_gives_nothing_is_told(spark):
+    head = f'<table class="{p.LISTING_TABLE}"><tr><th>Event</th></tr>'
+    htmls = [listing(*EVENTS), BLANK, head + "</table>", head + "<tr><td>one</td></tr><TR><TD>two</TD></TR></table>"]
+    for parse in (p.parse_listing, p.parse_index):
+        told = {(r.url, r.reason, r.n) for r in p.skipped(parse(pages(spark, *htmls))).collect()}
+        assert told == {("page-1", "no table", 1), ("page-2", "no rows", 1), ("page-3", "a row of one cell", 2)}
+    assert {r.url for r in p.extract_listing(pages(spark, *htmls))[0].collect()} == {"page-0"}
 
 
 def test_listing_row_without_its_day(spark):
