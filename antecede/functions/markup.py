@@ -17,9 +17,6 @@ _REFERENCE = r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);"
 # Only the names are matched in either case: a search for a plain "<" is much faster.
 _UNSEEN = r"(?s)<(?:!--.*?-->|(?i:(script|style))\b.*?</(?i:\1)\s*>)"
 _MAY_HIDE = r"<(?:!--|(?i:script|style))"
-
-# References that make up nearly all of those met.
-_COMMON = ("amp", "lt", "gt", "quot", "nbsp", "apos")
 _MARK = "\x01"
 
 ANY_TAG = r"<[^>]*>"
@@ -37,19 +34,16 @@ def _named(name: Column) -> Column:
     table = F.lit(_MARK + _MARK.join(names) + _MARK)
     at = F.position(F.concat(F.lit(_MARK), name, F.lit(";")), table)
     found = F.when(at > 0, F.substring_index(F.substr(table, at + F.length(name) + 2, F.lit(8)), _MARK, 1))
-    common = F.when(name == _COMMON[0], html5[f"{_COMMON[0]};"])
-    for known in _COMMON[1:]:
-        common = common.when(name == known, html5[f"{known};"])
-    return common.otherwise(found)
+    return F.when(name == "amp", "&").when(name == "lt", "<").when(name == "gt", ">").otherwise(found)
 
 
 def _numbered(point: Column) -> Column:
     """A character by number. As browsers do, 128 to 159 are read as Windows-1252
     and what is no character becomes the replacement character."""
-    western = F.array(*[F.lit(bytes([n]).decode("cp1252", "replace")) for n in range(128, 160)])
+    western = F.lit(bytes(range(128, 160)).decode("cp1252", "replace"))
     wrong = (point == 0) | point.between(0xD800, 0xDFFF) | (point > 0x10FFFF)
     plain = F.decode(F.unhex(F.lpad(F.hex(F.when(wrong, 0xFFFD).otherwise(point)), 8, "0")), "UTF-32")
-    return F.when(point.between(128, 159), F.get(western, (point - 128).cast("int"))).otherwise(plain)
+    return F.when(point.between(128, 159), F.substr(western, (point - 127).cast("int"), F.lit(1))).otherwise(plain)
 
 
 def _referred(reference: Column) -> Column:

@@ -813,6 +813,28 @@ walked AS (
     **dict.fromkeys(("ingest_bad_file", "ingest_stream_mixed"), """SELECT CAST(event_id AS varchar) AS event_id,
         epoch_us(ts) AS us, CASE WHEN event_id % 3 = 2 THEN event_type END AS note, CAST(ts AS date) AS dt,
         true AS set_aside FROM events"""),
+    "empty_from_sample": """SELECT o_orderkey, o_orderstatus, o_totalprice, 0 AS rows_before FROM orders
+        WHERE o_orderstatus = 'P'""",
+    "layers_by_name": _with(body="SELECT md5(event_url) AS event_sk, event_url, event_name, event_date FROM stg_events"),
+    "seed_typed": """SELECT CASE WHEN bad THEN 'set aside' ELSE note END AS note, count(*) AS n,
+          sum(CASE WHEN NOT bad THEN CAST(o_totalprice AS decimal(20,2)) END) AS price,
+          max(CASE WHEN NOT bad THEN CAST(o_orderdate AS date) END) AS newest
+        FROM (SELECT *, o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' AS bad,
+          CASE WHEN o_orderkey % 2 = 0 THEN 'say "so", then' END AS note FROM orders) GROUP BY 1""",
+    "sql_parsers": """SELECT rendered, n, landed, attempted, landed * 60 + attempted AS seconds, share FROM (
+        SELECT CASE WHEN l_linenumber = 7 THEN '---' ELSE concat(CAST(l_quantity AS int), ' of ', l_linenumber) END AS rendered,
+          CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS int) END AS landed,
+          CASE WHEN l_linenumber <> 7 THEN CAST(l_linenumber AS int) END AS attempted,
+          CASE WHEN l_tax <> 0 THEN round(l_discount * 100) / 100.0::DOUBLE END AS share, count(*) AS n
+        FROM lineitem GROUP BY ALL)""",
+    "sql_latest": """SELECT 'now' AS as_of, user_id, event_id, event_type FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+        UNION ALL
+        SELECT 'then', user_id, event_id, event_type FROM events WHERE ts <= TIMESTAMP '2024-01-10 12:00:00'
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "sql_unpivot": _with(body="""SELECT bout_url, 'a' AS corner, fighter_a_url AS fighter_url, fighter_b_url AS opponent_url,
+          fighter_a_knockdowns AS knockdowns FROM stg_bouts
+        UNION ALL SELECT bout_url, 'b', fighter_b_url, fighter_a_url, fighter_b_knockdowns FROM stg_bouts"""),
     "load_report": """SELECT run, rows_loaded, loaded_any, true AS skipped_the_rest FROM (
         SELECT 1 AS run, count(*) AS rows_loaded, true AS loaded_any FROM events
         UNION ALL SELECT 2, 0, false
@@ -880,3 +902,4 @@ walked AS (
 # The same results by another way.
 ORACLES |= {f"{name}_sliced": ORACLES[name] for name in ("prior_rates", "feature_matrix")}
 ORACLES |= {"pages_irregular": ORACLES["pages_box"], "pages_irregular_index": ORACLES["pages_index"]}
+ORACLES |= {"published_marts": ORACLES["fct_bout"]}

@@ -16,6 +16,7 @@ from antecede import bindings as b
 from antecede import bindings_pages as bp
 from antecede import functions as fn
 from antecede.functions import markup
+from antecede.functions import sql as fn_sql
 from antecede.operators import (
     attach_columns,
     distinct_participants,
@@ -36,7 +37,7 @@ from antecede.operators import quality as q
 from antecede.operators.prior import MAX_ROWS_PER_TASK
 from antecede.plans import bronze, career, checks, features, marts, serving
 from antecede.session import scratch_path, written
-from antecede.sources import landing, load
+from antecede.sources import catalog, landing, load, seeds
 from antecede.sources import pages as pg
 from antecede.sources.freshness import freshness
 from antecede.streaming import load_stream
@@ -747,6 +748,112 @@ def stamp_lineage(spark, sf_dir):
     )
 
 
+# --- layers, seeds, SQL ------------------------------------------------------------------
+
+
+@query
+def published_marts(spark, sf_dir):
+    """Bouts and events published as tables bucketed by the event; the fact is built from the two
+    without a shuffle, published and read back by name."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frames = {"stg_bouts": b.stg_bouts(spark, sf_dir), "stg_events": b.stg_events(spark, sf_dir)}
+    for name, frame in frames.items():
+        place = catalog.own_place(spark, "staging", name)
+        catalog.publish(frame, "staging", name, bucket_by=("event_url",), buckets=buckets, at=place)
+    facts = marts.fct_bout(spark.table("staging.stg_bouts"), spark.table("staging.stg_events"))
+    catalog.publish(facts, "marts", "fct_bout", at=catalog.own_place(spark, "marts", "fct_bout"))
+    return written(spark.table("marts.fct_bout"), "read-back")
+
+
+@query
+def empty_from_sample(spark, sf_dir):
+    """A table made from a sample's columns: empty at first, and not emptied when asked for again."""
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    spark.sql("DROP TABLE IF EXISTS raw.sampled_orders")
+    place = catalog.own_place(spark, "raw", "sampled_orders")
+    before = catalog.ensure_table(orders, "raw", "sampled_orders", at=place).count()
+    orders.filter("o_orderstatus = 'P'").write.insertInto("raw.sampled_orders")
+    return written(catalog.ensure_table(orders, "raw", "sampled_orders").withColumn("rows_before", F.lit(before)), "read-back")
+
+
+@query
+def layers_by_name(spark, sf_dir):
+    """Raw table, staging view and mart, each in its database and read by name in SQL only."""
+    raw = b.raw_events(spark, sf_dir).withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp"))
+    again = raw.withColumns({"event_name": F.lit("older"), "_ingested_at": F.col("_ingested_at") - F.expr("INTERVAL 1 HOUR")})
+    catalog.publish(raw.unionByName(again), "raw", "events", at=catalog.own_place(spark, "raw", "events"))
+    catalog.create_layers(spark)
+    fn_sql.register_sql_functions(spark, "staging")
+    catalog.publish_view(
+        spark,
+        "staging",
+        "events",
+        """SELECT event_url, event_name, staging.parse_long_date(event_date) AS event_date, event_location FROM (
+            SELECT *, row_number() OVER (PARTITION BY event_url ORDER BY _ingested_at DESC) AS nth FROM raw.events) WHERE nth = 1""",
+    )
+    spark.sql("DROP TABLE IF EXISTS marts.dim_day")
+    spark.sql(
+        f"""CREATE TABLE marts.dim_day USING parquet LOCATION '{catalog.own_place(spark, "marts", "dim_day")}' AS
+        SELECT md5(event_url) AS event_sk, event_url, event_name, event_date FROM staging.events"""
+    )
+    return written(spark.sql("SELECT event_sk, event_url, event_name, event_date FROM marts.dim_day"), "read-back")
+
+
+@query
+def seed_typed(spark, sf_dir):
+    """Orders as a text seed, those of one status with a price that is no number and those of one priority
+    with a day that is none: what is read with the declared types, and the lines set aside."""
+    at = scratch_path(spark, "seed")
+    text = b.table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS string) AS o_orderkey",
+        "if(o_orderstatus = 'P', 'n/a', CAST(CAST(o_totalprice AS decimal(20,2)) AS string)) AS price",
+        "if(o_orderkey % 2 = 0, 'say \"so\", then', NULL) AS note",
+        "if(o_orderpriority = '1-URGENT', 'soon', CAST(CAST(o_orderdate AS date) AS string)) AS ordered_on",
+    )
+    text.write.option("header", "true").option("escape", '"').csv(at)
+    rows, aside = seeds.read_seed_checked(spark, at, "o_orderkey BIGINT, price DECIMAL(20,2), note STRING, ordered_on DATE")
+    good = rows.groupBy("note").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"), F.max("ordered_on").alias("newest"))
+    lost = aside.agg(F.lit("set aside").alias("note"), F.count(F.lit(1)).alias("n"))
+    return good.unionByName(lost, allowMissingColumns=True)
+
+
+@query
+def sql_parsers(spark, sf_dir):
+    """The parsers, called in SQL."""
+    fn_sql.register_sql_functions(spark)
+    b.table(spark, sf_dir, "lineitem").createOrReplaceTempView("sql_lines")
+    return spark.sql(
+        """SELECT rendered, n, parse_landed(rendered) AS landed, parse_attempted(rendered) AS attempted,
+            parse_mmss_seconds(replace(rendered, ' of ', ':')) AS seconds, parse_percentage(share) AS share
+        FROM (SELECT if(l_linenumber = 7, '---', CAST(l_quantity AS int) || ' of ' || l_linenumber) AS rendered,
+                if(l_tax = 0, '--', CAST(round(l_discount * 100) AS int) || '%') AS share, count(*) AS n
+              FROM sql_lines GROUP BY ALL)"""
+    )
+
+
+@query
+def sql_latest(spark, sf_dir):
+    """Each user's latest event, and that as of some day, by a table function."""
+    b.table(spark, sf_dir, "events").createOrReplaceTempView("sql_events")
+    fn_sql.register_latest(spark, "latest_events", "sql_events", ["user_id"], "ts", ["event_id"])
+    return spark.sql(
+        """SELECT 'now' AS as_of, user_id, event_id, event_type FROM latest_events()
+        UNION ALL
+        SELECT 'then', user_id, event_id, event_type FROM latest_events(TIMESTAMP_NTZ '2024-01-10 12:00:00')"""
+    )
+
+
+@query
+def sql_unpivot(spark, sf_dir):
+    """Both sides of each bout, by a table function."""
+    b.stg_bouts(spark, sf_dir).select(
+        "bout_url", "fighter_a_url", "fighter_b_url", "fighter_a_knockdowns", "fighter_b_knockdowns"
+    ).createOrReplaceTempView("sql_bouts")
+    sides = {"fighter_url": "fighter_{side}_url", "knockdowns": "fighter_{side}_knockdowns"}
+    fn_sql.register_unpivot(spark, "sides", "sql_bouts", ["bout_url"], sides, {"opponent_url": "fighter_{side}_url"})
+    return spark.sql("SELECT bout_url, corner, fighter_url, opponent_url, knockdowns FROM sides()")
+
+
 # --- web pages ----------------------------------------------------------------------------
 
 

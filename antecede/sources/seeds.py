@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The columns of the raw layer.
 
@@ -38,7 +40,31 @@ SEED_DDL = {
 }
 
 
+_CORRUPT = "_corrupt_line"
+
+
 def read_seed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A CSV with a header, read with the declared types. Quotes inside quoted
-    values are doubled, as in RFC 4180."""
-    return spark.read.schema(ddl).option("header", "true").option("escape", '"').csv(path)
+    values are doubled, as in RFC 4180. Rows that do not fit are left out, see
+    :func:`read_seed_checked`."""
+    return read_seed_checked(spark, path, ddl)[0]
+
+
+def read_seed_checked(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine): a line with a value its column cannot take, or with too many or too
+    few values, goes to quarantine as it is (``line``, ``file_path``) instead of losing values."""
+    declared = StructType.fromDDL(ddl)
+    lines = (
+        spark.read.schema(StructType([*declared, StructField(_CORRUPT, StringType())]))
+        .option("header", "true")
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnPruning", "false")
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .csv(path)
+    )
+    bad = F.col(_CORRUPT).isNotNull()
+    # Values are only looked at where their columns are asked for; this asks for all and lets all pass.
+    parsed = F.concat_ws("", *(F.col(f"`{f.name}`").cast("string") for f in declared)) >= ""
+    quarantine = lines.filter(bad & parsed).select(F.col(_CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file_path"))
+    return lines.filter(~bad & parsed).drop(_CORRUPT), quarantine
