@@ -7,7 +7,14 @@ neighbouring pairs; a step merges the leftmost pair of least rank and looks up t
 that the merge makes. (The ids are kept as hex digits of one width in a string, whose parts Spark
 takes and joins much faster than those of arrays.) Ranks come from a literal map from pairs of ids, cut by a hash into many
 small maps, so that a look-up does not scan the vocabulary. The ids of the words are then laid out
-again in the order of the texts. Nothing is shuffled.
+again in the order of the texts. No text is shuffled.
+
+Words that are frequent in a sample of the texts (at most ``FREQUENT`` of them, from a quarter of the
+text or ``SAMPLE_CHARS``, whichever is less) are folded beforehand, once, and sent to the tasks, so
+that a block folds only what is not among them. What the sample holds changes no id.
+
+What is a letter or a number is asked of the library whose pattern it is, for every code point, once
+on the driver.
 
 Decoding concatenates the bytes of the ids.
 
@@ -24,9 +31,8 @@ import base64
 import hashlib
 import heapq
 import json
-import sys
-import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -38,15 +44,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from antecede.llm.tokens import span_hashes
+from antecede.session import written
 
 BLOCK_CHARS = 4 << 20
 PIECE_CHARS = 1 << 19
 LONG_WORD = 64
 BUCKETS = 1 << 17  # a power of two
+SAMPLE_CHARS = 200_000_000
+FREQUENT = 600_000
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
 _END_POINT = 0x110000
-#: Code points with the White_Space property.
-WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 #: The contractions the split pattern names.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -61,19 +68,23 @@ def load_ranks(path: str) -> dict[bytes, int]:
 @lru_cache(1)
 def _classes() -> np.ndarray:
     """Class of each code point, as the split pattern tells them apart."""
-    table = np.zeros(_END_POINT + 1, np.uint8)
-    kinds = {"L": _LETTER, "N": _NUMBER}
-    for point in range(sys.maxunicode + 1):
-        table[point] = kinds.get(unicodedata.category(chr(point))[0], _OTHER)
-    table[[ord(c) for c in WHITE_SPACE]] = _SPACE
+    import tiktoken
+
+    points = [c for c in range(_END_POINT) if not 0xD800 <= c < 0xE000]
+    every, one_byte = "".join(map(chr, points)), {bytes([b]): b for b in range(256)}
+    table = np.full(_END_POINT + 1, _OTHER, np.uint8)
+    for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
+        # What matches comes back byte by byte, what does not is left out.
+        probe = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=one_byte, special_tokens={})
+        table[[ord(c) for c in bytes(probe.encode_ordinary(every)).decode()]] = kind
     table[_END_POINT] = _END
     return table
 
 
-def split_points(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def split_points(points: np.ndarray, classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the pattern's matches in an array of code points, in which texts are
     separated by ``0x110000``."""
-    kind = _classes()[points]
+    kind = (_classes() if classes is None else classes)[points]
     n = len(points)
     edge = np.ones(n + 1, bool)
     edge[1:n] = (kind[1:] != kind[:-1]) | (kind[1:] == _END)
@@ -198,17 +209,63 @@ def merge_fold(word: Column, maps: Column, width: int) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class Known:
+    """Words whose ids are known: their hashes, rising, and the code points and ids (hex digits)
+    of each."""
+
+    hashes: np.ndarray
+    points: np.ndarray
+    point_ends: np.ndarray
+    ids: bytes
+    id_ends: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[str], ids: list[str]) -> Known:
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        starts = np.concatenate(([0], ends[:-1])) if len(words) else ends
+        hashes = span_hashes(points, starts, ends)
+        by = np.argsort(hashes)
+        length = (ends - starts)[by]
+        after = np.cumsum(length)
+        laid = points[np.repeat(starts[by] - (after - length), length) + np.arange(len(points))]
+        spelled = [ids[k] for k in by.tolist()]
+        return cls(hashes[by], laid, after, "".join(spelled).encode(), np.cumsum(np.fromiter(map(len, spelled), np.int64, len(by))))
+
+    def places(self, hashes: np.ndarray, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which known word each of some is, -1 for others; compared in full, not by hash alone."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == hashes)
+        mine, length = at[hit], (end - start)[hit]
+        before = np.concatenate(([0], self.point_ends))[mine]
+        if (self.point_ends[mine] - before != length).any():
+            raise ValueError("two words have one hash")  # one chance in 2**64 a pair
+        run = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        if (self.points[np.repeat(before, length) + run] != points[np.repeat(start[hit], length) + run]).any():
+            raise ValueError("two words have one hash")
+        out = np.full(len(hashes), -1)
+        out[hit] = mine
+        return out
+
+    def spelled(self, place: int) -> str:
+        return self.ids[self.id_ends[place - 1] if place else 0 : self.id_ends[place]].decode()
+
+
 class _Block:
-    """Documents of one block: the distinct words, and each text as positions among them."""
+    """Documents of one block: the distinct words, and each text as positions among them. Those that
+    are known already are kept apart, as ``done``, at positions -1, -2, ..."""
 
-    def __init__(self, ranks: dict[bytes, int], width: int):
-        self.ranks, self.width = ranks, width
+    def __init__(self, ranks: dict[bytes, int], width: int, known: Known | None = None, classes: np.ndarray | None = None):
+        self.ranks, self.width, self.known, self.classes = ranks, width, known or Known.of([], []), classes
         self.pad = "f" * width
         self.byte = [f"{ranks[bytes([b])]:0{width}x}" for b in range(256)]
         self.clear()
 
     def clear(self) -> None:
-        self.ids, self.counts, self.index, self.words, self.chars = [], [], [], [], 0
+        self.ids, self.counts, self.index, self.words, self.done, self.chars = [], [], [], [], [], 0
         self.place: dict[int, int] = {}
 
     def _spelled(self, word: str) -> str:
@@ -244,7 +301,7 @@ class _Block:
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
         points[ends] = _END_POINT
-        start, end = split_points(points)
+        start, end = split_points(points, self.classes)
         hashes, first, inverse = np.unique(
             span_hashes(points, start, end), return_index=True, return_inverse=True
         )
@@ -255,11 +312,17 @@ class _Block:
         if (length[first][inverse] != length).any() or (points[here + shift] != points[here]).any():
             raise ValueError("two words have one hash")  # one chance in 2**64 a pair
         places = np.empty(len(hashes), np.int32)
-        known, words = self.place, self.words
+        seen, words, done = self.place, self.words, self.done
+        known = self.known.places(hashes, points, start[first], end[first]).tolist()
         for k, (h, f) in enumerate(zip(hashes.tolist(), first.tolist(), strict=True)):
-            if (place := known.get(h)) is None:
-                place = known[h] = len(words)
-                words.append(self._spelled(joined[start[f] : end[f]]))
+            if (place := seen.get(h)) is None:
+                if known[k] >= 0:
+                    done.append(self.pad + self.known.spelled(known[k]) + self.pad)
+                    place = -len(done)
+                else:
+                    place = len(words)
+                    words.append(self._spelled(joined[start[f] : end[f]]))
+                seen[h] = place
             places[k] = place
         self.index.append(places[inverse])
         return np.diff(np.searchsorted(start, ends), prepend=0)
@@ -271,6 +334,7 @@ class _Block:
             "counts": pa.array([self.counts], pa.list_(pa.int64())),
             "index": _one_list(index),
             "words": pa.array([self.words], pa.list_(pa.string())),
+            "done": pa.array([self.done], pa.list_(pa.string())),
         }
         self.clear()
         return pa.RecordBatch.from_pydict(values)
@@ -285,11 +349,14 @@ def _laid_out(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.Array, pa.
     for k in range(batch.num_rows):
         row = {name: batch.column(name)[k] for name in batch.schema.names}
         words = row["words"].values.to_pylist()
+        begun = len(words)
+        words += row["done"].values.to_pylist()
         sizes = np.fromiter(map(len, words), np.int64, len(words)) // width
         flat = np.frombuffer(bytes.fromhex("".join(words)), f">u{width // 2}").astype(np.int32)
         begin = np.cumsum(sizes) - sizes + 1  # after the padding
         sizes -= 2
         index = row["index"].values.to_numpy(zero_copy_only=False)
+        index = np.where(index < 0, begun - 1 - index, index)
         counts = row["counts"].values.to_numpy(zero_copy_only=False)
         ids = row["ids"].values
         for at, stop, i, j in _some_documents(counts):
@@ -314,16 +381,69 @@ def _some_documents(counts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         at = stop
 
 
+def _rank_maps(ranks: dict[bytes, int]) -> Column:
+    """The literal of ``_pair_ranks``."""
+    return F.from_json(F.lit(json.dumps(_pair_ranks(ranks), separators=(",", ":"))), "array<map<string,string>>")
+
+
+def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sample_chars: int, most: int) -> Known:
+    """Words met in most blocks of a sample of ``source.text``, at most ``most``, and their ids. A
+    text too small for that gives none."""
+    spark, width = source.sparkSession, _width(ranks)
+    chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
+    if chars < 8 * BLOCK_CHARS:
+        return Known.of([], [])
+    sent = spark.sparkContext.broadcast((ranks, _classes()))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, classes, size = set(), sent.value[1], 0
+
+        def out() -> pa.RecordBatch:
+            block = _Block(sent.value[0], width)
+            kept = [w for w in words if w.encode("utf-8", "surrogatepass") not in block.ranks and len(w) <= LONG_WORD // 4]
+            return pa.RecordBatch.from_pydict({"word": pa.array(kept, pa.string()), "spelled": pa.array([block._spelled(w) for w in kept], pa.string())})
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for piece in _pieces(text or ""):
+                    points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
+                    start, end = split_points(np.append(points, np.uint32(_END_POINT)), classes)
+                    words.update(piece[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True))
+                    size += len(piece)
+                    if size >= BLOCK_CHARS:
+                        yield out()
+                        words, size = set(), 0
+        if words:
+            yield out()
+
+    parts = max(4, -(-chars // sample_chars))
+    sample = source.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0).select("text")
+    met = sample.mapInArrow(blocks, "word string, spelled string").groupBy("word", "spelled").agg(F.count(F.lit(1)).alias("n"))
+    met = written(met.where("n > 1"), "frequent-words")
+    least, total = 2, 0
+    for r in met.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).collect():  # a row per number of blocks
+        total += r["words"]
+        if total > most:
+            least = r["n"] + 1
+            break
+    folded = F.get(F.transform(F.array(maps), lambda m: merge_fold(F.col("spelled"), m, width)), F.lit(0))
+    table = written(met.where(F.col("n") >= least).select("word", folded.alias("ids")), "frequent-ids").toArrow()  # ``most`` rows
+    return Known.of(table["word"].to_pylist(), [x[width:-width] for x in table["ids"].to_pylist()])
+
+
 def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str) -> tuple[DataFrame, str, int]:
     """A row per block of documents with its distinct words encoded; the ids' type; an id's width."""
     spark = docs.sparkSession
     width = _width(ranks)
-    sent = spark.sparkContext.broadcast(ranks)  # the vocabulary
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
+    maps = _rank_maps(ranks)
+    known = frequent_words(source, ranks, maps, SAMPLE_CHARS, FREQUENT)
+    sent = spark.sparkContext.broadcast((ranks, known, _classes()))  # the vocabulary, and bounded tables
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, kind = _Block(sent.value, width), None
+        vocabulary, frequent, classes = sent.value
+        block, kind = _Block(vocabulary, width, frequent, classes), None
         for batch in batches:
             kind = batch.schema.field("id").type
             ids, texts = batch.column("id").to_pylist(), batch.column("text")
@@ -334,10 +454,10 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str)
         if block.ids:
             yield block.row(kind)
 
-    maps = F.from_json(F.lit(json.dumps(_pair_ranks(ranks), separators=(",", ":"))), "array<map<string,string>>")
     folded = F.transform(F.array(maps), lambda m: F.transform("words", lambda w: merge_fold(w, m, width)))
-    taken = source.mapInArrow(blocks, f"ids array<{id_type}>, counts array<long>, index array<int>, words array<string>")
-    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words")), id_type, width
+    fields = f"ids array<{id_type}>, counts array<long>, index array<int>, words array<string>, done array<string>"
+    taken = source.mapInArrow(blocks, fields)
+    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words"), "done"), id_type, width
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -61,7 +61,7 @@ BASE = {
 }
 #: Looser forms.
 LOOSE = {
-    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+ ?[\[(]at[\])] ?{_LABEL}{{1,63}}+(?: ?[\[(]dot[\])] ?{_LABEL}{{1,63}}+)+",
+    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+ ?[\[(]at[\])] ?{_LABEL}{{1,63}}+(?: ?[\[(]dot[\])] ?{_LABEL}{{1,63}}+)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "phone": r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
 }

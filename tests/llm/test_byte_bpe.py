@@ -40,6 +40,30 @@ def test_against_the_library(spark, ranks, library):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows, ranks, library)
 
 
+def test_every_code_point(spark, ranks, library):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["a".join(points[k : k + 2000]) + " " + "1 ".join(points[k : k + 2000]) for k in range(0, len(points), 2000)]
+    rows = list(enumerate(texts))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), rows, ranks, library)
+
+
+def test_frequent_words_change_nothing(spark, monkeypatch, documents, ranks, library):
+    monkeypatch.setattr(byte_bpe, "BLOCK_CHARS", 3000)
+    for most in (byte_bpe.FREQUENT, 500):
+        monkeypatch.setattr(byte_bpe, "FREQUENT", most)
+        source = documents.select(F.col("doc_id").alias("id"), "text")
+        known = byte_bpe.frequent_words(source, ranks, byte_bpe._rank_maps(ranks), 1 << 30, most)
+        assert 0 < len(known.hashes) <= most
+        check(documents, [(r["doc_id"], r["text"]) for r in documents.collect()], ranks, library)
+    word = documents.first()["text"].split()[1]
+    twin = byte_bpe.Known.of([word + "x"], ["0000"])
+    hashes = byte_bpe.Known.of([word], ["0000"]).hashes
+    points = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+    clash = byte_bpe.Known(hashes, twin.points, twin.point_ends, twin.ids, twin.id_ends)
+    with pytest.raises(ValueError, match="one hash"):
+        clash.places(hashes, points, np.array([0]), np.array([len(word)]))
+
+
 def test_awkward_rows(awkward, nothing, ranks, library):
     rows = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
     check(awkward, rows, ranks, library)

@@ -99,3 +99,15 @@ def test_awkward_rows(awkward, nothing):
     check(found, [texts[r["doc_id"]] for r in found])
     assert len(found) == len(rows)
     assert pii.find_personal_data(nothing).collect() == []
+
+
+def test_long_repeats_end(spark):
+    """Each pattern over a hundred thousand of what it repeats."""
+    n = 100_000
+    texts = [
+        "a[at]b" + "[dot]c" * n, "a@b" + ".c" * n, "a" * n + "@b.c", "1." * n + "1", "1 " * n, "+1" + " (1)" * n, "+1." * n,
+        "a:" * n, "1:" * n + "1", "(555) 555-5555 " * (n // 10), "[at][dot]" * n, "a " * n + "[at] b", "password=" * (n // 10),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    rows = {r["doc_id"]: r for r in pii.digests(pii.find_personal_data(docs)).collect()}
+    assert len(rows) == len(texts) and "email:0:" in rows[0]["spans"] and rows[1]["n_email"] == 1
