@@ -38,7 +38,9 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -70,13 +72,14 @@ def _classes() -> np.ndarray:
     """Class of each code point, as the split pattern tells them apart."""
     import tiktoken
 
-    points = [c for c in range(_END_POINT) if not 0xD800 <= c < 0xE000]
-    every, one_byte = "".join(map(chr, points)), {bytes([b]): b for b in range(256)}
     table = np.full(_END_POINT + 1, _OTHER, np.uint8)
+    one_byte = {bytes([b]): b for b in range(256)}
     for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
         # What matches comes back byte by byte, what does not is left out.
         probe = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=one_byte, special_tokens={})
-        table[[ord(c) for c in bytes(probe.encode_ordinary(every)).decode()]] = kind
+        for first in range(0, _END_POINT, 1 << 14):
+            some = "".join(chr(c) for c in range(first, first + (1 << 14)) if not 0xD800 <= c < 0xE000)
+            table[[ord(c) for c in bytes(probe.encode_ordinary(some)).decode()]] = kind
     table[_END_POINT] = _END
     return table
 
@@ -211,27 +214,31 @@ def merge_fold(word: Column, maps: Column, width: int) -> Column:
 
 @dataclass(frozen=True)
 class Known:
-    """Words whose ids are known: their hashes, rising, and the code points and ids (hex digits)
-    of each."""
+    """Words whose ids are known: their hashes, rising, and the code points and ids of each."""
 
     hashes: np.ndarray
     points: np.ndarray
     point_ends: np.ndarray
-    ids: bytes
+    ids: np.ndarray
     id_ends: np.ndarray
 
     @classmethod
-    def of(cls, words: list[str], ids: list[str]) -> Known:
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        starts = np.concatenate(([0], ends[:-1])) if len(words) else ends
-        hashes = span_hashes(points, starts, ends)
+    def of(cls, words: pa.Array, spelled: pa.Array, width: int) -> Known:
+        """``spelled``: ids as hex digits of this width, between two paddings."""
+        data = b"".join(_data(words))
+        points = np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+        length = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(length)
+        hashes = span_hashes(points, ends - length, ends)
         by = np.argsort(hashes)
-        length = (ends - starts)[by]
-        after = np.cumsum(length)
-        laid = points[np.repeat(starts[by] - (after - length), length) + np.arange(len(points))]
-        spelled = [ids[k] for k in by.tolist()]
-        return cls(hashes[by], laid, after, "".join(spelled).encode(), np.cumsum(np.fromiter(map(len, spelled), np.int64, len(by))))
+        flat = np.frombuffer(bytes.fromhex(b"".join(_data(spelled)).decode()), f">u{width // 2}").astype(np.int32)
+        sizes = pc.binary_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64) // width
+        first = np.cumsum(sizes) - sizes + 1  # after the padding
+        return cls(hashes[by], *_gathered(points, (ends - length)[by], length[by]), *_gathered(flat, first[by], (sizes - 2)[by]))
+
+    @classmethod
+    def none(cls, width: int) -> Known:
+        return cls.of(pa.array([], pa.string()), pa.array([], pa.string()), width)
 
     def places(self, hashes: np.ndarray, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Which known word each of some is, -1 for others; compared in full, not by hash alone."""
@@ -250,22 +257,31 @@ class Known:
         out[hit] = mine
         return out
 
-    def spelled(self, place: int) -> str:
-        return self.ids[self.id_ends[place - 1] if place else 0 : self.id_ends[place]].decode()
+
+def _data(strings: pa.Array) -> list[bytes]:
+    """The bytes of a string array, one after the other."""
+    bounds = np.frombuffer(strings.buffers()[1] or bytes(4), np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    return [memoryview(strings.buffers()[2])[bounds[0] : bounds[-1]]] if len(strings) and strings.buffers()[2] else []
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of ``values`` one after the other, and their ends."""
+    ends = np.cumsum(length)
+    return values[np.repeat(starts - (ends - length), length) + np.arange(length.sum())], ends
 
 
 class _Block:
     """Documents of one block: the distinct words, and each text as positions among them. Those that
-    are known already are kept apart, as ``done``, at positions -1, -2, ..."""
+    are known already are positions -1, -2, ... of the known ones."""
 
     def __init__(self, ranks: dict[bytes, int], width: int, known: Known | None = None, classes: np.ndarray | None = None):
-        self.ranks, self.width, self.known, self.classes = ranks, width, known or Known.of([], []), classes
+        self.ranks, self.width, self.known, self.classes = ranks, width, known or Known.none(width), classes
         self.pad = "f" * width
         self.byte = [f"{ranks[bytes([b])]:0{width}x}" for b in range(256)]
         self.clear()
 
     def clear(self) -> None:
-        self.ids, self.counts, self.index, self.words, self.done, self.chars = [], [], [], [], [], 0
+        self.ids, self.counts, self.index, self.words, self.chars = [], [], [], [], 0
         self.place: dict[int, int] = {}
 
     def _spelled(self, word: str) -> str:
@@ -312,17 +328,14 @@ class _Block:
         if (length[first][inverse] != length).any() or (points[here + shift] != points[here]).any():
             raise ValueError("two words have one hash")  # one chance in 2**64 a pair
         places = np.empty(len(hashes), np.int32)
-        seen, words, done = self.place, self.words, self.done
-        known = self.known.places(hashes, points, start[first], end[first]).tolist()
-        for k, (h, f) in enumerate(zip(hashes.tolist(), first.tolist(), strict=True)):
+        known = self.known.places(hashes, points, start[first], end[first])
+        places[:] = -1 - known
+        seen, words = self.place, self.words
+        new = np.flatnonzero(known < 0)
+        for k, h, f in zip(new.tolist(), hashes[new].tolist(), first[new].tolist(), strict=True):
             if (place := seen.get(h)) is None:
-                if known[k] >= 0:
-                    done.append(self.pad + self.known.spelled(known[k]) + self.pad)
-                    place = -len(done)
-                else:
-                    place = len(words)
-                    words.append(self._spelled(joined[start[f] : end[f]]))
-                seen[h] = place
+                place = seen[h] = len(words)
+                words.append(self._spelled(joined[start[f] : end[f]]))
             places[k] = place
         self.index.append(places[inverse])
         return np.diff(np.searchsorted(start, ends), prepend=0)
@@ -334,7 +347,6 @@ class _Block:
             "counts": pa.array([self.counts], pa.list_(pa.int64())),
             "index": _one_list(index),
             "words": pa.array([self.words], pa.list_(pa.string())),
-            "done": pa.array([self.done], pa.list_(pa.string())),
         }
         self.clear()
         return pa.RecordBatch.from_pydict(values)
@@ -344,19 +356,19 @@ def _one_list(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
-def _laid_out(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+def _laid_out(batch: pa.RecordBatch, width: int, known: Known) -> Iterator[tuple[pa.Array, pa.ListArray]]:
     """Documents of the blocks in a batch, some at a time, and their ids."""
+    known_sizes = np.diff(known.id_ends, prepend=0)
     for k in range(batch.num_rows):
         row = {name: batch.column(name)[k] for name in batch.schema.names}
         words = row["words"].values.to_pylist()
-        begun = len(words)
-        words += row["done"].values.to_pylist()
         sizes = np.fromiter(map(len, words), np.int64, len(words)) // width
         flat = np.frombuffer(bytes.fromhex("".join(words)), f">u{width // 2}").astype(np.int32)
         begin = np.cumsum(sizes) - sizes + 1  # after the padding
-        sizes -= 2
+        begin, sizes = np.append(begin, len(flat) + known.id_ends - known_sizes), np.append(sizes - 2, known_sizes)
+        flat = np.append(flat, known.ids)
         index = row["index"].values.to_numpy(zero_copy_only=False)
-        index = np.where(index < 0, begun - 1 - index, index)
+        index = np.where(index < 0, len(words) - 1 - index, index)
         counts = row["counts"].values.to_numpy(zero_copy_only=False)
         ids = row["ids"].values
         for at, stop, i, j in _some_documents(counts):
@@ -392,7 +404,7 @@ def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sam
     spark, width = source.sparkSession, _width(ranks)
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     if chars < 8 * BLOCK_CHARS:
-        return Known.of([], [])
+        return Known.none(width)
     sent = spark.sparkContext.broadcast((ranks, _classes()))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,22 +440,23 @@ def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sam
             break
     folded = F.get(F.transform(F.array(maps), lambda m: merge_fold(F.col("spelled"), m, width)), F.lit(0))
     table = written(met.where(F.col("n") >= least).select("word", folded.alias("ids")), "frequent-ids").toArrow()  # ``most`` rows
-    return Known.of(table["word"].to_pylist(), [x[width:-width] for x in table["ids"].to_pylist()])
+    return Known.of(*(table[c].combine_chunks().cast(pa.string()) for c in ("word", "ids")), width)
 
 
-def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str) -> tuple[DataFrame, str, int]:
-    """A row per block of documents with its distinct words encoded; the ids' type; an id's width."""
+def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str) -> tuple[DataFrame, str, int, Broadcast]:
+    """A row per block of documents with its distinct words encoded; the ids' type; an id's width;
+    the words known beforehand."""
     spark = docs.sparkSession
     width = _width(ranks)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
     maps = _rank_maps(ranks)
     known = frequent_words(source, ranks, maps, SAMPLE_CHARS, FREQUENT)
-    sent = spark.sparkContext.broadcast((ranks, known, _classes()))  # the vocabulary, and bounded tables
+    sent = spark.sparkContext.broadcast((ranks, _classes()))  # the vocabulary, and a table of code points
+    known = spark.sparkContext.broadcast(known)  # ``FREQUENT`` words
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, frequent, classes = sent.value
-        block, kind = _Block(vocabulary, width, frequent, classes), None
+        block, kind = _Block(sent.value[0], width, known.value, sent.value[1]), None
         for batch in batches:
             kind = batch.schema.field("id").type
             ids, texts = batch.column("id").to_pylist(), batch.column("text")
@@ -455,18 +468,18 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str)
             yield block.row(kind)
 
     folded = F.transform(F.array(maps), lambda m: F.transform("words", lambda w: merge_fold(w, m, width)))
-    fields = f"ids array<{id_type}>, counts array<long>, index array<int>, words array<string>, done array<string>"
+    fields = f"ids array<{id_type}>, counts array<long>, index array<int>, words array<string>"
     taken = source.mapInArrow(blocks, fields)
-    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words"), "done"), id_type, width
+    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words")), id_type, width, known
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and ``ids``, the array of its token ids."""
-    coded, id_type, width = _coded(docs, ranks, id_col, text_col)
+    coded, id_type, width, known = _coded(docs, ranks, id_col, text_col)
 
     def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, lists in _laid_out(batch, width):
+            for ids, lists in _laid_out(batch, width, known.value):
                 yield pa.RecordBatch.from_arrays([ids, lists], ["id", "ids"])
 
     return coded.mapInArrow(laid_out, f"id {id_type}, ids array<int>").select(F.col("id").alias(id_col), "ids")
@@ -490,13 +503,13 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
 def digests(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes and decodes: number of ids per document, and SHA-256 (hex) of the ids as little-endian
     unsigned 32-bit integers and of the decoded bytes."""
-    coded, id_type, width = _coded(docs, ranks, id_col, text_col)
+    coded, id_type, width, known = _coded(docs, ranks, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, sha = sent.value, hashlib.sha256
         for batch in batches:
-            for ids, lists in _laid_out(batch, width):
+            for ids, lists in _laid_out(batch, width, known.value):
                 cut, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
                 parts = [flat[a:b] for a, b in zip(cut, cut[1:], strict=False)]
                 columns = [

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,8 +57,9 @@ def test_frequent_words_change_nothing(spark, monkeypatch, documents, ranks, lib
         assert 0 < len(known.hashes) <= most
         check(documents, [(r["doc_id"], r["text"]) for r in documents.collect()], ranks, library)
     word = documents.first()["text"].split()[1]
-    twin = byte_bpe.Known.of([word + "x"], ["0000"])
-    hashes = byte_bpe.Known.of([word], ["0000"]).hashes
+    spelled = pa.array(["ffff0000ffff"])
+    twin = byte_bpe.Known.of(pa.array([word + "x"]), spelled, 4)
+    hashes = byte_bpe.Known.of(pa.array([word]), spelled, 4).hashes
     points = np.frombuffer(word.encode("utf-32-le"), np.uint32)
     clash = byte_bpe.Known(hashes, twin.points, twin.point_ends, twin.ids, twin.id_ends)
     with pytest.raises(ValueError, match="one hash"):
