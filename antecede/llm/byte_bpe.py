@@ -54,6 +54,7 @@ LONG_WORD = 64
 BUCKETS = 1 << 17  # a power of two
 SAMPLE_CHARS = 200_000_000
 FREQUENT = 600_000
+_AT_ONCE = 1 << 15
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
 _END_POINT = 0x110000
 #: The contractions the split pattern names.
@@ -229,7 +230,11 @@ class Known:
         points = np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
         length = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(length)
-        hashes = span_hashes(points, ends - length, ends)
+        hashes = np.zeros(len(length), np.uint64)
+        for a in range(0, len(length), _AT_ONCE):
+            some = slice(a, a + _AT_ONCE)
+            base = ends[a] - length[a]
+            hashes[some] = span_hashes(points[base : ends[some][-1]], (ends - length)[some] - base, ends[some] - base)
         by = np.argsort(hashes)
         flat = np.frombuffer(bytes.fromhex(b"".join(_data(spelled)).decode()), f">u{width // 2}").astype(np.int32)
         sizes = pc.binary_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64) // width
@@ -266,8 +271,12 @@ def _data(strings: pa.Array) -> list[bytes]:
 
 def _gathered(values: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges of ``values`` one after the other, and their ends."""
-    ends = np.cumsum(length)
-    return values[np.repeat(starts - (ends - length), length) + np.arange(length.sum())], ends
+    out = [values[:0]]
+    for a in range(0, len(length), _AT_ONCE):
+        begin, n = starts[a : a + _AT_ONCE], length[a : a + _AT_ONCE]
+        ends = np.cumsum(n)
+        out.append(values[np.repeat(begin - (ends - n), n) + np.arange(n.sum())])
+    return np.concatenate(out), np.cumsum(length)
 
 
 class _Block:
