@@ -15,8 +15,9 @@ probability of being a secret; those below the threshold are dropped as false po
 Labelled findings can be handed in. Where there are none they are made from the candidates by rule:
 a finding is true if a provider's published token form or an assignment to a name such as
 ``password`` carries a value that looks random, and false if it is an ordinary word, a placeholder,
-a version, a path, a hash named as such or a plain number. The forest sees neither the rule's
-prefix nor the name as such. At most ``MAX_TRAINING`` findings of each label are used, those of
+a version, a path, a hash named as such or a plain number. The forest sees not which form
+or name it is, but whether a secret-like or a hash-like name precedes (``named``, ``hash_named``, which
+the rule uses too). At most ``MAX_TRAINING`` findings of each label are used, those of
 least hash.
 
 The dictionary is the ``DICTIONARY`` most frequent short letter runs of the corpus (counted over all
@@ -153,20 +154,23 @@ def _share(x: Column, pattern: str, n: Column) -> Column:
 
 
 def _entropy(x: Column) -> Column:
-    chars = F.split(x, "")
     n = F.length(x).cast("double")
-    each = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda d: d == c)) / n)
+    each = F.transform(F.array_distinct(F.split(x, "")), lambda c: (n - F.length(F.replace(x, c, F.lit("")))) / n)
     return F.aggregate(each, F.lit(0.0), lambda s, p: s - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
 
 
+def _pairs(x: Column) -> Column:
+    """The number of different pairs of neighbouring characters, 1 at least."""
+    chars, last = F.split(x, ""), F.greatest(F.length(x) - 1, F.lit(0))
+    both = F.zip_with(F.slice(chars, F.lit(1), last), F.slice(chars, F.lit(2), last), lambda a, b: F.concat(a, b))
+    return F.greatest(F.size(F.array_distinct(both)), F.lit(1))
+
+
 def measured(found: DataFrame, words: list[str]) -> DataFrame:
-    """``found`` with the columns ``MEASURES``. Long candidates are measured whole, but for entropy
-    and pairs, which see their first and last 200 characters."""
+    """``found`` with the columns ``MEASURES``, each of the whole candidate."""
     match, before = F.col("match"), F.col("before")
     n = F.length(match).cast("double")
-    ends = F.when(n > 400, F.concat(F.left(match, F.lit(200)), F.right(match, F.lit(200)))).otherwise(match)
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(match, "[A-Z]+", "U"), "[a-z]+", "l"), "[0-9]+", "d")
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(ends) - 1, F.lit(1))), lambda i: F.substr(ends, i, F.lit(2))))
     known = "|".join(sorted(words, key=lambda w: (-len(w), w))) or "(?!)"
     return found.select(
         "*",
@@ -176,8 +180,8 @@ def measured(found: DataFrame, words: list[str]) -> DataFrame:
         _share(match, "[^0-9]", n).alias("digit"),
         _share(match, "[A-Za-z0-9]", n).alias("other"),
         (F.length(kinds) / n).alias("turns"),
-        _entropy(ends).alias("entropy"),
-        (F.size(pairs) / F.length(ends)).alias("pairs"),
+        _entropy(match).alias("entropy"),
+        (_pairs(match) / n).alias("pairs"),
         (F.lit(1.0) - F.length(F.regexp_replace(F.lower(match), known, "")) / n).alias("covered"),
         match.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double").alias("hexed"),
         (match.rlike("/[a-z]+/|^[a-z]+/") | before.rlike(r"(?i)(https?:|www\.|\\|/)$")).cast("double").alias("path"),

@@ -1,6 +1,10 @@
+import math
 import random
 import re
 import string
+from collections import Counter
+
+import pytest
 
 from antecede.llm import registry, secret_forest
 
@@ -58,3 +62,14 @@ def test_values_of_any_kind_are_candidates(spark):
     assert {k: [x for x in v if x not in texts[k][1]] for k, v in found.items() if k != 4} == {k: [] for k in texts if k != 4}
     measured = secret_forest.measured(secret_forest.candidates(docs), ["plain"]).collect()
     assert all(r[m] is not None for r in measured for m in secret_forest.MEASURES)
+
+
+def test_long_candidates_are_measured_whole(spark):
+    rng = random.Random(5)
+    values = ["q", "aa", "a" * 300 + "".join(rng.choices("ABCdef0123456789+/", k=900)) + "b" * 300]
+    found = spark.createDataFrame([(v, "", "") for v in values], "match string, before string, after string")
+    got = {r["match"]: (r["entropy"], r["pairs"]) for r in secret_forest.measured(found, ["word"]).collect()}
+    for v in values:
+        shares = [n / len(v) for n in Counter(v).values()]
+        assert got[v][0] == pytest.approx(-sum(p * math.log2(p) for p in shares))
+        assert got[v][1] == pytest.approx(max(1, len({v[i : i + 2] for i in range(len(v) - 1)})) / len(v))
