@@ -33,7 +33,7 @@ MAX_TRAINING = 4000
 MAX_TRAINING_LINES = 2000
 STEPS = 150
 THRESHOLD = 0.3
-_DOCS = 256
+_DOCS, _CHARS = 256, 1 << 20
 
 _SHARES = np.array([0.0, 0.005, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9], np.float32)
 _SIZES = np.array([0, 1, 3, 8, 20, 50, 100, 200, 400, 1000], np.float32)
@@ -239,6 +239,20 @@ def fit(measures: np.ndarray, lines: np.ndarray, labels: np.ndarray, steps: int
     return model
 
 
+def _lots(texts: list[str | None]) -> Iterator[slice]:
+    """Neighbouring texts that are measured together: at most ``_DOCS``, and no more than ``_CHARS``
+    characters but for a longer one alone."""
+    begin, chars = 0, 0
+    for k, text in enumerate(texts):
+        size = len(text or "")
+        if k > begin and (k - begin == _DOCS or chars + size > _CHARS):
+            yield slice(begin, k)
+            begin, chars = k, 0
+        chars += size
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
     """Mean probability of good over a text's lines, weighted by their length."""
     measures, size, lines = line_measures(texts)
@@ -269,8 +283,8 @@ def train(
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for k in range(0, len(batch), _DOCS):
-                part = batch.iloc[k : k + _DOCS]
+            for lot in _lots(batch["text"].tolist()):
+                part = batch.iloc[lot]
                 rows, _, lines = line_measures(part["text"].tolist())
                 cut = np.concatenate(([0], np.cumsum(lines)))
                 yield pd.DataFrame(
@@ -299,7 +313,7 @@ def quality_score(text: Column, model: Model) -> Column:
     @pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         held = texts.tolist()
-        parts = [score_texts(model, held[k : k + _DOCS]) for k in range(0, len(held), _DOCS)]
+        parts = [score_texts(model, held[lot]) for lot in _lots(held)]
         return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return scored(text)

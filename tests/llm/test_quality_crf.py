@@ -63,3 +63,13 @@ def test_awkward_rows(spark, awkward, nothing):
     assert {r["__held_out"] for r in rows if r["doc_id"] is None} == {False}
     assert all(r["__score"] == 0.5 for r in quality_crf.classify(awkward, labels.limit(0)).collect())
     assert quality_crf.classify(nothing, labels).collect() == []
+
+
+def test_lots_are_bounded_by_characters(monkeypatch):
+    monkeypatch.setattr(quality_crf, "_CHARS", 100)
+    monkeypatch.setattr(quality_crf, "_DOCS", 3)
+    texts = ["a" * 60, "b" * 60, None, "", "c", "d" * 500, "e"]
+    lots = [texts[lot] for lot in quality_crf._lots(texts)]
+    assert [x for lot in lots for x in lot] == texts
+    assert all(len(lot) <= 3 and (len(lot) == 1 or sum(len(x or "") for x in lot) <= 100) for lot in lots)
+    assert list(quality_crf._lots([])) == []
