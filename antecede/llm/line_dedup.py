@@ -32,6 +32,7 @@ from antecede.llm.cuckoo import CuckooFilter, Full
 from antecede.session import scratch_path
 
 SHARDS = 64
+SHARD_KEYS = 4_000_000
 FILTER_BYTES = 64 << 20
 _NO_KEY = b""
 
@@ -219,14 +220,16 @@ def drop_lines(
     min_chars: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shards: int = SHARDS,
+    shards: int | None = None,
 ) -> DataFrame:
     """``docs`` with the lines gone whose key at least ``min_docs`` documents have, and columns
-    ``__lines`` and ``__dropped`` (numbers of lines before, and dropped). The other columns stay."""
+    ``__lines`` and ``__dropped`` (numbers of lines before, and dropped). The other columns stay.
+    Without ``shards`` there are so many that none has more than about ``SHARD_KEYS`` keys."""
     spark = docs.sparkSession
     pairs_at = scratch_path(spark, "line-keys")
     document_keys(docs, id_col, text_col, min_chars).write.parquet(pairs_at)
     pairs = spark.read.parquet(pairs_at)
+    shards = shards or max(SHARDS, -(-pairs.count() // SHARD_KEYS))  # from the footers
     store = LineStore(spark, shards=shards, min_chars=min_chars)
     store.add_keys(pairs)
     frequent_at = scratch_path(spark, "frequent-lines")
