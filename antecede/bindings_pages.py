@@ -136,7 +136,8 @@ def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = "p_name || ' & ' || p_type || ' <' || p_brand"
     for plain, reference in (("&", "&amp;"), ("<", "&lt;"), ("o", "&#x6F;"), ("i", "&#105;")):
         html = f"replace({html}, '{plain}', '{reference}')"
-    parts = bindings.table(spark, sf_dir, "part")
+    # The file is far smaller than the pages rendered from it: its rows are spread before that.
+    parts = bindings.table(spark, sf_dir, "part").repartition("p_partkey", "p_name")
     return parts.selectExpr(
         "'part/' || p_partkey AS url", f"'<p>' || {html} || ' &eacute;&hearts;&NewLine;&unknown; &#146;</p>' AS html"
     )

@@ -8,7 +8,10 @@ and a class as one among several. Comments, scripts and styles are taken out fir
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import lru_cache
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +21,8 @@ _REFERENCE = r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);"
 _UNSEEN = r"(?s)<(?:!--.*?-->|(?i:(script|style))\b.*?</(?i:\1)\s*>)"
 _MAY_HIDE = r"<(?:!--|(?i:script|style))"
 _MARK = "\x01"
+_BREAK = "\x02"
+_SHELVES = 1024
 
 ANY_TAG = r"<[^>]*>"
 
@@ -27,13 +32,23 @@ def clean(html: Column) -> Column:
     return F.when(html.rlike(_MAY_HIDE), F.regexp_replace(html, _UNSEEN, "")).otherwise(html)
 
 
+@lru_cache(1)
+def _names() -> str:
+    """All names with their characters, put on shelves by a hash of the name."""
+    shelves = [_MARK] * _SHELVES
+    for known, value in html5.items():
+        if known.endswith(";"):
+            shelves[crc32(known[:-1].encode()) % _SHELVES] += f"{known}{value}{_MARK}"
+    return _BREAK.join(shelves)
+
+
 def _named(name: Column) -> Column:
-    """The character of a name; NULL for unknown ones. All names are one literal that is
-    searched, which keeps the plan small."""
-    names = [f"{known}{value}" for known, value in html5.items() if known.endswith(";")]
-    table = F.lit(_MARK + _MARK.join(names) + _MARK)
-    at = F.position(F.concat(F.lit(_MARK), name, F.lit(";")), table)
-    found = F.when(at > 0, F.substring_index(F.substr(table, at + F.length(name) + 2, F.lit(8)), _MARK, 1))
+    """The character of a name; NULL for unknown ones. All names are one literal, which keeps the plan
+    small; it is cut into shelves once, and a name is searched for on its own shelf alone."""
+    shelf = F.get(F.split(F.lit(_names()), _BREAK), F.crc32(F.encode(name, "UTF-8")) % _SHELVES)
+    spelled = F.concat(F.lit(_MARK), name, F.lit(";"))
+    after = F.call_function("substring_index", shelf, spelled, F.lit(-1))
+    found = F.when(F.contains(shelf, spelled), F.substring_index(after, _MARK, 1))
     return F.when(name == "amp", "&").when(name == "lt", "<").when(name == "gt", ">").otherwise(found)
 
 
@@ -43,15 +58,25 @@ def _numbered(point: Column) -> Column:
     western = F.lit(bytes(range(128, 160)).decode("cp1252", "replace"))
     wrong = (point == 0) | point.between(0xD800, 0xDFFF) | (point > 0x10FFFF)
     plain = F.decode(F.unhex(F.lpad(F.hex(F.when(wrong, 0xFFFD).otherwise(point)), 8, "0")), "UTF-32")
-    return F.when(point.between(128, 159), F.substr(western, (point - 127).cast("int"), F.lit(1))).otherwise(plain)
+    western = F.when(point.between(128, 159), F.substr(western, (point - 127).cast("int"), F.lit(1)))
+    return F.when(point.between(1, 127), F.chr(point)).otherwise(F.coalesce(western, plain))
 
 
 def _referred(reference: Column) -> Column:
     name = F.substr(reference, F.lit(2), F.length(reference) - 2)
-    hexed = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
-    number = F.when(F.lower(F.left(name, F.lit(2))) == "#x", hexed).otherwise(F.try_to_number(F.substr(name, F.lit(2)), F.lit("99999999")).cast("bigint"))
-    character = F.when(F.startswith(name, F.lit("#")), _numbered(number)).otherwise(_named(name))
-    return F.coalesce(character, reference)
+
+    def character(name: Column) -> Column:
+        hexed = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
+        decimal = F.substr(name, F.lit(2)).try_cast("bigint")
+        number = F.when(F.lower(F.left(name, F.lit(2))) == "#x", hexed).otherwise(decimal)
+        return F.when(F.startswith(name, F.lit("#")), _each(number, _numbered)).otherwise(_named(name))
+
+    return F.coalesce(_each(name, character), reference)
+
+
+def _each(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def unescape(c: Column) -> Column:

@@ -1,10 +1,12 @@
 """Records from pages in the site's markup, regular and not."""
 
 import re
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
 
+from antecede.bindings_pages import reference_pages
 from antecede.functions import markup
 from antecede.plans.bronze import bronze_bouts, bronze_events, bronze_fighters
 from antecede.sources import pages as p
@@ -197,6 +199,25 @@ def test_character_references(spark, text, want):
     assert row.t == want
 
 
+def test_every_named_reference_is_found_on_its_own_small_shelf(spark):
+    names = [n for n in html5 if n.endswith(";") and len(n) > 1]
+    df = spark.createDataFrame([(n, f"&{n}") for n in names], "name string, t string")
+    found = {r.name: r.t for r in df.select("name", markup.unescape(F.col("t")).alias("t")).collect()}
+    assert found == {n: html5[n] for n in names}
+    # A name costs a search of its shelf, not of all names.
+    assert max(map(len, markup._names().split("\x02"))) < 200
+
+
+def test_reference_pages_are_spread_before_they_are_rendered(spark, tmp_path):
+    rows = [(i, f"olive tin {i}", "small", "brand") for i in range(2000)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_type string, p_brand string").coalesce(1).write.parquet(
+        str(tmp_path / "part.parquet")
+    )
+    df = reference_pages(spark, str(tmp_path))
+    assert "RepartitionByExpression" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.count() == 2000
+
+
 def test_interstitials(spark):
     waiting = f"<html><p>{p.CHALLENGE_MARKER} first</p></html>"
     real, others = p.drop_interstitials(pages(spark, BLANK, waiting))
