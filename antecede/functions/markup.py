@@ -69,22 +69,26 @@ def _referred(reference: Column) -> Column:
         hexed = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
         decimal = F.substr(name, F.lit(2)).try_cast("bigint")
         number = F.when(F.lower(F.left(name, F.lit(2))) == "#x", hexed).otherwise(decimal)
-        return F.when(F.startswith(name, F.lit("#")), _each(number, _numbered)).otherwise(_named(name))
+        return F.when(F.startswith(name, F.lit("#")), each(number, _numbered)).otherwise(_named(name))
 
-    return F.coalesce(_each(name, character), reference)
+    return F.coalesce(each(name, character), reference)
 
 
-def _each(value: Column, f: Callable[[Column], Column]) -> Column:
+def each(value: Column, f: Callable[[Column], Column]) -> Column:
     """``f`` of a value that is computed once, however often ``f`` uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def unescape(c: Column) -> Column:
     """Character references -> characters, all of them in one pass; unknown ones stay."""
-    found = F.regexp_extract_all(c, F.lit(_REFERENCE), 0)
-    between = F.split(c, _REFERENCE, -1)
-    both = F.zip_with(between, found, lambda gap, ref: F.concat(gap, F.when(ref.isNull(), "").otherwise(_referred(ref))))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(both, "")).otherwise(c)
+
+    def read(c: Column) -> Column:
+        found = F.regexp_extract_all(c, F.lit(_REFERENCE), 0)
+        between = F.split(c, _REFERENCE, -1)
+        both = F.zip_with(between, found, lambda gap, ref: F.concat(gap, F.when(ref.isNull(), "").otherwise(_referred(ref))))
+        return F.when(F.contains(c, F.lit("&")), F.array_join(both, "")).otherwise(c)
+
+    return each(c, read)
 
 
 def _value(wanted: str, token: bool) -> str:
@@ -93,7 +97,7 @@ def _value(wanted: str, token: bool) -> str:
     if not token:
         return rf"""(?:"{exact}"|'{exact}')"""
     return (
-        rf"""(?:"(?:[^"]*\s)?{exact}(?:\s[^"]*)?"|'(?:[^']*\s)?{exact}(?:\s[^']*)?'|{exact}(?=[\s>]))"""
+        rf"""(?:"(?:[^"]*?\s)??{exact}(?:\s[^"]*)?"|'(?:[^']*?\s)??{exact}(?:\s[^']*)?'|{exact}(?=[\s>]))"""
     )
 
 
@@ -101,15 +105,20 @@ def opening(tag: str, **attributes: str) -> str:
     """A pattern for an opening tag with these attributes (``class_`` for ``class``).
     A single class may be one among several; two together must be the whole value."""
     ahead = "".join(
-        rf"(?=[^>]*\s{name.rstrip('_')}\s*=\s*{_value(value, name == 'class_' and ' ' not in value)})"
+        rf"(?=[^>]*?\s{name.rstrip('_')}\s*=\s*{_value(value, name == 'class_' and ' ' not in value)})"
         for name, value in attributes.items()
     )
-    return rf"(?i:<{tag}\b{ahead}[^>]*>)"
+    return rf"<(?i:{tag}\b{ahead}[^>]*>)"
+
+
+def _until_closed(tag: str) -> str:
+    """A pattern for all up to the next closing tag, read from tag to tag and never tried again."""
+    return rf"(?:[^<]++|<(?!/(?i:{tag})\s*>))*+"
 
 
 def inside(tag: str, **attributes: str) -> str:
     """A pattern capturing what is between such a tag and the next closing one."""
-    return rf"(?s){opening(tag, **attributes)}(.*?)(?i:</{tag}\s*>)"
+    return rf"{opening(tag, **attributes)}({_until_closed(tag)})</(?i:{tag})\s*>"
 
 
 def table() -> str:
@@ -120,7 +129,7 @@ def table() -> str:
 
 def whole(tag: str, **attributes: str) -> str:
     """As :func:`inside`, capturing the tags too."""
-    return rf"(?s)({opening(tag, **attributes)}.*?(?i:</{tag}\s*>))"
+    return rf"({opening(tag, **attributes)}{_until_closed(tag)}</(?i:{tag})\s*>)"
 
 
 def all_of(c: Column, pattern: str) -> Column:

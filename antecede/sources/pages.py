@@ -198,15 +198,21 @@ def parse_card(pages: DataFrame) -> DataFrame:
         return F.transform(texts, m.text)
 
     def winner(row: Column) -> Column:
-        result = F.get(flag(row), F.lit(0))
-        name = m.text(F.get(black(row), F.lit(0)))
-        return F.struct(F.when(result == "win", name).otherwise(result).alias("winner"), result.alias("result"))
+        name = m.text(F.get(row["black"], F.lit(0)))
+
+        def outcome(result: Column) -> Column:
+            return F.struct(F.when(result == "win", name).otherwise(result).alias("winner"), result.alias("result"))
+
+        return m.each(F.get(flag(row["row"]), F.lit(0)), outcome)
 
     def weight(row: Column) -> Column:
-        left = m.all_of(row, m.inside("td", class_=LEFT_CELL))
-        return F.when(F.size(left) > 1, m.text(m.first_of(F.get(left, F.lit(1)), m.inside("p", class_=CELL_TEXT))))
+        def second(left: Column) -> Column:
+            return F.when(F.size(left) > 1, m.text(m.first_of(F.get(left, F.lit(1)), m.inside("p", class_=CELL_TEXT))))
+
+        return m.each(m.all_of(row, m.inside("td", class_=LEFT_CELL)), second)
 
-    with_winner = F.filter("rows", lambda r: (F.size(black(r)) > 0) & ~r.rlike(r"(?i)<th\b"))
+    with_black = F.transform("rows", lambda r: F.struct(r.alias("row"), black(r).alias("black")))
+    with_winner = F.filter(with_black, lambda r: (F.size(r["black"]) > 0) & ~r["row"].rlike(r"<(?i:th)\b"))
     lists = _once(
         found,
         "url",

@@ -218,6 +218,27 @@ def test_reference_pages_are_spread_before_they_are_rendered(spark, tmp_path):
     assert df.count() == 2000
 
 
+def test_a_card_row_is_searched_once_for_its_flag(spark):
+    parsed = p.parse_card(pages(spark, "<table></table>"))
+    pattern = markup.inside("i", class_=p.FLAG_TEXT)
+    assert parsed._jdf.queryExecution().analyzed().toString().count("flag__text") == pattern.count("flag__text")
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<P class="x cell y">a<b>c</b>\n</p ><p class="cells">no</p>', ["a<b>c</b>\n"]),
+        ("<p id=1 class='cell'>a</pre>b</P><p class=cell>c</p>", ["a</pre>b", "c"]),
+        ('<p class="cell">a<p class="cell">b</p>', ['a<p class="cell">b']),
+        ('<p class="cell">never closed <', []),
+        ('<p class="CELL">a</p><p title="cell">b</p><p class="">c</p>', []),
+    ],
+)
+def test_inside(spark, html, want):
+    row = pages(spark, html).select(markup.all_of(F.col("html"), markup.inside("p", class_="cell")).alias("a")).first()
+    assert row.a == want
+
+
 def test_interstitials(spark):
     waiting = f"<html><p>{p.CHALLENGE_MARKER} first</p></html>"
     real, others = p.drop_interstitials(pages(spark, BLANK, waiting))
