@@ -4,9 +4,10 @@ Texts are cut into matches of the split pattern, and each task takes the distinc
 of a block of documents. A fold of Spark's higher-order functions encodes every distinct word
 once: its state is the array of token ids, at first one for each byte, and the ranks of all
 neighbouring pairs; a step merges the leftmost pair of least rank and looks up the two pairs
-that the merge makes. (The ids are kept as hex digits of one width in a string, whose parts Spark
-takes and joins much faster than those of arrays.) Ranks come from a literal map from pairs of ids, cut by a hash into many
-small maps, so that a look-up does not scan the vocabulary. The ids of the words are then laid out
+that the merge makes. (The ids are kept as bytes of one width in a binary value, whose parts Spark
+takes and joins much faster than those of arrays.) Ranks come from one binary literal, a hash table in
+which a pair of ids has two possible seats, so that a look-up does not scan the vocabulary and a task
+is sent one array of bytes rather than a map for each bucket. The ids of the words are then laid out
 again in the order of the texts. No text is shuffled.
 
 Words that are frequent in a sample of the texts (at most ``FREQUENT`` of them, from a quarter of the
@@ -30,7 +31,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -51,7 +51,6 @@ from antecede.session import written
 BLOCK_CHARS = 4 << 20
 PIECE_CHARS = 1 << 19
 LONG_WORD = 64
-BUCKETS = 1 << 17  # a power of two
 SAMPLE_CHARS = 200_000_000
 FREQUENT = 600_000
 _AT_ONCE = 1 << 15
@@ -159,45 +158,88 @@ def _width(ranks: dict[bytes, int]) -> int:
     return 4 if max(ranks.values()) < (1 << 16) - 1 else 8
 
 
-def _pair_ranks(ranks: dict[bytes, int]) -> list[dict[str, str]]:
-    """Small maps from a pair of ids to the id of both together, by the pair's hash."""
-    maps: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
-    width = _width(ranks)
+def _pair_ranks(ranks: dict[bytes, int]) -> dict[bytes, bytes]:
+    """The id that two ids make together, by the pair."""
+    size = _width(ranks) // 2
+    pairs = {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
             if a is not None and b is not None:
-                pair = f"{a:0{width}x}{b:0{width}x}"
-                place = xxhash.xxh64_intdigest(pair, 42)
-                maps[place % BUCKETS][pair] = f"{rank:0{width}x}"
-    return maps
+                pairs[a.to_bytes(size) + b.to_bytes(size)] = rank.to_bytes(size)
+    return pairs
+
+
+def _pair_table(pairs: dict[bytes, bytes], size: int) -> bytes:
+    """A hash table of a power of two of seats: a pair, its id and as many bytes again. A pair sits where
+    its hash says or where the upper half of its hash says; empty seats hold paddings."""
+    hashes = {pair: xxhash.xxh64_intdigest(pair, 42) for pair in pairs}
+    entry, seats = 4 * size, 1 << (2 * len(pairs)).bit_length()
+    while (seated := _seated(hashes, entry, seats)) is None:
+        seats *= 2
+    table = bytearray(b"\xff" * (entry * seats))
+    for at, pair in seated.items():
+        table[at : at + 3 * size] = pair + pairs[pair]
+    return bytes(table)
+
+
+def _seated(hashes: dict[bytes, int], entry: int, seats: int) -> dict[int, bytes] | None:
+    """Which pair sits at which byte; none if there is no room for one."""
+    mask, taken = entry * (seats - 1), {}
+    for pair in hashes:
+        at = hashes[pair] & mask
+        for _ in range(500):
+            pair, taken[at] = taken.get(at), pair
+            if pair is None:
+                break
+            one, two = hashes[pair] & mask, hashes[pair] >> 32 & mask
+            at = two if at == one else one
+        else:
+            return None
+    return taken
 
 
-def merge_fold(word: Column, maps: Column, width: int) -> Column:
-    """The ids of a word. ``word`` is its bytes' ids, each as ``width`` hex digits, between two
-    paddings of ``f``; so is the result. ``maps`` is the literal of ``_pair_ranks``."""
+def merge_fold(word: Column, table: Column, size: int) -> Column:
+    """The ids of a word. ``word`` is its bytes' ids, each as ``size`` bytes, between two paddings
+    of ``ff``; so is the result. ``table`` is the literal of ``_pair_table``."""
+    entry = 4 * size
+
+    def part(of: Column, at: Column, length: int) -> Column:
+        return F.substr(of, at, F.lit(length))
 
     def rank(pair: Column) -> Column:  # null: no such token
-        return F.element_at(F.get(maps, F.xxhash64(pair).bitwiseAND(F.lit(BUCKETS - 1))), pair)
+        def seat(place: Column) -> Column:
+            return part(table, place.bitwiseAND(F.length(table) - entry).cast("int") + 1, entry)
+
+        key = F.xxhash64(pair)
+        one, two = seat(key), seat(F.shiftrightunsigned(key, 32))
+        value = F.lit(2 * size + 1)
+        return F.when(part(one, F.lit(1), 2 * size) == pair, part(one, value, size)).when(
+            part(two, F.lit(1), 2 * size) == pair, part(two, value, size)
+        )
 
     def state(ids: Column, ranks: Column) -> Column:
         return F.struct(ids.alias("ids"), ranks.alias("ranks"))
 
+    def bound(value: Column, use) -> Column:  # computed once, however often it is used
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
     def step(now: Column, _: Column) -> Column:
-        def merge(found: Column) -> Column:
+        ids, ranks = now["ids"], now["ranks"]
+
+        def merge(least: Column, at: Column) -> Column:
             # ranks[at] is of the pair of the ids at - 1 and at, counting from 0 with the padding.
-            ids, ranks, least, at = now["ids"], now["ranks"], found["least"], found["at"]
-            before, after = F.substr(ids, F.lit(1), (at - 1) * width), F.substr(ids, (at + 1) * width + 1)
-            around = F.array(
-                rank(F.concat(F.substr(before, F.lit(-width)), least)),
-                rank(F.concat(least, F.substr(after, F.lit(1), F.lit(width)))),
-            )
+            left, right = part(ids, (at - 2) * size + 1, size), part(ids, (at + 1) * size + 1, size)
+            around = F.transform(F.array(F.concat(left, least), F.concat(least, right)), rank)
+            before, after = F.substr(ids, F.lit(1), (at - 1) * size), F.substr(ids, (at + 1) * size + 1, F.length(ids))
             new_ranks = F.concat(F.slice(ranks, F.lit(1), at - 2), around, F.slice(ranks, at + 2, F.size(ranks)))
             return state(F.concat(before, least, after), new_ranks)
 
-        least = F.array_min(now["ranks"])
-        found = F.struct(least.alias("least"), F.array_position(now["ranks"], least).cast("int").alias("at"))
-        return F.when(least.isNull(), now).otherwise(F.get(F.transform(F.array(found), merge), F.lit(0)))
+        def merged(least: Column) -> Column:
+            place = F.array_position(ranks, least).cast("int")
+            return F.when(least.isNull(), now).otherwise(bound(place, lambda at: merge(least, at)))
+
+        return bound(F.array_min(ranks), merged)
 
     def fold(first: Column) -> Column:
         steps = F.when(
@@ -205,17 +247,15 @@ def merge_fold(word: Column, maps: Column, width: int) -> Column:
         ).otherwise(F.array().cast("array<int>"))
         return F.aggregate(steps, first, step, lambda done: done["ids"])
 
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length(word) - width, F.lit(width)), lambda i: rank(F.substr(word, i, F.lit(2 * width)))
-    )
-    return F.when(F.length(word) < 4 * width, word).otherwise(
-        F.get(F.transform(F.array(state(word, pairs)), fold), F.lit(0))
-    )
+    starts = F.sequence(F.lit(1), F.length(word) - size, F.lit(size))
+    pairs = F.transform(F.transform(starts, lambda at: part(word, at, 2 * size)), rank)
+    return F.when(F.length(word) < 4 * size, word).otherwise(bound(state(word, pairs), fold))
 
 
 @dataclass(frozen=True)
 class Known:
-    """Words whose ids are known: their hashes, rising, and the code points and ids of each."""
+    """Words whose ids are known: their hashes, rising, and the code points and ids of each. Every worker
+    holds a copy, so numbers are kept in as few bytes as they need."""
 
     hashes: np.ndarray
     points: np.ndarray
@@ -239,12 +279,17 @@ class Known:
         flat = np.frombuffer(bytes.fromhex(b"".join(_data(spelled)).decode()), f">u{width // 2}").astype(np.int32)
         sizes = pc.binary_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64) // width
         first = np.cumsum(sizes) - sizes + 1  # after the padding
-        return cls(hashes[by], *_gathered(points, (ends - length)[by], length[by]), *_gathered(flat, first[by], (sizes - 2)[by]))
+        texts, spellings = _gathered(points, (ends - length)[by], length[by]), _gathered(flat, first[by], (sizes - 2)[by])
+        return cls(hashes[by], *map(_narrow, texts + spellings))
 
     @classmethod
     def none(cls, width: int) -> Known:
         return cls.of(pa.array([], pa.string()), pa.array([], pa.string()), width)
 
+    def spelling(self) -> Known:
+        """The ids alone, for those who look up no word."""
+        return Known(self.hashes[:0], self.points[:0], self.point_ends[:0], self.ids, self.id_ends)
+
     def places(self, hashes: np.ndarray, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Which known word each of some is, -1 for others; compared in full, not by hash alone."""
         if not len(self.hashes):
@@ -269,6 +314,12 @@ def _data(strings: pa.Array) -> list[bytes]:
     return [memoryview(strings.buffers()[2])[bounds[0] : bounds[-1]]] if len(strings) and strings.buffers()[2] else []
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers, none of them negative, in two or four bytes each if that is enough."""
+    most = int(values.max(initial=0))
+    return values.astype(np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
+
+
 def _gathered(values: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges of ``values`` one after the other, and their ends."""
     out = [values[:0]]
@@ -355,27 +406,36 @@ class _Block:
             "ids": pa.array([self.ids], pa.list_(kind)),
             "counts": pa.array([self.counts], pa.list_(pa.int64())),
             "index": _one_list(index),
-            "words": pa.array([self.words], pa.list_(pa.string())),
+            "words": pa.ListArray.from_arrays(pa.array([0, len(self.words)], pa.int32()), _bytes_of(self.words)),
         }
         self.clear()
         return pa.RecordBatch.from_pydict(values)
 
 
+def _bytes_of(words: list[str]) -> pa.Array:
+    """Hex digits as binary values."""
+    ends = np.cumsum([0] + [len(w) // 2 for w in words], dtype=np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(bytes.fromhex("".join(words)))]
+    )
+
+
 def _one_list(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
 def _laid_out(batch: pa.RecordBatch, width: int, known: Known) -> Iterator[tuple[pa.Array, pa.ListArray]]:
     """Documents of the blocks in a batch, some at a time, and their ids."""
-    known_sizes = np.diff(known.id_ends, prepend=0)
+    known_ends = known.id_ends.astype(np.int64)
+    known_sizes = np.diff(known_ends, prepend=0)
     for k in range(batch.num_rows):
         row = {name: batch.column(name)[k] for name in batch.schema.names}
-        words = row["words"].values.to_pylist()
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) // width
-        flat = np.frombuffer(bytes.fromhex("".join(words)), f">u{width // 2}").astype(np.int32)
+        words = row["words"].values
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) // (width // 2)
+        flat = np.frombuffer(b"".join(_data(words)), f">u{width // 2}").astype(np.int32)
         begin = np.cumsum(sizes) - sizes + 1  # after the padding
-        begin, sizes = np.append(begin, len(flat) + known.id_ends - known_sizes), np.append(sizes - 2, known_sizes)
-        flat = np.append(flat, known.ids)
+        begin, sizes = np.append(begin, len(flat) + known_ends - known_sizes), np.append(sizes - 2, known_sizes)
+        flat = np.append(flat, known.ids.astype(np.int32))
         index = row["index"].values.to_numpy(zero_copy_only=False)
         index = np.where(index < 0, len(words) - 1 - index, index)
         counts = row["counts"].values.to_numpy(zero_copy_only=False)
@@ -403,8 +463,8 @@ def _some_documents(counts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 
 
 def _rank_maps(ranks: dict[bytes, int]) -> Column:
-    """The literal of ``_pair_ranks``."""
-    return F.from_json(F.lit(json.dumps(_pair_ranks(ranks), separators=(",", ":"))), "array<map<string,string>>")
+    """The literal of ``_pair_table``."""
+    return F.lit(_pair_table(_pair_ranks(ranks), _width(ranks) // 2))
 
 
 def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sample_chars: int, most: int) -> Known:
@@ -447,14 +507,14 @@ def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sam
         if total > most:
             least = r["n"] + 1
             break
-    folded = F.get(F.transform(F.array(maps), lambda m: merge_fold(F.col("spelled"), m, width)), F.lit(0))
-    table = written(met.where(F.col("n") >= least).select("word", folded.alias("ids")), "frequent-ids").toArrow()  # ``most`` rows
+    folded = F.get(F.transform(F.array(maps), lambda m: merge_fold(F.unhex("spelled"), m, width // 2)), F.lit(0))
+    table = written(met.where(F.col("n") >= least).select("word", F.hex(folded).alias("ids")), "frequent-ids").toArrow()  # ``most`` rows
     return Known.of(*(table[c].combine_chunks().cast(pa.string()) for c in ("word", "ids")), width)
 
 
 def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str) -> tuple[DataFrame, str, int, Broadcast]:
     """A row per block of documents with its distinct words encoded; the ids' type; an id's width;
-    the words known beforehand."""
+    the ids of the words known beforehand."""
     spark = docs.sparkSession
     width = _width(ranks)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -462,6 +522,7 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str)
     maps = _rank_maps(ranks)
     known = frequent_words(source, ranks, maps, SAMPLE_CHARS, FREQUENT)
     sent = spark.sparkContext.broadcast((ranks, _classes()))  # the vocabulary, and a table of code points
+    spelling = spark.sparkContext.broadcast(known.spelling())
     known = spark.sparkContext.broadcast(known)  # ``FREQUENT`` words
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,10 +537,10 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str)
         if block.ids:
             yield block.row(kind)
 
-    folded = F.transform(F.array(maps), lambda m: F.transform("words", lambda w: merge_fold(w, m, width)))
-    fields = f"ids array<{id_type}>, counts array<long>, index array<int>, words array<string>"
+    folded = F.transform(F.array(maps), lambda m: F.transform("words", lambda w: merge_fold(w, m, width // 2)))
+    fields = f"ids array<{id_type}>, counts array<long>, index array<int>, words array<binary>"
     taken = source.mapInArrow(blocks, fields)
-    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words")), id_type, width, known
+    return taken.select("ids", "counts", "index", F.get(folded, F.lit(0)).alias("words")), id_type, width, spelling
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

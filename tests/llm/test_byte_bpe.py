@@ -102,3 +102,27 @@ def test_pieces_and_blocks_change_nothing(monkeypatch, ranks, library):
 def test_long_words_over_the_heap(ranks, library):
     for word in ("a" * 300, "abcabcab" * 50, "éè" * 90, "thethethe" * 30):
         assert byte_bpe._merged(word.encode(), ranks) == library.encode_ordinary(word)
+
+
+def test_pairs_are_one_array_of_bytes(spark, ranks):
+    sent = spark.range(1).select(byte_bpe._rank_maps(ranks).alias("pairs"))
+    assert sent.schema["pairs"].dataType.simpleString() == "binary"
+    assert len(sent.first()["pairs"]) <= 8 << 20
+    pairs = byte_bpe._pair_ranks(ranks)
+    table = byte_bpe._pair_table(pairs, 2)
+    for pair, rank in pairs.items():
+        key = byte_bpe.xxhash.xxh64_intdigest(pair, 42)
+        seats = [table[at : at + 8] for at in (key & (len(table) - 8), key >> 32 & (len(table) - 8))]
+        assert pair + rank in [s[:6] for s in seats]
+    # Three pairs with the same two seats have no room, in a table of any size.
+    assert byte_bpe._seated({b"a": 1 << 32, b"b": 1 << 32, b"c": 1 << 32}, 8, 64) is None
+    assert byte_bpe._pair_table({}, 2) == b"\xff" * len(byte_bpe._pair_table({}, 2))
+
+
+def test_known_words_are_held_narrow():
+    known = byte_bpe.Known.of(pa.array([" abc", " défg"]), pa.array(["ffff00010002ffff", "ffff0003ffff"]), 4)
+    assert {x.itemsize for x in (known.points, known.point_ends, known.ids, known.id_ends)} == {2}
+    assert len(known.spelling().hashes) == len(known.spelling().points) == 0
+    assert known.spelling().ids.tolist() == known.ids.tolist()
+    wide = byte_bpe.Known.of(pa.array([" 😀"]), pa.array(["ffff0003ffff"]), 4)
+    assert wide.points.tolist() == [0x20, 0x1F600]
