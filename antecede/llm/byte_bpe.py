@@ -133,6 +133,24 @@ def _pieces(text: str) -> Iterator[str]:
     yield text
 
 
+def _points(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
+    """Texts one after the other, each with one character more; their code points, ``_END_POINT`` after
+    each; where each ends."""
+    joined = "\n".join(texts) + "\n"
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+    points[ends] = _END_POINT
+    return joined, points, ends
+
+
+def _distinct(texts: list[str], classes: np.ndarray) -> Iterator[str]:
+    """The words of texts, told apart by hash: of two with one hash only one is given."""
+    joined, points, _ = _points(texts)
+    start, end = split_points(points, classes)
+    _, first = np.unique(span_hashes(points, start, end), return_index=True)
+    return (joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True))
+
+
 def _merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word over a heap of pairs: always the leftmost pair of least rank."""
     n = len(word)
@@ -172,9 +190,10 @@ def _pair_ranks(ranks: dict[bytes, int]) -> dict[bytes, bytes]:
 
 def _pair_table(pairs: dict[bytes, bytes], size: int) -> bytes:
     """A hash table of a power of two of seats: a pair, its id and as many bytes again. A pair sits where
-    its hash says or where the upper half of its hash says; empty seats hold paddings."""
+    its hash says or where the upper half of its hash says, but there only if the first seat is taken by
+    another; empty seats hold paddings."""
     hashes = {pair: xxhash.xxh64_intdigest(pair, 42) for pair in pairs}
-    entry, seats = 4 * size, 1 << (2 * len(pairs)).bit_length()
+    entry, seats = 4 * size, 1 << (4 * len(pairs)).bit_length()
     while (seated := _seated(hashes, entry, seats)) is None:
         seats *= 2
     table = bytearray(b"\xff" * (entry * seats))
@@ -202,7 +221,7 @@ def _seated(hashes: dict[bytes, int], entry: int, seats: int) -> dict[int, bytes
 def merge_fold(word: Column, table: Column, size: int) -> Column:
     """The ids of a word. ``word`` is its bytes' ids, each as ``size`` bytes, between two paddings
     of ``ff``; so is the result. ``table`` is the literal of ``_pair_table``."""
-    entry = 4 * size
+    entry, empty = 4 * size, F.lit(b"\xff" * 2 * size)
 
     def part(of: Column, at: Column, length: int) -> Column:
         return F.substr(of, at, F.lit(length))
@@ -213,10 +232,10 @@ def merge_fold(word: Column, table: Column, size: int) -> Column:
 
         key = F.xxhash64(pair)
         one, two = seat(key), seat(F.shiftrightunsigned(key, 32))
-        value = F.lit(2 * size + 1)
-        return F.when(part(one, F.lit(1), 2 * size) == pair, part(one, value, size)).when(
-            part(two, F.lit(1), 2 * size) == pair, part(two, value, size)
-        )
+        first, value = F.lit(1), F.lit(2 * size + 1)
+        # Most pairs are no token, and most of those have an empty first seat.
+        elsewhere = (part(one, first, 2 * size) != empty) & (part(two, first, 2 * size) == pair)
+        return F.when(part(one, first, 2 * size) == pair, part(one, value, size)).when(elsewhere, part(two, value, size))
 
     def state(ids: Column, ranks: Column) -> Column:
         return F.struct(ids.alias("ids"), ranks.alias("ranks"))
@@ -247,8 +266,10 @@ def merge_fold(word: Column, table: Column, size: int) -> Column:
         ).otherwise(F.array().cast("array<int>"))
         return F.aggregate(steps, first, step, lambda done: done["ids"])
 
-    starts = F.sequence(F.lit(1), F.length(word) - size, F.lit(size))
-    pairs = F.transform(F.transform(starts, lambda at: part(word, at, 2 * size)), rank)
+    # The first and the last pair have a padding.
+    starts = F.sequence(F.lit(size + 1), F.length(word) - 3 * size + 1, F.lit(size))
+    none = F.array(F.lit(None).cast("binary"))
+    pairs = F.concat(none, F.transform(F.transform(starts, lambda at: part(word, at, 2 * size)), rank), none)
     return F.when(F.length(word) < 4 * size, word).otherwise(bound(state(word, pairs), fold))
 
 
@@ -373,10 +394,7 @@ class _Block:
 
     def _tokens(self, texts: list[str]) -> np.ndarray:
         """Appends the positions of the texts' words; how many there are in each text."""
-        joined = "\n".join(texts) + "\n"
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
-        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
-        points[ends] = _END_POINT
+        joined, points, ends = _points(texts)
         start, end = split_points(points, self.classes)
         hashes, first, inverse = np.unique(
             span_hashes(points, start, end), return_index=True, return_inverse=True
@@ -478,6 +496,7 @@ def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sam
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, classes, size = set(), sent.value[1], 0
+        held, waiting = [], 0
 
         def out() -> pa.RecordBatch:
             block = _Block(sent.value[0], width)
@@ -487,13 +506,17 @@ def frequent_words(source: DataFrame, ranks: dict[bytes, int], maps: Column, sam
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for piece in _pieces(text or ""):
-                    points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-                    start, end = split_points(np.append(points, np.uint32(_END_POINT)), classes)
-                    words.update(piece[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True))
+                    held.append(piece)
+                    waiting += len(piece)
                     size += len(piece)
+                    if waiting >= PIECE_CHARS or size >= BLOCK_CHARS:
+                        words.update(_distinct(held, classes))
+                        held, waiting = [], 0
                     if size >= BLOCK_CHARS:
                         yield out()
                         words, size = set(), 0
+        if held:
+            words.update(_distinct(held, classes))
         if words:
             yield out()
 

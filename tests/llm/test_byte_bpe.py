@@ -126,3 +126,19 @@ def test_known_words_are_held_narrow():
     assert known.spelling().ids.tolist() == known.ids.tolist()
     wide = byte_bpe.Known.of(pa.array([" 😀"]), pa.array(["ffff0003ffff"]), 4)
     assert wide.points.tolist() == [0x20, 0x1F600]
+
+
+def test_the_sample_takes_texts_together(ranks):
+    texts = ["it's  one", "one two", "", "two 12 " * 3, "\n"]
+    words = sorted(byte_bpe._distinct(texts, byte_bpe._classes()))
+    assert words == sorted({"it", "'s", " ", " one", "one", " two", "two", " 12", "\n"})
+
+
+def test_a_pair_elsewhere_has_its_first_seat_taken(ranks):
+    pairs = byte_bpe._pair_ranks(ranks)
+    table = byte_bpe._pair_table(pairs, 2)
+    for pair in pairs:
+        at = byte_bpe.xxhash.xxh64_intdigest(pair, 42) & (len(table) - 8)
+        assert table[at : at + 4] != b"\xff" * 4
+    empty = sum(table[at : at + 4] == b"\xff" * 4 for at in range(0, len(table), 8))
+    assert empty > 0.7 * len(table) / 8  # the pairs that are no token mostly need one look
